@@ -147,11 +147,11 @@ def _queue_udf(path: str, counted: bool) -> Callable:
 
 def id_dictionary(df: DataFrame, text: str, path: str) -> DataFrame:
     """(piece, n, value): ids of each distinct piece as comma-separated text, by the fold."""
-    counts = piece_counts(df, text)
+    counts = cut(piece_counts(df, text))
     short = counts.filter(F.octet_length("piece") <= FOLD_BYTES)
     long = counts.filter(F.octet_length("piece") > FOLD_BYTES)
     folded = short.withColumn("value", F.array_join(fold_merges(F.col("piece"), path), ","))
-    queued = cut(long).withColumn("value", _queue_udf(path, counted=False)("piece"))
+    queued = long.withColumn("value", _queue_udf(path, counted=False)("piece"))
     return folded.unionByName(queued)
 
 
