@@ -59,3 +59,10 @@ def language_code(name: Column) -> Column:
 def key_hash(*cols: Column) -> Column:
     """A 128-bit key of any columns, kept as a string; nulls differ from empty strings."""
     return F.md5(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cols)])))
+
+
+def join_equal(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys``, null equal to null; the keys stay once, from the left."""
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(right, on, how).drop(*[f"_right_{k}" for k in keys])
