@@ -37,6 +37,8 @@ FUNCTION_WORDS = set(
 
 WORD, COMMON, FIGURE, JUNK, SIGN = range(5)
 KINDS = ("prose", "list", "table", "junk")
+#: What most of a record is where its prose has more characters: least share of characters and of lines.
+MIXED_SHARE, MIXED_LINES = 0.35, 0.75
 _MARK = re.compile(r"\s*(?:[-*•–—·]\s+|\(?\d{1,4}[.)\]]?\s+|[A-Za-z]{1,9}\.?\s\d{1,4}[.:)]\s+|[ivxlcIVXLC]{1,6}[.)]\s+)(?=\S)")
 _FIGURE = re.compile(r"[^\w]*(?:[£$]?\d[\d,.:/'°%½¼¾-]*|\d+(?:s|d|st|nd|rd|th|c|m|a|p|lb|oz)\.?)[^\w]*")
 _BROKEN = re.compile(r"[ÃÂ�¿½€™�§¤¶]|[a-z][A-Z]|\d[A-Za-z]{2,}\d|[A-Za-z]\d[A-Za-z]")
@@ -134,6 +136,9 @@ class Judge:
             marked = _MARK.match(line) is not None
             if n[COMMON] <= (0.34 if marked else 0.12) * told and n[FIGURE] <= 0.5 * told:
                 return 1, tokens
+            # a few names with at most one small word between them
+            if told <= 5 and n[COMMON] == 1 and not n[FIGURE] and sum(w[:1].isupper() for w in line.split()) == told - 1:
+                return 1, tokens
         return 0, tokens
 
     @staticmethod
@@ -160,6 +165,11 @@ class Judge:
         total = sum(share) or 1.0
         share = [s / total for s in share]
         best = max(range(4), key=lambda k: share[k])
+        if best == 0 and lines:
+            # a few long lines above many short ones: most of the lines and a good part of the characters
+            other = max(range(1, 4), key=lambda k: share[k])
+            if share[other] >= MIXED_SHARE and kinds.count(other) >= MIXED_LINES * len(kinds):
+                best = other
         flat = [t for _, tokens in judged for t in tokens]
         letters, digits, signs = (sum(t[i] for t in flat) for i in (1, 2, 3))
         words = sum(1 for t in flat if t[1])
