@@ -1,10 +1,10 @@
 """Problem 9: stretches that stand verbatim in more than one document.
 
-1. Exact copies of a text are one class (by a digest); only one text of each class goes on.
+1. Of the exact copies of a text (by a digest) only the one of the smallest id goes on.
 2. In every window of ``MIN_SPAN`` characters the k-gram of smallest hash is an anchor, so that two texts with such a
-   stretch in common have an anchor in common. Texts with a common anchor meet under the smallest digest among them,
-   each with the stretch around its anchors; anchors of one text alone end here. Nothing is lost by this: any common
-   stretch of ``MIN_SPAN`` lies whole within both stretches.
+   stretch in common have an anchor in common. Texts with a common anchor meet under the smallest id among them, each
+   with the stretch around its anchors; anchors of one text alone end here. Nothing is lost by this: any common stretch
+   of ``MIN_SPAN`` lies whole within both stretches.
 3. The stretches form shards of bounded size. Each shard is an FM-index; the shard's stretches stream through it by
    backward search from every ``GRID``-th end. The matching statistic at such an end (how long a suffix also stands in
    another text) must reach ``MIN_SPAN`` - ``GRID`` + 1 for any common stretch that holds the end.
@@ -96,7 +96,7 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     keys.take(pa.array(number + start)),
                     pa.array(at.astype(np.int32)),
                 ],
-                names=["gram", "key", "at"],
+                names=["gram", "id", "at"],
             )
             start = stop
 
@@ -116,12 +116,12 @@ def _codes(texts: list[str], alphabet: np.ndarray | None = None) -> tuple[np.nda
 
 
 def common_spans(shard: pd.DataFrame) -> pd.DataFrame:
-    """Common stretches of one shard: (key_1, from_1, to_1, key_2, from_2, to_2), key_1 < key_2.
+    """Common stretches of one shard: (id_1, from_1, to_1, id_2, from_2, to_2), id_1 < id_2.
 
-    Columns of ``shard``: key, start (where ``piece`` begins in its text), piece, indexed.
+    Columns of ``shard``: id, start (where ``piece`` begins in its text), piece, indexed.
     """
-    rows = shard.drop_duplicates(["key", "start", "piece", "indexed"])
-    names, owner = np.unique(np.array([bytes(k).hex() for k in rows["key"]]), return_inverse=True)
+    rows = shard.drop_duplicates(["id", "start", "piece", "indexed"])
+    owner = rows["id"].to_numpy(np.int64)
     starts, texts = rows["start"].to_numpy(np.int64), rows["piece"].tolist()
     codes, begins, alphabet = _codes(texts)
     row_of = np.repeat(np.arange(len(texts)), np.diff(np.append(begins, len(codes))))
@@ -172,69 +172,69 @@ def common_spans(shard: pd.DataFrame) -> pd.DataFrame:
     from_1, from_2 = starts[a] + p - left - begins[a], starts[b] + q - left - begins[b]
     return pd.DataFrame(
         {
-            "key_1": names[owner[a]], "from_1": from_1, "to_1": from_1 + left + right,
-            "key_2": names[owner[b]], "from_2": from_2, "to_2": from_2 + left + right,
+            "id_1": owner[a], "from_1": from_1, "to_1": from_1 + left + right,
+            "id_2": owner[b], "from_2": from_2, "to_2": from_2 + left + right,
         }
     ).drop_duplicates()
 
 
-_SPANS = "key_1 string, from_1 bigint, to_1 bigint, key_2 string, from_2 bigint, to_2 bigint"
+_SPANS = "id_1 bigint, from_1 bigint, to_1 bigint, id_2 bigint, from_2 bigint, to_2 bigint"
+#: Ids of copies that are sent to all executors, 8 bytes each; more are joined by a shuffle.
+MOST_SENT = 1 << 20
 
 
 def _shard(_: tuple, shard: pd.DataFrame) -> pd.DataFrame:
     return common_spans(shard)
 
 
-def _keyed(documents: DataFrame) -> DataFrame:
-    """(doc_id, text, key) of the documents that are long enough; rows without an id take no part."""
-    return (
-        documents.select("doc_id", "text")
-        .filter(F.col("doc_id").isNotNull() & (F.length("text") >= MIN_SPAN))
-        .withColumn("key", F.unhex(F.md5("text")))
+def _long(documents: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents that are long enough; rows without an id take no part."""
+    return documents.select("doc_id", "text").filter(
+        F.col("doc_id").isNotNull() & (F.length("text") >= MIN_SPAN)
     )
 
 
-def _classes(keyed: DataFrame) -> DataFrame:
-    """(key, doc_id), each once: the documents of each text."""
-    return cut(keyed.select("key", "doc_id").distinct())
+def _copies(long_: DataFrame) -> DataFrame:
+    """(first, doc_id): documents whose text also stands in one of a smaller id, with the smallest such id."""
+    rows = long_.select(F.unhex(F.md5("text")).alias("key"), "doc_id").distinct()
+    first = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    return cut(rows.join(first, "key").filter("doc_id <> first").select("first", "doc_id"))
 
 
-def shared_spans(keyed: DataFrame, classes: DataFrame, shard_chars: int = SHARD_CHARS) -> DataFrame:
-    """Common stretches of different texts, by digest in hex (columns as in ``common_spans``)."""
+def shared_spans(long_: DataFrame, copies: DataFrame, shard_chars: int = SHARD_CHARS) -> DataFrame:
+    """Common stretches of different texts (columns as in ``common_spans``); a text goes by its smallest id."""
+    few = copies.count() <= MOST_SENT
+    others = copies.select("doc_id")
+    texts = long_.join(F.broadcast(others) if few else others, "doc_id", "left_anti")
     found = (
-        keyed.select("key", "text")
-        .mapInArrow(_anchor_batches, "gram bigint, key binary, at int")
-        .groupBy("gram", "key")
-        .agg(F.min("at").alias("first"), F.max("at").alias("last"))
+        texts.select("doc_id", "text").mapInArrow(_anchor_batches, "gram bigint, id bigint, at int").repartition("gram")
     )
-    found = cut(found)
-    meeting = found.groupBy("gram").agg(F.min("key").alias("lead"), F.count("*").alias("n")).filter("n > 1")
+    meeting = found.groupBy("gram").agg(F.min("id").alias("lead"), F.max("id").alias("most")).filter("lead < most")
     regions = (
         found.join(meeting.select("gram", "lead"), "gram")
-        .groupBy("key", "lead")
+        .groupBy("id", "lead")
         .agg(
-            F.greatest(F.min("first") - (WINDOW - 1), F.lit(0)).alias("start"),
-            (F.max("last") + MIN_SPAN).alias("stop"),
+            F.greatest(F.min("at") - (WINDOW - 1), F.lit(0)).alias("start"),
+            (F.max("at") + MIN_SPAN).alias("stop"),
         )
     )
-    first = classes.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    regions = cut(regions.join(first, "key"))
+    regions = cut(regions)
     leads = regions.groupBy("lead").agg(F.sum(F.col("stop") - F.col("start")).alias("chars"))
     blocks = F.ceil(F.col("chars") / shard_chars).cast("int")
     total = leads.agg(F.sum("chars").alias("chars")).first().chars or 0
     shards = max(1, -(-2 * total // shard_chars))
     sized = regions.join(leads.withColumn("blocks", blocks), "lead")
-    # a large meeting has shards of its own: (lead, block); the others share numbered ones
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    # a large meeting has shards of its own, one a block; the others share numbered ones
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    large = F.col("blocks") > 1
     spread = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "doc_id", "key", "start", "stop",
-        F.when(F.col("blocks") > 1, F.hex("lead")).otherwise(F.lit("")).alias("meeting"),
-        F.when(F.col("blocks") > 1, F.col("block"))
-        .otherwise(F.pmod(F.xxhash64("lead"), F.lit(shards)).cast("int")).alias("block"),
-        ((F.col("blocks") == 1) | (F.col("block") == own)).alias("indexed"),
+        F.col("id").alias("doc_id"), "start", "stop",
+        F.when(large, F.col("lead")).alias("meeting"),
+        F.when(large, F.col("block")).otherwise(F.pmod(F.xxhash64("lead"), F.lit(shards)).cast("int")).alias("block"),
+        (~large | (F.col("block") == own)).alias("indexed"),
     )
-    pieces = spread.join(keyed.select("doc_id", "text"), "doc_id").select(
-        "meeting", "block", "key", F.col("start").cast("bigint"),
+    pieces = spread.join(long_, "doc_id").select(
+        "meeting", "block", F.col("doc_id").alias("id"), F.col("start").cast("bigint"),
         F.substring("text", F.col("start") + 1, F.col("stop") - F.col("start")).alias("piece"), "indexed",
     )
     return cut(pieces.groupBy("meeting", "block").applyInPandas(_shard, _SPANS))
@@ -245,18 +245,22 @@ def document_pairs(documents: DataFrame) -> DataFrame:
 
     Null, empty and shorter texts have no pairs; rows repeated with the same id count once; an empty table gives none.
     """
-    keyed = _keyed(documents)
-    classes = _classes(keyed)
-    spans = shared_spans(keyed, classes).select("key_1", "key_2").distinct()
-    members = classes.select(F.lower(F.hex("key")).alias("key"), "doc_id")
-    left = members.select(F.col("key").alias("key_1"), F.col("doc_id").alias("a"))
-    right = members.select(F.col("key").alias("key_2"), F.col("doc_id").alias("b"))
-    across = spans.join(left, "key_1").join(right, "key_2")
-    within = left.join(right, (F.col("key_1") == F.col("key_2")) & (F.col("a") < F.col("b")))
-    both = across.select("a", "b").unionByName(within.select("a", "b")).filter("a <> b")
-    return both.select(
-        F.least("a", "b").alias("doc_id_1"), F.greatest("a", "b").alias("doc_id_2")
-    ).distinct()
+    long_ = _long(documents)
+    copies = _copies(long_)
+    pairs = shared_spans(long_, copies).select("id_1", "id_2").distinct()
+    # what holds for a text holds for its copies; the smallest id stands for itself
+    ends = pairs.select(F.col("id_1").alias("first")).union(pairs.select("id_2")).union(copies.select("first")).distinct()
+    members = copies.unionByName(ends.select("first", F.col("first").alias("doc_id")))
+    left = members.select(F.col("first").alias("id_1"), F.col("doc_id").alias("a"))
+    right = members.select(F.col("first").alias("id_2"), F.col("doc_id").alias("b"))
+    across = pairs.join(left, "id_1").join(right, "id_2").select("a", "b")
+    within = left.join(right, (F.col("id_1") == F.col("id_2")) & (F.col("a") < F.col("b"))).select("a", "b")
+    return (
+        across.unionByName(within)
+        .filter("a <> b")
+        .select(F.least("a", "b").alias("doc_id_1"), F.greatest("a", "b").alias("doc_id_2"))
+        .distinct()
+    )
 
 
 def shared_share(documents: DataFrame) -> DataFrame:
@@ -264,24 +268,23 @@ def shared_share(documents: DataFrame) -> DataFrame:
 
     Null texts have n_chars null and nothing shared; exact copies of ``MIN_SPAN`` or more are shared whole.
     """
-    keyed = _keyed(documents)
-    classes = _classes(keyed)
-    spans = shared_spans(keyed, classes)
-    one = spans.select(F.col("key_1").alias("key"), F.col("from_1").alias("lo"), F.col("to_1").alias("hi"))
-    two = spans.select(F.col("key_2").alias("key"), F.col("from_2").alias("lo"), F.col("to_2").alias("hi"))
-    span = one.unionByName(two).groupBy("key", "lo").agg(F.max("hi").alias("hi"))
-    before = F.max("hi").over(W.Window.partitionBy("key").orderBy("lo").rowsBetween(W.Window.unboundedPreceding, -1))
+    long_ = _long(documents)
+    copies = _copies(long_)
+    spans = shared_spans(long_, copies)
+    one = spans.select(F.col("id_1").alias("doc_id"), F.col("from_1").alias("lo"), F.col("to_1").alias("hi"))
+    two = spans.select(F.col("id_2").alias("doc_id"), F.col("from_2").alias("lo"), F.col("to_2").alias("hi"))
+    span = one.unionByName(two).groupBy("doc_id", "lo").agg(F.max("hi").alias("hi"))
+    before = F.max("hi").over(W.Window.partitionBy("doc_id").orderBy("lo").rowsBetween(W.Window.unboundedPreceding, -1))
     new = F.col("hi") - F.greatest(F.col("lo"), F.coalesce(before, F.lit(0)))
-    part = span.withColumn("new", F.greatest(new, F.lit(0))).groupBy("key").agg(F.sum("new").alias("n_shared"))
-    copies = classes.groupBy("key").agg(F.count("*").alias("copies"))
-    per_key = copies.withColumn("key", F.lower(F.hex("key"))).join(part, "key", "left")
-    rows = documents.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("key"))
-    shared = F.when(F.col("copies") > 1, F.col("n_chars")).otherwise(F.coalesce("n_shared", F.lit(0)))
-    long_ = rows.filter((F.col("n_chars") >= MIN_SPAN) & F.col("doc_id").isNotNull())
-    short = rows.filter(~((F.col("n_chars") >= MIN_SPAN) & F.col("doc_id").isNotNull()) | F.col("n_chars").isNull())
-    out = long_.join(per_key, "key").select("doc_id", "n_chars", shared.alias("n_shared"))
-    return out.unionByName(short.select("doc_id", "n_chars", F.lit(0).cast("bigint").alias("n_shared"))).withColumn(
-        "share", F.coalesce(F.try_divide("n_shared", "n_chars"), F.lit(0.0))
+    part = span.withColumn("new", F.greatest(new, F.lit(0))).groupBy("doc_id").agg(F.sum("new").alias("part"))
+    whole = copies.select("doc_id").union(copies.select("first")).distinct().withColumn("whole", F.lit(True))
+    rows = documents.select("doc_id", F.length("text").cast("bigint").alias("n_chars"))
+    shared = F.when(F.col("n_chars") >= MIN_SPAN, F.when(F.col("whole"), F.col("n_chars")).otherwise(F.col("part")))
+    return (
+        rows.join(part, "doc_id", "left")
+        .join(whole, "doc_id", "left")
+        .select("doc_id", "n_chars", F.coalesce(shared, F.lit(0)).alias("n_shared"))
+        .withColumn("share", F.coalesce(F.try_divide("n_shared", "n_chars"), F.lit(0.0)))
     )
 
 
