@@ -252,7 +252,7 @@ def _report_extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _report_pivot(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "shards").groupBy("source").pivot("split", ["train", "val", "test"]).agg(F.count(F.lit(1)).cast("string"))
+    rows = read(spark, d, "shards").groupBy("source").pivot("split", ["train", "val", "test"]).agg(F.nullif(F.count(F.lit(1)), F.lit(0)).cast("string"))
     return rows.na.fill("-")
 
 
