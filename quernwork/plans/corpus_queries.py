@@ -56,7 +56,7 @@ def _corpus_summary(spark: SparkSession, d: str) -> DataFrame:
     """Per source: sizes and the upper median length, from the table of lengths and their counts."""
     from pyspark.sql import Window as W
 
-    rows = read(spark, d, "documents").filter("text is not null").select("source", F.length("text").alias("len"))
+    rows = read(spark, d, "documents").filter("text is not null").select("source", F.length("text").cast("bigint").alias("len"))
     sizes = rows.groupBy("source", "len").agg(F.count("*").alias("c"))
     upto = F.sum("c").over(W.partitionBy("source").orderBy("len"))
     whole = F.sum("c").over(W.partitionBy("source"))
@@ -272,12 +272,12 @@ WITH p AS (SELECT ebook_id, row_number() OVER (ORDER BY {_key('ebook_id')}) AS i
 SELECT a.ebook_id, s.shot::INT AS shot, b.ebook_id AS shot_id FROM p a, (VALUES (1), (2)) s(shot) JOIN p b ON b.i = (a.i - 1 + s.shot) % a.n + 1 WHERE a.ebook_id <> b.ebook_id"""
 
 _PLAIN = {
-    "scan_shards": "SELECT shard_name, count(*) AS n_rows, sum(length(text)) AS n_chars FROM @shards GROUP BY shard_name",
+    "scan_shards": "SELECT shard_name, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM @shards GROUP BY shard_name",
     "rowgroup_stride": "SELECT rec_id, CAST(floor(row_idx / 64) AS INT) AS row_group FROM @shards WHERE CAST(floor(row_idx / 64) AS INT) % 4 = 1",
     "rank_stride": "SELECT rec_id FROM @shards WHERE row_idx % 8 = 3",
     "task_slice": "SELECT rec_id, row_idx FROM @shards WHERE row_idx >= 10 AND row_idx < 200 AND (row_idx - 10) % 3 = 0",
     "task_sequence": "SELECT 0 AS task, rec_id, row_idx FROM @shards WHERE split = 'val' UNION ALL SELECT 1 AS task, rec_id, row_idx FROM @shards WHERE split = 'test'",
-    "smallest_first": "SELECT page_id, length(text) AS n FROM (SELECT DISTINCT page_id, text FROM @newspapers WHERE length(text) > 0) ORDER BY length(text), page_id LIMIT 20",
+    "smallest_first": "SELECT page_id, CAST(length(text) AS BIGINT) AS n FROM (SELECT DISTINCT page_id, text FROM @newspapers WHERE length(text) > 0) ORDER BY length(text), page_id LIMIT 20",
     "manifest_read": "SELECT DISTINCT ebook_id, title, author_death FROM @manifest WHERE author_death IS NULL OR author_death < 1900",
     "catalog_range": "SELECT DISTINCT identifier, pub_year FROM @internetarchive WHERE pub_year BETWEEN '1800' AND '1913'",
     "running_min": "SELECT event_id, min(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best FROM @events",
@@ -286,7 +286,7 @@ _PLAIN = {
     "set_difference": "SELECT doc_id FROM @documents EXCEPT SELECT rec_id FROM @shards WHERE split = 'val'",
     "metric_union": "SELECT DISTINCT m FROM (SELECT event_type AS m FROM @events UNION ALL SELECT split AS m FROM @shards)",
     "sources_missing_targets": "SELECT s.source, t.target_share FROM (SELECT DISTINCT source FROM @shards) s LEFT JOIN @source_targets t ON s.source = t.source",
-    "bloat_metrics": "SELECT source, count(*) AS n_docs, sum(length(text)) AS n_chars, sum(length(text) - length(replace(text, chr(10), '')) + 1) AS n_lines FROM @documents GROUP BY source",
+    "bloat_metrics": "SELECT source, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars, CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_lines FROM @documents GROUP BY source",
     "latest_checkpoint": "SELECT split, max(CAST(substr(shard_name, 7) AS INT)) AS last_shard FROM @shards GROUP BY split",
     "rule_lookup": "SELECT DISTINCT ebook_id, CASE WHEN lower(title) LIKE '%memoir%' THEN 'life' WHEN lower(title) LIKE '%history%' OR lower(title) LIKE '%annals%' THEN 'history' WHEN lower(title) LIKE '%letters%' THEN 'letters' ELSE 'other' END AS kind FROM @manifest",
     "event_windows": "SELECT user_id, event_type, count(*) AS n, sum(value) AS total, max(value) - min(value) AS span FROM @events GROUP BY user_id, event_type",

@@ -338,10 +338,10 @@ _PLAIN = {
     "scaling_plan": "SELECT p_partkey, CAST(power(2, round(log2(524288 * power(p_retailprice / 1000.0, 0.383)) + 0.0000001)) AS BIGINT) AS batch FROM @part",
     "layer_windows": "SELECT p_partkey, CASE WHEN p_size % 4 = 3 THEN 2048 ELSE 512 END AS attended FROM @part",
     "flops_per_token": "SELECT p_partkey, CAST(p_size AS BIGINT) * 12 * 64 * 64 * 6 + 12 * 64 * 2048 * CAST(p_size AS BIGINT) AS flops FROM @part",
-    "special_tokens": "SELECT DISTINCT role, length(role) AS n FROM @chat_messages",
+    "special_tokens": "SELECT DISTINCT role, CAST(length(role) AS BIGINT) AS n FROM @chat_messages",
     "value_format": "SELECT p_partkey, CASE WHEN p_retailprice >= 1000 THEN 'large' ELSE 'small' END AS kind, CAST(round(p_retailprice, 4) AS DOUBLE) AS shown FROM @part",
     "compression_ratio": "SELECT source, CAST(sum(octet_length(encode(text))) AS DOUBLE) / sum(length(text)) AS bytes_per_char FROM @documents WHERE length(text) > 0 GROUP BY source",
-    "token_length_stats": "SELECT source, min(length(text)) AS lo, max(length(text)) AS hi, round(avg(length(text)), 6) AS mean, round(stddev_samp(length(text)), 6) AS sd FROM @documents WHERE length(text) > 0 GROUP BY source",
+    "token_length_stats": "SELECT source, CAST(min(length(text)) AS BIGINT) AS lo, CAST(max(length(text)) AS BIGINT) AS hi, round(avg(length(text)), 6) AS mean, round(stddev_samp(length(text)), 6) AS sd FROM @documents WHERE length(text) > 0 GROUP BY source",
 }
 _PLAIN_SPARK = {k: v.replace("octet_length(encode(text))", "octet_length(text)") for k, v in _PLAIN.items()}
 

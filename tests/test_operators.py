@@ -53,7 +53,7 @@ def test_markers_and_licences(spark):
 
 def test_article_title(spark):
     got = run(spark, ["HOLM, the isle", "OLD AGE is", "lower", "", None], lambda c: text.article_title(c, F.lit("article_0")))
-    assert got == ["HOLM", "OLD AGE is"[:7], "article_0", "article_0", "article_0"] or got[2:] == ["article_0"] * 3
+    assert got == ["HOLM", "OLD AGE", "article_0", "article_0", "article_0"]
 
 
 def test_first_year_takes_the_first_number_only(spark):
