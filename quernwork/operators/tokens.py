@@ -296,3 +296,53 @@ def calculator(expressions: Column) -> Column:
             return None
 
     return F.pandas_udf(lambda s: pd.Series([one(x) for x in s], dtype=object), "string")(expressions)
+
+
+def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a pretoken: of all neighbouring symbols those whose joint token was learned first are joined, until none
+    can be."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while len(parts) > 1:
+        best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], 1 << 60))
+        if parts[best] + parts[best + 1] not in ranks:
+            break
+        parts[best : best + 2] = [parts[best] + parts[best + 1]]
+    return [ranks[p] for p in parts]
+
+
+def encode(df: DataFrame, text: str, vocabulary: DataFrame, out: str = "ids", most_tokens: int = 1 << 18) -> DataFrame:
+    """``df`` with the ids of ``text`` under (token_id, token); specials in a text are ordinary text, null gives null.
+
+    The vocabulary is a bounded table (refused beyond ``most_tokens``) and travels with the task; pretokens are cut by
+    the engine and encoded once each while a worker remembers them.
+    """
+    rows = vocabulary.select("token_id", "token").limit(most_tokens + 1).collect()
+    if len(rows) > most_tokens:
+        raise ValueError(f"more than {most_tokens} tokens")
+    special = {s.encode() for s in SPECIALS}
+    ranks = {bytes(r.token): r.token_id for r in rows if bytes(r.token) not in special}
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept: dict[str, list[int]] = {}
+        for batch in batches:
+            found = []
+            for pieces in batch:
+                ids: list[int] | None = None if pieces is None else []
+                for piece in pieces if pieces is not None else ():
+                    if piece not in kept:
+                        if len(kept) > 1 << 17:
+                            kept.clear()
+                        kept[piece] = encode_piece(piece.encode(), ranks)
+                    ids += kept[piece]
+                found.append(ids)
+            yield pd.Series(found, dtype=object)
+
+    return df.withColumn(out, F.pandas_udf(run, "array<int>")(pretokens(F.col(text))))
+
+
+def decode(df: DataFrame, ids: str, vocabulary: DataFrame, out: str = "decoded", most_tokens: int = 1 << 18) -> DataFrame:
+    """``df`` with the text of ``ids``: the tokens' bytes one after the other, broken parts as U+FFFD."""
+    rows = vocabulary.select("token_id", F.hex("token").alias("h")).orderBy("token_id").limit(most_tokens).collect()
+    table = F.array(*[F.lit(r.h) for r in rows]) if len(rows) <= 1024 else F.from_json(F.lit("[" + ",".join(f'"{r.h}"' for r in rows) + "]"), "array<string>")
+    joined = F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")
+    return df.withColumn(out, F.make_valid_utf8(F.unhex(joined).cast("string")))

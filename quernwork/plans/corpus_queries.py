@@ -142,11 +142,15 @@ def _hold_out(spark: SparkSession, d: str) -> DataFrame:
 
 def _ema(spark: SparkSession, d: str) -> DataFrame:
     """Smoothed value of each user's events in order, with the correction for the start; 0.9 is kept each step."""
-    steps = F.sort_array(F.collect_list(F.struct("ts", "event_id", "value")))
-    rows = read(spark, d, "events").groupBy("user_id").agg(steps.alias("steps"))
-    ema = F.aggregate("steps", F.lit(0.0), lambda a, s: a * 0.9 + s["value"] * 0.1)
-    n = F.size("steps")
-    return rows.select("user_id", n.cast("bigint").alias("n"), F.round(ema / (1 - F.pow(F.lit(0.9), n)), 6).alias("ema"))
+    from pyspark.sql import Window as W
+
+    users = W.partitionBy("user_id")
+    rows = read(spark, d, "events").withColumns(
+        {"n": F.count("*").over(users), "i": F.row_number().over(users.orderBy("ts", "event_id"))}
+    )
+    kept = F.sum(F.col("value") * 0.1 * F.pow(F.lit(0.9), F.col("n") - F.col("i")))
+    n = F.max("n")
+    return rows.groupBy("user_id").agg(n.alias("n"), F.round(kept / (1 - F.pow(F.lit(0.9), n)), 6).alias("ema"))
 
 
 _SQL_EMA = """

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpus_queries, model_queries, text_queries
+from . import corpus_queries, model_queries, pipeline_queries, text_queries
 
-MODULES = (text_queries, corpus_queries, model_queries)
+MODULES = (text_queries, corpus_queries, model_queries, pipeline_queries)
 
 
 def queries() -> dict:
