@@ -76,40 +76,26 @@ def _order(epoch: Column) -> Column:
     return F.xxhash64(F.lit(SEED), epoch, "doc_id", "n_tokens")
 
 
-def mix(sized: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
-    """(doc_id, source, language, domain, n_tokens, repeats) of the rows that are used.
+_LEAF = ["source", "language", "domain"]
 
-    ``sized`` is (doc_id, source, language, domain, n_tokens). A leaf uses whole epochs of its rows and of one more
-    epoch the prefix, in that epoch's seeded order, that comes closest to its budget. Rows without tokens and of
-    sources without a target are not used. The tables collected hold one row for each leaf or source, a number that
-    does not grow with the rows.
-    """
-    spark = sized.sparkSession
-    leaf = ["source", "language", "domain"]
-    goal = {
-        r.source: (float(r.target_share), int(r.max_repeats))
-        for r in targets.dropna().dropDuplicates(["source"]).collect()
-    }
-    usable = sized.filter((F.col("n_tokens") > 0) & F.col("source").isin(list(goal)))
-    held = {
-        (r.source, r.language, r.domain): int(r.tokens)
-        for r in usable.groupBy(*leaf).agg(F.sum("n_tokens").alias("tokens")).collect()
-    }
-    budgets = plan_leaves(held, goal, total)
+
+def _choose(usable: DataFrame, budgets: dict[tuple, int], held: dict[tuple, int]) -> DataFrame:
+    """Rows with their repeats: whole epochs, and of one more epoch the prefix that comes closest to the budget."""
+    spark = usable.sparkSession
+    same = lambda a, b: [a[c].eqNullSafe(b[c]) for c in _LEAF]
     rows = [(*k, b // held[k], b % held[k]) for k, b in budgets.items()]
     kinds = "source string, language string, domain string, full bigint, rest bigint"
     plan = F.broadcast(spark.createDataFrame(rows, kinds))
-    same = lambda a, b: [a[c].eqNullSafe(b[c]) for c in leaf]
     planned = usable.join(plan, same(usable, plan)).select(*[usable[c] for c in usable.columns], "full", "rest")
     ordered = planned.withColumn("_at", _order(F.col("full"))).withColumn(
         "_part", F.shiftright("_at", 52).cast("int") + ORDER_PARTS // 2
     )
-    parts = ordered.groupBy(*leaf, "_part").agg(F.sum("n_tokens").alias("tokens"), F.first("rest").alias("rest"))
-    upto = F.sum("tokens").over(W.Window.partitionBy(*leaf).orderBy("_part"))
+    parts = ordered.groupBy(*_LEAF, "_part").agg(F.sum("n_tokens").alias("tokens"), F.first("rest").alias("rest"))
+    upto = F.sum("tokens").over(W.Window.partitionBy(*_LEAF).orderBy("_part"))
     ends = parts.withColumn("_upto", upto).filter(
         (F.col("_upto") > F.col("rest")) & (F.col("_upto") - F.col("tokens") <= F.col("rest"))
     )
-    end_rows = ends.select(*leaf, F.col("_part").alias("_end"), (F.col("_upto") - F.col("tokens")).alias("_base"))
+    end_rows = ends.select(*_LEAF, F.col("_part").alias("_end"), (F.col("_upto") - F.col("tokens")).alias("_base"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in end_rows.schema])
     end = F.broadcast(spark.createDataFrame(end_rows.collect(), schema))
     placed = ordered.join(end, same(ordered, end), "left").select(
@@ -117,8 +103,8 @@ def mix(sized: DataFrame, targets: DataFrame, total: float | None = None) -> Dat
     )
     # only rows of the part that holds the end are sorted
     inside = F.col("_part") == F.col("_end")
-    run = F.sum("n_tokens").over(W.Window.partitionBy(*leaf).orderBy("_at", "doc_id").rowsBetween(W.Window.unboundedPreceding, 0))
-    edge = placed.filter(inside).withColumn("_run", run + F.col("_base"))
+    before = W.Window.partitionBy(*_LEAF).orderBy("_at", "doc_id").rowsBetween(W.Window.unboundedPreceding, 0)
+    edge = placed.filter(inside).withColumn("_run", F.sum("n_tokens").over(before) + F.col("_base"))
     edge = edge.withColumn("_one", (F.col("_run") - F.col("n_tokens") / 2 <= F.col("rest")).cast("int")).drop("_run")
     # without an end the whole epoch lies before it
     clear = placed.filter(~F.coalesce(inside, F.lit(False))).withColumn(
@@ -127,11 +113,55 @@ def mix(sized: DataFrame, targets: DataFrame, total: float | None = None) -> Dat
     repeats = (F.col("full") + F.col("_one")).cast("int")
     return (
         clear.unionByName(edge)
-        .select("doc_id", *leaf, "n_tokens", repeats.alias("repeats"))
+        .select("doc_id", *_LEAF, "n_tokens", repeats.alias("repeats"))
         .filter(F.col("repeats") > 0)
     )
 
 
+def settle(
+    budgets: dict[tuple, int], reached: dict[tuple, int], held: dict[tuple, int], caps: dict[str, int]
+) -> dict[tuple, int]:
+    """Budgets in which one leaf of each source makes up for what whole documents left or took too much in the others.
+
+    It is the leaf with the most tokens that can: so a source misses its share by half a document at most, where one
+    of its leaves can give or take that much.
+    """
+    out = dict(budgets)
+    for source in {k[0] for k in budgets}:
+        leaves = [k for k in budgets if k[0] == source]
+        miss = {k: budgets[k] - reached.get(k, 0) for k in leaves}
+        for leaf in sorted(leaves, key=lambda k: (-held[k], [(x is not None, x or "") for x in k])):
+            to = budgets[leaf] + sum(miss[k] for k in leaves if k != leaf)
+            if 0 <= to <= held[leaf] * caps[source]:
+                out[leaf] = to
+                break
+    return out
+
+
+def mix(sized: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
+    """(doc_id, source, language, domain, n_tokens, repeats) of the rows that are used.
+
+    ``sized`` is (doc_id, source, language, domain, n_tokens), best in a checkpoint, as it is read a few times. A leaf
+    uses whole epochs of its rows and of one more epoch the prefix, in that epoch's seeded order, that comes closest to
+    its budget; one leaf of each source then makes up for the others' remainders. Rows without tokens and of sources
+    without a target are not used. The tables collected hold one row for each leaf or source, a number that does not
+    grow with the rows.
+    """
+    goal = {
+        r.source: (float(r.target_share), int(r.max_repeats))
+        for r in targets.dropna().dropDuplicates(["source"]).collect()
+    }
+    usable = sized.filter((F.col("n_tokens") > 0) & F.col("source").isin(list(goal)))
+    held = {
+        (r.source, r.language, r.domain): int(r.tokens)
+        for r in usable.groupBy(*_LEAF).agg(F.sum("n_tokens").alias("tokens")).collect()
+    }
+    budgets = plan_leaves(held, goal, total)
+    first = _choose(usable, budgets, held).groupBy(*_LEAF).agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("t"))
+    reached = {(r.source, r.language, r.domain): int(r.t) for r in first.collect()}
+    return _choose(usable, settle(budgets, reached, held, {s: c for s, (_, c) in goal.items()}), held)
+
+
 def reached_shares(mixed: DataFrame, sized: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source: target_share, max_repeats, available_tokens, n_docs, tokens, share, most_repeats."""
     have = sized.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
