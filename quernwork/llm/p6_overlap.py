@@ -11,7 +11,7 @@ within neighbouring classes of length, and only near places count; what is left
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +23,8 @@ WORD = r"[\p{L}\p{N}]+"
 MIN_WORDS = 8
 SHARE = 0.9
 EVALUATION = ("val", "test")
+#: Two lengths within 9 in 10 of each other fall into two neighbouring classes of this width at most.
+BAND_WIDTH = -2 * math.log(SHARE)
 #: (n-gram length, least and most words of a text whose n-grams of that length are taken). A text of n words may pair
 #: with texts of up to n / 0.9 words, so that the ranges overlap.
 GRAMS = ((3, 9, 10), (4, 8, 44), (5, 36, None))
@@ -68,41 +70,60 @@ def _near(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]
         yield pd.Series(out, dtype=bool)
 
 
-def _gram_hash(k: int) -> Callable[[Column], Column]:
-    return lambda i: F.xxhash64(F.lit(k), *[F.get("words", i + j) for j in range(k)])
+def _hashes(k: int) -> Column:
+    """Hashes of the text's word k-grams in order."""
+    one = lambda i: F.xxhash64(F.lit(k), *[F.get("words", i + j) for j in range(k)])
+    return F.transform(F.sequence(F.lit(0), F.col("n") - k), one)
 
 
-def _grams(texts: DataFrame) -> DataFrame:
-    """(gram, k, id, n, lo, hi, times, band): one row per different n-gram of a text with its outermost places."""
+def _measured(texts: DataFrame) -> DataFrame:
+    """``texts`` with id, n (words) and, for each k, whether its k-grams are all different."""
+    texts = texts.withColumns({"id": F.xxhash64("canon"), "words": F.split("canon", " ")})
+    texts = texts.withColumn("n", F.size("words"))
+    for k, _, _ in GRAMS:
+        hashes = _hashes(k)
+        texts = texts.withColumn(f"plain_{k}", (F.col("n") >= k) & (F.size(F.array_distinct(hashes)) == F.size(hashes)))
+    return texts.drop("words")
+
+
+def _band(n: Column) -> Column:
+    """Class of length; texts that may pair are of the same class or of neighbouring ones."""
+    return F.floor(F.log(n) / BAND_WIDTH).cast("int")
+
+
+def _grams(texts: DataFrame, bands: Column) -> DataFrame:
+    """(gram, k, id, n, lo, hi, times): one row per different k-gram of a text and class of length in ``bands``, with
+    its outermost places and how often it stands there. ``gram`` hashes the words, k and the class. Only texts in which
+    a k-gram comes again are grouped; the others' rows go to the join as they are."""
     parts = []
     for k, least, most in GRAMS:
         fit = F.col("n") >= least if most is None else F.col("n").between(least, most)
-        hashes = F.transform(F.sequence(F.lit(0), F.col("n") - k), _gram_hash(k))
-        parts.append(
-            texts.filter(fit)
-            .select("id", "n", F.posexplode(hashes).alias("at", "gram"))
-            .groupBy("gram", "id", "n")
-            .agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").cast("int").alias("times"))
-            .withColumn("k", F.lit(k))
+        rows = texts.filter(fit).withColumn("words", F.split("canon", " "))
+        spelled = lambda flag, k=k, rows=rows: (
+            rows.filter(flag).select("id", "n", bands.alias("bands"), F.posexplode(_hashes(k)).alias("at", "gram"))
         )
+        plain = spelled(F.col(f"plain_{k}")).withColumns({"lo": F.col("at"), "hi": F.col("at"), "times": F.lit(1)})
+        again = (
+            spelled(~F.col(f"plain_{k}")).groupBy("gram", "id", "n", "bands")
+            .agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").cast("int").alias("times"))
+        )
+        parts += [x.select("gram", "id", "n", "bands", "lo", "hi", "times").withColumn("k", F.lit(k)) for x in (plain, again)]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    return whole.withColumn("band", F.floor(F.log(F.col("n")) / -math.log(SHARE)).cast("int"))
+    return whole.withColumn("band", F.explode("bands")).select(
+        F.xxhash64("gram", "band").alias("gram"), "k", "id", "n", "lo", "hi", "times"
+    )
 
 
 def near_classes(texts: DataFrame) -> DataFrame:
     """(key_1, key_2): classes of different canonical texts that nearly agree, 1 from evaluation and 2 from training.
 
-    ``texts`` is (key, canon, in_eval, in_train), one row per canonical text.
+    ``texts`` is ``_measured`` (key, canon, in_eval, in_train), one row per canonical text.
     """
-    texts = texts.withColumns({"id": F.xxhash64("canon"), "words": F.split("canon", " ")}).withColumn(
-        "n", F.size("words")
-    )
-    ev = _grams(texts.filter("in_eval")).withColumn(
-        "band", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1))
-    )
-    tr = _grams(texts.filter("in_train")).withColumnsRenamed(
+    reach = F.array_distinct(F.array(_band(F.ceil(F.col("n") * SHARE - 1e-9)), _band(F.floor(F.col("n") / SHARE + 1e-9))))
+    ev = _grams(texts.filter("in_eval"), reach)
+    tr = _grams(texts.filter("in_train"), F.array(_band(F.col("n")))).drop("k").withColumnsRenamed(
         {"id": "id_2", "n": "n_2", "lo": "lo_2", "hi": "hi_2", "times": "times_2"}
     )
     longer, shorter = F.greatest("n", "n_2"), F.least("n", "n_2")
@@ -110,7 +131,7 @@ def near_classes(texts: DataFrame) -> DataFrame:
     least = F.ceil(longer * SHARE - 1e-9)
     kept = least - (F.col("k") - 1) * (longer + shorter - 2 * least + 1)
     pairs = (
-        ev.join(tr, ["gram", "k", "band"])
+        ev.join(tr, "gram")
         .filter(
             (F.col("id") != F.col("id_2"))
             & (shorter >= longer * SHARE - 1e-9)
@@ -143,7 +164,7 @@ def _classes(rows: DataFrame) -> DataFrame:
 def overlaps(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The records (without their words) and the matching classes (key_1 of evaluation, key_2 of training, exact)."""
     rows = records(shards)
-    texts = cut(_classes(rows))
+    texts = cut(_measured(_classes(rows)))
     same = texts.filter("in_eval and in_train").select(
         F.col("key").alias("key_1"), F.col("key").alias("key_2"), F.lit(True).alias("exact")
     )
