@@ -7,11 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import read_table
+
 _TABLE = re.compile(r"@(\w+)")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return read_table(spark, sf_dir, table)
 
 
 def spark_sql(text: str) -> Callable[[SparkSession, str], DataFrame]:
