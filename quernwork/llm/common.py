@@ -9,6 +9,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import read_table
+
 #: Folder of the public vocabulary files; the environment or a caller may name another.
 TOKENIZER_DIR = "/opt/tokenizers"
 
@@ -23,7 +25,7 @@ LANGUAGE_CODES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def vocabulary_path(file_name: str, folder: str | None = None) -> str:
