@@ -1,9 +1,9 @@
 """Problem 3: statistics of each record's text, and whether it is natural prose, a list, a table or junk.
 
-Each line is judged by its tokens (words, common words, figures, signs, no language) and by its neighbours: columns
-that stand below each other (vertical alignment of what separates them), entries of like form below each other. A
-record is what most of its characters are. The regularity of indents and of line lengths (autocorrelation) is given
-with the statistics and settles runs of entries that carry no mark.
+Each line is judged by its tokens (words, common words, figures, signs, no language), and runs of like lines by their
+layout: delimiters that stand below each other, entries of like form, the period of indents and of line lengths
+(autocorrelation). ``row_score`` and ``entry_score`` weigh the layout with the ratios of figures, signs, common words
+and end punctuation, and settle whether a run is a table, a list or prose. A record is what most of its characters are.
 """
 
 from __future__ import annotations
@@ -39,6 +39,11 @@ WORD, COMMON, FIGURE, JUNK, SIGN = range(5)
 KINDS = ("prose", "list", "table", "junk")
 #: What most of a record is where its prose has more characters: least share of characters and of lines.
 MIXED_SHARE, MIXED_LINES = 0.35, 0.75
+#: Least scores of a run that is a table or a list, and the run's least share of delimiters below each other (over
+#: rows beside each other) from which lines that are no rows by their tokens are rows.
+LEAST_ROWS, LEAST_ENTRIES, PLACED = 0.6, 0.5, 0.6
+#: Lines that stand below each other at least before their delimiters make them rows.
+LEAST_LINES = 3
 _MARK = re.compile(r"\s*(?:[-*•–—·]\s+|\(?\d{1,4}[.)\]]?\s+|[A-Za-z]{1,9}\.?\s\d{1,4}[.:)]\s+|[ivxlcIVXLC]{1,6}[.)]\s+)(?=\S)")
 _FIGURE = re.compile(r"[^\w]*(?:[£$]?\d[\d,.:/'°%½¼¾-]*|\d+(?:s|d|st|nd|rd|th|c|m|a|p|lb|oz)\.?)[^\w]*")
 _BROKEN = re.compile(r"[ÃÂ�¿½€™�§¤¶]|[a-z][A-Z]|\d[A-Za-z]{2,}\d|[A-Za-z]\d[A-Za-z]")
@@ -156,9 +161,13 @@ class Judge:
         sizes = [len(line.strip()) for line in lines]
         columns = [len(_COLUMNS.split(line.strip())) if k == 2 else 0 for k, line in zip(kinds, lines)]
         aligned = _alignment(lines, columns)
+        gaps = [_gaps(line) for line in lines]
         length_auto, indent_auto = _autocorrelation(sizes), _autocorrelation([len(x) - len(x.lstrip()) for x in lines])
+        # lines whose delimiters stand below each other may be rows, whatever their tokens are
+        kinds = _rows_by_place(kinds, gaps)
         # a lone line of figures or a lone entry is no table and no list
-        kinds = _runs(kinds, [self.form(line) if k == 1 else () for k, line in zip(kinds, lines)])
+        forms = [self.form(line) if k == 1 else () for k, line in zip(kinds, lines)]
+        kinds = _runs(kinds, forms, lines, gaps, [tokens for _, tokens in judged])
         share = [0.0] * 4
         for kind, size in zip(kinds, sizes):
             share[kind] += size
@@ -187,24 +196,95 @@ class Judge:
         }
 
 
-def _runs(kinds: list[int], forms: list[tuple]) -> list[int]:
-    """Possible rows and entries become prose where no neighbour is of the same kind, and entries without a mark
-    where fewer than half of the run have the run's commonest form."""
+def _gaps(line: str) -> list[tuple[int, int, bool]]:
+    """(start, end, tab) of each delimiter within the line."""
+    if "  " not in line and "\t" not in line and "|" not in line and "..." not in line:
+        return []
+    first, last = len(line) - len(line.lstrip()), len(line.rstrip())
+    return [(m.start(), m.end(), "\t" in m[0]) for m in _COLUMNS.finditer(line, first, last) if first < m.start() and m.end() < last]
+
+
+def _placed(a: list[tuple[int, int, bool]], b: list[tuple[int, int, bool]]) -> float:
+    """Share of the delimiters of two lines that begin or end at the same place; tabs are met by their order."""
+    if not a or not b:
+        return 0.0
+    met = 0
+    for i, (start, end, tab) in enumerate(a):
+        if tab:
+            met += i < len(b) and b[i][2]
+        else:
+            met += any(not t and (abs(s - start) <= 1 or abs(e - end) <= 1) for s, e, t in b)
+    return met / max(len(a), len(b))
+
+
+def _rows_by_place(kinds: list[int], gaps: list[list[tuple[int, int, bool]]]) -> list[int]:
+    """Lines of prose and entries become possible rows where ``LEAST_LINES`` or more have their delimiters in the same
+    places."""
+    out = list(kinds)
+    i = 0
+    while i < len(kinds):
+        j = i + 1
+        while j < len(kinds) and gaps[j] and _placed(gaps[j - 1], gaps[j]) >= PLACED:
+            j += 1
+        if j - i >= LEAST_LINES:
+            out[i:j] = [2 if k < 2 else k for k in kinds[i:j]]
+        i = j
+    return out
+
+
+def _ratios(tokens: list[list[tuple]]) -> tuple[float, float, float]:
+    """(digits, signs) by characters and common words by words."""
+    flat = [t for row in tokens for t in row]
+    letters, digits, signs = (sum(t[i] for t in flat) for i in (1, 2, 3))
+    solid, words = max(1, letters + digits + signs), max(1, sum(1 for t in flat if t[1]))
+    return digits / solid, signs / solid, sum(t[4] for t in flat) / words
+
+
+def row_score(placed: float, even: float, digits: float, signs: float, common: float) -> float:
+    """How far a run is a table: delimiters in the same places, equal numbers of columns, figures and signs."""
+    return 1.5 * placed + 0.5 * even + min(1.0, 3 * digits) + min(0.5, 2 * signs) - 1.5 * common
+
+
+def entry_score(alike: float, marked: float, indents: float, lengths: float, ends: float, common: float) -> float:
+    """How far a run is a list: entries of one form, marks, periods of indents and line lengths, and as many that end
+    with punctuation as is the rule of the run (all or none)."""
+    period = max(0.0, indents) + max(0.0, lengths)
+    return max(alike, marked) + 0.6 * min(1.0, period) + 0.2 * abs(2 * ends - 1) - 0.6 * common
+
+
+def _runs(kinds: list[int], forms: list[tuple], lines: list[str], gaps: list, tokens: list) -> list[int]:
+    """Possible rows and entries become prose where no neighbour is of the same kind, and runs of them where neither
+    layout nor ratios bear them out; rows that do not score as a table may still be a list."""
     out = list(kinds)
     i = 0
     while i < len(kinds):
         j = i
         while j < len(kinds) and kinds[j] == kinds[i]:
             j += 1
-        if kinds[i] in (1, 2) and j - i < 2 and not (j < len(kinds) and kinds[j] in (1, 2) or i and kinds[i - 1] in (1, 2)):
-            out[i:j] = [0] * (j - i)
-        elif kinds[i] == 1:
+        n = j - i
+        if kinds[i] in (1, 2) and n < 2 and not (j < len(kinds) and kinds[j] in (1, 2) or i and kinds[i - 1] in (1, 2)):
+            out[i:j] = [0] * n
+        elif kinds[i] in (1, 2) and n >= 2:
+            digits, signs, common = _ratios(tokens[i:j])
+            pairs = list(zip(gaps[i:j], gaps[i + 1 : j]))
+            placed = sum(_placed(a, b) for a, b in pairs) / len(pairs)
+            even = sum(len(a) == len(b) > 0 for a, b in pairs) / len(pairs)
+            shapes = forms[i:j] if kinds[i] == 1 else [Judge.form(line) for line in lines[i:j]]
             seen: dict[tuple, int] = {}
-            for form in forms[i:j]:
-                seen[form] = seen.get(form, 0) + 1
-            marked = sum(1 for form in forms[i:j] if form[0])
-            if max(seen.values()) < 0.5 * (j - i) and marked < 0.5 * (j - i):
-                out[i:j] = [0] * (j - i)
+            for shape in shapes:
+                seen[shape] = seen.get(shape, 0) + 1
+            indents = [len(x) - len(x.lstrip()) for x in lines[i:j]]
+            # an even margin tells nothing of a list
+            by_indent = _autocorrelation(indents) if len(set(indents)) > 1 else 0.0
+            entries = entry_score(
+                max(seen.values()) / n, sum(1 for shape in shapes if shape[0]) / n, by_indent,
+                _autocorrelation([len(x.strip()) for x in lines[i:j]]), sum(shape[3] for shape in shapes) / n, common,
+            )
+            rows = row_score(placed, even, digits, signs, common)
+            if kinds[i] == 2:
+                out[i:j] = [2 if rows >= LEAST_ROWS else 1 if entries >= LEAST_ENTRIES else 0] * n
+            else:
+                out[i:j] = [1 if entries >= LEAST_ENTRIES else 0] * n
         i = j
     return out
 

@@ -43,3 +43,16 @@ def test_long_and_repeated_records(spark):
 def test_empty_tables(spark):
     none = spark.createDataFrame([], RECORD)
     assert p3_quality.not_prose(none, spark.createDataFrame([], "word string, is_common boolean")).count() == 0
+
+
+def test_layout_settles_the_kind(spark):
+    names = ["River house", "Garden market", "Captain", "Harvest road", "Village", "Winter letter", "Window", "Morning town"]
+    # two columns of words: only where the delimiters stand tells them from a text with wide gaps
+    columns = "\n".join(f"{a:<18}of the {b.lower()} and people" for a, b in zip(names, names[::-1]))
+    ragged = "\n".join(f"{a:<{12 + 5 * (i % 4)}}of the {b.lower()} and people" for i, (a, b) in enumerate(zip(names, names[::-1])))
+    # entries of no one form: the period of the indents makes them a list, without it they are none
+    bodies = ["River house, market", "garden captain", "Village, winter, letter.", "town window;", "Harvest, road, house, river", "market garden."]
+    entries = [f"{'    ' * (i % 2)}{bodies[i % 6]}" for i in range(12)]
+    flat = [e.strip() for e in entries[:5]]
+    got = judged(spark, [columns, ragged, "\n".join(entries), "\n".join(flat)])
+    assert [got[i].kind for i in range(4)] == ["table", "prose", "list", "prose"]
