@@ -95,8 +95,10 @@ def train_pairs(counts: list[tuple[str, int]], merges: int) -> list[tuple[bytes,
 
 def train_bpe(df: DataFrame, text: str, vocabulary: int, most_pretokens: int = 1 << 20) -> DataFrame:
     """(token_id, token, n): bytes, then merges. Counting is distributed; merges are learned on the driver from the
-    distinct pretokens, of which the ``most_pretokens`` most frequent are taken (a documented bound)."""
-    counts = pretoken_counts(df, text).orderBy(F.desc("n"), "pretoken").limit(most_pretokens).collect()
+    distinct pretokens, which are refused beyond ``most_pretokens`` (a documented bound)."""
+    counts = pretoken_counts(df, text).orderBy(F.desc("n"), "pretoken").limit(most_pretokens + 1).collect()
+    if len(counts) > most_pretokens:
+        raise ValueError(f"more than {most_pretokens} pretokens")
     learned = train_pairs([(r.pretoken, r.n) for r in counts], max(0, vocabulary - BYTES - len(SPECIALS)))
     rows = [(i, bytes([i]), 0) for i in range(BYTES)]
     rows += [(BYTES + i, a + b, n) for i, (a, b, n) in enumerate(learned)]

@@ -196,3 +196,12 @@ def test_ingest_reads_each_file_once(spark, smoke_dir, tmp_path):
         ingest.ingest(ingest.file_stream(spark, smoke_dir, "newspapers"), str(tmp_path / "o"), str(tmp_path / "s"), lambda d: d.select("page_id"))
     got = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "o")).count()
     assert got == spark.read.parquet(f"{smoke_dir}/newspapers.parquet").count()
+
+
+def test_pretokens_beyond_the_bound_are_refused(spark):
+    from quernwork.operators import tokens
+
+    df = spark.createDataFrame([("one two three",)], "text string")
+    assert tokens.train_bpe(df, "text", 300, 3).count() > 256
+    with pytest.raises(ValueError):
+        tokens.train_bpe(df, "text", 300, 2)
