@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import language_code, table
-from .pieces import HOT_PIECES, with_token_counts
+from .common import language_code, table, vocabulary_path
+from .pieces import HOT_PIECES, RANK_FILE, pieces, token_count, with_token_counts
 
 UNKNOWN_LANGUAGE = "und"
+#: Parts over which rows without a book are spread.
+SALTS = 1 << 12
 
 
 def book_languages(manifest: DataFrame) -> DataFrame:
@@ -31,15 +33,15 @@ def _keyed(documents: DataFrame) -> DataFrame:
     )
 
 
-def _named(keyed: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Adds ``language``: that of the book's manifest row, else the row's own, else ``und``. Only rows of books are
-    joined, so that rows without a book meet in no one task."""
-    named = lambda df, book: df.withColumn("language", F.coalesce(book, "_own", F.lit(UNKNOWN_LANGUAGE)))
-    books = keyed.filter(F.col("_book").isNotNull()).join(
-        book_languages(manifest).withColumnRenamed("ebook_id", "_book"), "_book", "left"
-    )
-    rest = keyed.filter(F.col("_book").isNull())
-    return named(rest, F.lit(None)).unionByName(named(books, F.col("book_language")).drop("book_language"))
+def _named(keyed: DataFrame, manifest: DataFrame, spread: list[str]) -> DataFrame:
+    """Adds ``language``: that of the book's manifest row, else the row's own, else ``und``. Rows without a book meet
+    nothing; they are spread by the columns ``spread``, so that they do not gather in one task."""
+    salt = F.when(F.col("_book").isNull(), 1 + F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(0).cast("int")
+    books = book_languages(manifest).select(F.col("ebook_id").alias("_at"), F.lit(0).alias("_salted"), "book_language")
+    rows = keyed.withColumns({"_key": F.coalesce("_book", F.lit(0)), "_salt": salt})
+    met = rows.join(books, (rows["_key"] == books["_at"]) & (rows["_salt"] == books["_salted"]), "left")
+    language = F.coalesce("book_language", "_own", F.lit(UNKNOWN_LANGUAGE))
+    return met.withColumn("language", language).drop("_key", "_salt", "_at", "_salted", "book_language")
 
 
 def document_tokens(documents: DataFrame, manifest: DataFrame, hot_pieces: int = HOT_PIECES) -> DataFrame:
@@ -49,26 +51,36 @@ def document_tokens(documents: DataFrame, manifest: DataFrame, hot_pieces: int =
     """
     rows = documents.select("doc_id", "source", "lang", "domain", "ebook_id", "text")
     counted = with_token_counts(rows, hot_pieces=hot_pieces).drop("text")
-    return _named(_keyed(counted), manifest).select("doc_id", "source", "language", "domain", "n_tokens")
+    named = _named(_keyed(counted), manifest, ["doc_id", "source", "domain"])
+    return named.select("doc_id", "source", "language", "domain", "n_tokens")
 
 
 def token_budget(documents: DataFrame, manifest: DataFrame) -> DataFrame:
     """Totals by (source, language, domain), by each of them alone, and over all; ``level`` tells which.
 
-    Columns: level, source, language, domain, n_docs, n_with_text, n_tokens. Rows are summed by their keys and book
-    before books are joined with the manifest.
+    Columns: level, source, language, domain, n_docs, n_with_text, n_tokens. One scan counts how often each distinct
+    piece stands under each key (map-side combined); the piece's surviving symbols are counted and weighted by that
+    frequency. A null piece stands for each document and an empty one for each that has a text.
     """
-    rows = documents.select("source", "lang", "domain", "ebook_id", "text")
+    path = vocabulary_path(RANK_FILE)
+    filled = F.when(F.length("text") > 0, F.concat(F.array(F.lit("")), pieces(F.col("text"))))
+    marked = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(filled, F.array().cast("array<string>")))
+    keys = ["source", "domain", "_book", "_own"]
+    counted = (
+        _keyed(documents.select("source", "lang", "domain", "ebook_id", "text"))
+        .select(*keys, F.explode(marked).alias("piece"))
+        .groupBy(*keys, "piece").agg(F.count("*").alias("n"))
+    )
+    symbols = token_count(path)(F.coalesce("piece", F.lit("")))
     summed = (
-        _keyed(with_token_counts(rows))
-        .groupBy("source", "domain", "_book", "_own")
+        counted.withColumn("symbols", symbols).groupBy(*keys)
         .agg(
-            F.count("*").alias("docs"),
-            F.count_if(F.col("n_tokens") > 0).alias("filled"),
-            F.sum("n_tokens").alias("tokens"),
+            F.sum(F.when(F.col("piece").isNull(), F.col("n")).otherwise(0)).alias("docs"),
+            F.sum(F.when(F.col("piece") == "", F.col("n")).otherwise(0)).alias("filled"),
+            F.sum(F.when(F.length("piece") > 0, F.col("n") * F.col("symbols")).otherwise(0)).alias("tokens"),
         )
-    )
-    named = _named(summed, manifest)
+    )
+    named = _named(summed, manifest, keys)
     sets = [
         ("source, language, domain", ["source", "language", "domain"]),
         ("source", ["source"]), ("language", ["language"]), ("domain", ["domain"]), ("all", []),

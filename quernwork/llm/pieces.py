@@ -1,12 +1,11 @@
 """Byte-level BPE over the distinct pieces of a corpus.
 
 A text is cut into pieces by the vocabulary's public pattern; merges never cross pieces, so the tokens of a text
-are the tokens of its pieces in order. The corpus is scanned once for its distinct pieces with their frequencies
-(map-side combined), each distinct piece is encoded once, and a second scan puts the results back in place:
-
-* the most frequent pieces (``HOT_PIECES`` at most, each of ``HOT_BYTES`` at most: a proven bound of 8 MB) become a
-  literal bucketed map, so that the second scan needs no shuffle;
-* texts that hold any other piece are completed by a join of their remaining pieces with the dictionary.
+are the tokens of its pieces in order. A first scan counts the distinct pieces (map-side combined); the most frequent
+ones (``HOT_PIECES`` at most, each of ``HOT_BYTES`` at most: a proven bound of 8 MB) are encoded once each and become a
+literal bucketed map. A second scan looks the pieces of each text up in it and encodes the others where they stand. So
+neither texts nor pieces are joined with anything, the plan is the same at every size, and which pieces are hot tells
+only in the time.
 
 Null texts give null piece lists, which callers turn into their defined result (no tokens).
 """
@@ -39,6 +38,10 @@ HOT_BYTES = 64
 BUCKETS = 1 << 14
 #: Longer pieces are merged with a queue instead of a fold, whose steps are linear in the piece.
 FOLD_BYTES = 192
+#: Stands for a long piece among the ids of a text.
+LONG = "L"
+#: Pieces whose number of tokens a worker keeps; then it starts afresh.
+MOST_KEPT = 1 << 18
 
 
 @lru_cache(maxsize=4)
@@ -132,95 +135,133 @@ def queue_merges(data: bytes, table: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _queue_udf(path: str, counted: bool) -> Callable:
-    kind = "string"
+def _queue_udf(path: str) -> Callable:
+    """Token ids of a piece by the queue, as text."""
 
-    @F.pandas_udf(kind)
+    @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = ranks(path)
         for batch in batches:
-            found = (queue_merges(p.encode(), table) for p in batch)
-            yield pd.Series([str(len(x)) if counted else ",".join(map(str, x)) for x in found], dtype=object)
+            yield pd.Series([",".join(map(str, queue_merges(p.encode(), table))) for p in batch], dtype=object)
 
     return run
 
 
-def id_dictionary(df: DataFrame, text: str, path: str) -> DataFrame:
-    """(piece, n, value): ids of each distinct piece as comma-separated text, by the fold."""
-    counts = cut(piece_counts(df, text))
-    short = counts.filter(F.octet_length("piece") <= FOLD_BYTES)
-    long = counts.filter(F.octet_length("piece") > FOLD_BYTES)
-    folded = short.withColumn("value", F.array_join(fold_merges(F.col("piece"), path), ","))
-    queued = long.withColumn("value", _queue_udf(path, counted=False)("piece"))
-    return folded.unionByName(queued)
+def token_count(path: str) -> Callable:
+    """Column function: number of tokens of a piece by the queue."""
+
+    @F.pandas_udf("bigint")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept: dict[str, int] = {}
+        table = ranks(path)
+        for batch in batches:
+            yield pd.Series([_kept_count(p, kept, table) for p in batch], dtype="int64")
+
+    return run
 
 
-def count_dictionary(df: DataFrame, text: str, path: str) -> DataFrame:
-    """(piece, n, value): number of tokens of each distinct piece, by the queue."""
-    return piece_counts(df, text).withColumn("value", _queue_udf(path, counted=True)("piece"))
+def _kept_count(piece: str, kept: dict[str, int], table: dict[bytes, int]) -> int:
+    if (n := kept.get(piece)) is None:
+        n = len(queue_merges(piece.encode(), table))
+        if len(piece) <= HOT_BYTES:
+            if len(kept) >= MOST_KEPT:
+                kept.clear()
+            kept[piece] = n
+    return n
 
 
-def put_back(df: DataFrame, text: str, dictionary: DataFrame, kind: str, hot_pieces: int = HOT_PIECES) -> DataFrame:
-    """``df`` with ``_values``: the dictionary's values of the text's pieces in order; null for a null text.
+def _rest_counts(path: str) -> Callable:
+    """Number of tokens of a list of pieces; 0 for null."""
+
+    @F.pandas_udf("bigint")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept: dict[str, int] = {}
+        table = ranks(path)
+        for batch in batches:
+            yield pd.Series([0 if ps is None else sum(_kept_count(p, kept, table) for p in ps) for ps in batch], dtype="int64")
+
+    return run
 
-    ``dictionary`` is (piece, n, value) and must stand in a checkpoint. ``kind`` is the type of the values.
+
+def _filled_in(path: str) -> Callable:
+    """Ids of a text with ``LONG`` in the place of each long piece, and those pieces -> all ids; null for null."""
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        table = ranks(path)
+        for ids, long in batches:
+            out = []
+            for text, ps in zip(ids, long):
+                if text is None:
+                    out.append(None)
+                    continue
+                parts = text.split(LONG)
+                filled = [parts[0]]
+                for p, part in zip(ps, parts[1:]):
+                    filled += [",".join(map(str, queue_merges(p.encode(), table))), part]
+                out.append("".join(filled))
+            yield pd.Series(out, dtype=object)
+
+    return run
+
+
+def hot_values(df: DataFrame, text: str, value: Callable[[Column], Column], hot_pieces: int = HOT_PIECES) -> dict[str, str]:
+    """piece -> ``value`` of the most frequent pieces, ``hot_pieces`` at most.
+
+    Frequencies are counted over all texts. Frequency classes are taken whole, from the most frequent down, so that
+    one small table of classes tells the least frequency and no rows are ranked.
+    """
+    counts = cut(piece_counts(df, text).filter(F.octet_length("piece") <= HOT_BYTES))
+    size = F.floor(F.log2("n") * 16).cast("int")
+    classes = counts.groupBy(size.alias("size")).agg(F.count("*").alias("pieces")).collect()
+    least, total = None, 0
+    for row in sorted(classes, key=lambda r: -r["size"]):
+        total += row["pieces"]
+        if total > hot_pieces:
+            break
+        least = row["size"]
+    if least is None:
+        return {}
+    hot = counts.filter(size >= least)
+    return {r.piece: r.value for r in hot.select("piece", value(F.col("piece")).cast("string").alias("value")).collect()}
+
+
+def with_ids(
+    df: DataFrame, text: str = "text", out: str = "ids", path: str | None = None, hot_pieces: int = HOT_PIECES
+) -> DataFrame:
+    """``df`` with the token ids of ``text``; null and empty texts give the empty list.
+
+    Pieces that are not hot are folded in place. The steps of a fold are linear in the piece, so pieces of more than
+    ``FOLD_BYTES`` are merged by the queue, which gives the same ids; only they and the ids around them go to Python.
     """
-    total = dictionary.count()
-    hot = (
-        dictionary.filter(F.octet_length("piece") <= HOT_BYTES)
-        .orderBy(F.desc("n"), "piece")
-        .limit(hot_pieces)
-        .select("piece", "value")
-        .collect()
-    )
-    cast = int if kind == "int" else str
-    lookup = literal_map({r.piece: cast(r.value) for r in hot}, kind)
-    own = df.columns
-    cut_up = df.withColumn("_pieces", pieces(F.col(text)))
-    valued = cut_up.withColumn("_values", F.transform("_pieces", lookup))
-    if len(hot) == total:
-        return valued.select(*own, "_values")
-    lacking = F.coalesce(F.exists("_values", lambda v: v.isNull()), F.lit(False))
-    done = valued.filter(~lacking).select(*own, "_values")
-    open_ = valued.filter(lacking).withColumn("_key", F.sha2(F.col(text), 256))
-    rest = (
-        open_.select(
-            "_key", F.explode(F.array_distinct(F.filter("_pieces", lambda p: lookup(p).isNull()))).alias("piece")
-        )
-        .distinct()
-        .join(dictionary.select("piece", F.col("value").cast(kind).alias("value")), "piece")
-        .groupBy("_key")
-        .agg(F.map_from_entries(F.collect_list(F.struct("piece", "value"))).alias("_rest"))
-    )
-    completed = open_.join(rest, "_key").withColumn(
-        "_values", F.zip_with("_pieces", "_values", lambda p, v: F.coalesce(v, F.col("_rest")[p]))
-    )
-    return done.unionByName(completed.select(*own, "_values"))
-
-
-def with_ids(df: DataFrame, text: str = "text", out: str = "ids", path: str | None = None) -> DataFrame:
-    """``df`` with the token ids of ``text``; null and empty texts give the empty list."""
     path = path or vocabulary_path(RANK_FILE)
-    dictionary = cut(id_dictionary(df, text, path))
-    joined = F.array_join("_values", ",")
-    ids = F.when(F.length(joined) > 0, F.split(joined, ",").cast("array<int>"))
-    return (
-        put_back(df, text, dictionary, "string")
-        .withColumn(out, F.coalesce(ids, F.array().cast("array<int>")))
-        .drop("_values")
-    )
+    joined = lambda piece: F.array_join(fold_merges(piece, path), ",")
+    lookup = literal_map(hot_values(df, text, joined, hot_pieces), "string")
+    fits = lambda p: F.octet_length(p) <= FOLD_BYTES
+    folded = lambda p: F.coalesce(lookup(p), F.when(fits(p), joined(p)))
+    rows = df.withColumn("_pieces", pieces(F.col(text)))
+    rows = rows.withColumn("_ids", F.array_join(F.transform("_pieces", folded), ",", LONG))
+    lacks = F.contains("_ids", F.lit(LONG))
+    rows = rows.withColumn("_long", F.when(lacks, F.filter("_pieces", lambda p: ~fits(p)))).drop("_pieces")
+    rows = rows.withColumn("_full", _filled_in(path)(F.when(F.col("_long").isNotNull(), F.col("_ids")), "_long"))
+    whole = F.coalesce("_full", "_ids")
+    ids = F.when(F.length(whole) > 0, F.split(whole, ",").cast("array<int>"))
+    return rows.withColumn(out, F.coalesce(ids, F.array().cast("array<int>"))).drop("_ids", "_long", "_full")
 
 
 def with_token_counts(
     df: DataFrame, text: str = "text", out: str = "n_tokens", path: str | None = None, hot_pieces: int = HOT_PIECES
 ) -> DataFrame:
-    """``df`` with the number of tokens of ``text`` (BIGINT); null and empty texts have none."""
+    """``df`` with the number of tokens of ``text`` (BIGINT); null and empty texts have none. Pieces that are not hot
+    are counted in place by the queue; only they go to Python."""
     path = path or vocabulary_path(RANK_FILE)
-    dictionary = cut(count_dictionary(df, text, path))
-    total = F.aggregate("_values", F.lit(0).cast("bigint"), lambda a, v: a + v)
-    return (
-        put_back(df, text, dictionary, "int", hot_pieces).withColumn(out, F.coalesce(total, F.lit(0))).drop("_values")
-    )
+    lookup = literal_map({p: int(n) for p, n in hot_values(df, text, token_count(path), hot_pieces).items()}, "int")
+    rows = df.withColumn("_pieces", pieces(F.col(text))).withColumn("_values", F.transform("_pieces", lookup))
+    lacks = F.exists("_values", lambda v: v.isNull())
+    rest = F.when(lacks, F.filter("_pieces", lambda p, i: F.get("_values", i).isNull()))
+    known = F.aggregate("_values", F.lit(0).cast("bigint"), lambda a, v: a + F.coalesce(v, F.lit(0)))
+    rows = rows.withColumns({"_rest": rest, "_known": F.coalesce(known, F.lit(0))}).drop("_pieces", "_values")
+    return rows.withColumn(out, F.col("_known") + _rest_counts(path)("_rest")).drop("_rest", "_known")
 
 
 def decode(ids: Column, path: str | None = None) -> Column:

@@ -32,10 +32,24 @@ def test_ids_are_the_public_ones(spark, truth):
     assert got == {i: truth(v or "") for i, v in enumerate(ODD + ODD[:3])}
 
 
-def test_texts_with_rare_pieces_are_completed_by_the_join(spark, truth):
+@pytest.mark.parametrize("hot_pieces", [0, 3])
+def test_rare_pieces_are_encoded_where_they_stand(spark, truth, hot_pieces):
     docs = frame(spark, ODD).drop("ids")
-    counted = pieces.with_token_counts(docs, hot_pieces=3)
+    counted = pieces.with_token_counts(docs, hot_pieces=hot_pieces)
     assert {r.doc_id: r.n_tokens for r in counted.collect()} == {i: len(truth(v or "")) for i, v in enumerate(ODD)}
+    encoded = pieces.with_ids(docs, hot_pieces=hot_pieces)
+    assert {r.doc_id: r.ids for r in encoded.collect()} == {i: truth(v or "") for i, v in enumerate(ODD)}
+    for df in (counted, encoded):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_budget_of_documents_and_of_pieces_agree(spark, smoke_dir):
+    docs, books = (spark.read.parquet(f"{smoke_dir}/{t}.parquet") for t in ("documents", "manifest"))
+    keys = ["source", "language", "domain"]
+    rows = p4_tokens.document_tokens(docs, books).groupBy(*keys).agg(F.count("*").alias("a"), F.sum("n_tokens").alias("b"))
+    total = p4_tokens.token_budget(docs, books).filter("level = 'source, language, domain'")
+    assert sorted(map(str, rows.collect())) == sorted(map(str, total.select(*keys, F.col("n_docs").alias("a"), F.col("n_tokens").alias("b")).collect()))
 
 
 def test_queue_and_fold_agree(spark, truth):
