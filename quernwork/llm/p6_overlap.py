@@ -1,16 +1,19 @@
 """Problem 6: records of evaluation splits that stand in the training split too, the same or nearly so.
 
 Records are canonicalised to their words (runs of letters or digits, in lower case), so that case, punctuation and
-white space do not count. Equal canonical texts meet by a hash of the whole; others by hashes of word n-grams, whose
-length is chosen so that no pair is lost: if L >= 0.9 N of the longer text's N words stand in both in order, they form
-at most (n_1 - L) + (n_2 - L) + 1 unbroken runs, and the longest run holds a 3-gram for N <= 10, a 4-gram for
-N <= 40, and a 5-gram beyond. The same count bounds from below how many n-grams both must share. Gram hashes join only
-within neighbouring classes of length, and only near places count; what is left is compared word by word.
+white space do not count. Equal canonical texts meet by a hash of the whole and form classes; of each class only the
+record of the smallest id goes on to the search for nearly equal texts, which is exact too:
+
+* If ``SHARE`` of the longer text's N words stand in both in order, at most 2 N (1 - ``SHARE``) words of both together
+  are unmatched. A training text is cut into blocks of ``k`` words one after the other; an unmatched word breaks one
+  block at most, so that of its n / k blocks at least n / k minus the unmatched words stand whole in the other text.
+  ``k`` is 4, and 3 for short texts, which leaves at least one block for any two lengths.
+* So training blocks meet the evaluation texts' word k-grams by hash, where the places are near enough, and pairs that
+  share as many blocks as they must are compared word by word.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,30 +22,41 @@ from pyspark.sql import functions as F
 
 from .common import cut, table
 
-WORD = r"[\p{L}\p{N}]+"
 MIN_WORDS = 8
 SHARE = 0.9
 EVALUATION = ("val", "test")
-#: Two lengths within 9 in 10 of each other fall into two neighbouring classes of this width at most.
-BAND_WIDTH = -2 * math.log(SHARE)
-#: (n-gram length, least and most words of a text whose n-grams of that length are taken). A text of n words may pair
-#: with texts of up to n / 0.9 words, so that the ranges overlap.
-GRAMS = ((3, 9, 10), (4, 8, 44), (5, 36, None))
+#: Training texts of fewer words are cut into blocks of ``SHORT_BLOCK`` words, others into blocks of ``BLOCK``.
+SHORT, SHORT_BLOCK, BLOCK = 12, 3, 4
+#: Lengths of evaluation texts that may pair with short training texts and with the others.
+PAIR_SHORT, PAIR_OTHER = 12, 11
+#: Ids that are sent to all executors, 8 bytes each and flags; more are joined by a shuffle.
+MOST_SENT = 1 << 20
+
+
+def canonical(text: Column) -> Column:
+    """The words in lower case with single blanks between them."""
+    low = F.lower(text)
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.trim(
+        F.when(ascii_only, F.regexp_replace(low, "[^a-z0-9]+", " ")).otherwise(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
+    )
+
+
+def _split(split: Column) -> Column:
+    return F.lower(F.trim(split))
 
 
-def _gram_length(longer: Column) -> Column:
-    return F.when(longer <= 10, 3).when(longer <= 40, 4).otherwise(5)
+def _n_words(canon: Column) -> Column:
+    return F.octet_length(canon) - F.octet_length(F.replace(canon, F.lit(" "), F.lit(""))) + 1
 
 
 def records(shards: DataFrame) -> DataFrame:
-    """(rec_id, split, source, words, key): records with ``MIN_WORDS`` words or more; ``key`` is their exact class."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))
-    split = F.lower(F.trim("split"))
+    """(rec_id, split, source, key): records with ``MIN_WORDS`` words or more; ``key`` is their exact class."""
     return (
-        shards.select("rec_id", split.alias("split"), "source", words.alias("words"))
-        .filter(F.col("rec_id").isNotNull() & (F.size("words") >= MIN_WORDS))
-        .withColumn("canon", F.array_join("words", " "))
-        .withColumn("key", F.md5("canon"))
+        shards.filter(F.col("rec_id").isNotNull() & F.col("text").isNotNull())
+        .select("rec_id", _split(F.col("split")).alias("split"), "source", canonical(F.col("text")).alias("canon"))
+        .filter((F.col("canon") != "") & (_n_words(F.col("canon")) >= MIN_WORDS))
+        .select("rec_id", "split", "source", F.unhex(F.md5("canon")).alias("key"))
     )
 
 
@@ -70,106 +84,132 @@ def _near(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]
         yield pd.Series(out, dtype=bool)
 
 
-def _hashes(k: int) -> Column:
-    """Hashes of the text's word k-grams in order."""
-    one = lambda i: F.xxhash64(F.lit(k), *[F.get("words", i + j) for j in range(k)])
-    return F.transform(F.sequence(F.lit(0), F.col("n") - k), one)
+def _repeated(rows: DataFrame) -> DataFrame:
+    """(rec_id, keep, in_eval, in_train) of the records that share their class or, with different texts, their id:
+    whether the record goes on for its class, and the splits that the class stands in. Others are what they are."""
+    in_eval, in_train = F.col("split").isin(*EVALUATION), F.col("split") == "train"
+    one = rows.groupBy("key", "rec_id").agg(
+        F.count("*").alias("n"), F.bool_or(in_eval).alias("in_eval"), F.bool_or(in_train).alias("in_train")
+    )
+    classes = one.groupBy("key").agg(
+        F.min("rec_id").alias("first"), F.sum("n").alias("n"),
+        F.bool_or("in_eval").alias("in_eval"), F.bool_or("in_train").alias("in_train"),
+    ).filter("n > 1")
+    shared = one.select("key", "rec_id").join(classes, "key").groupBy("rec_id").agg(
+        F.count("*").alias("of_shared"), F.bool_or(F.col("rec_id") == F.col("first")).alias("first"),
+        F.bool_or("in_eval").alias("in_eval"), F.bool_or("in_train").alias("in_train"),
+    )
+    several = one.groupBy("rec_id").agg(F.count("*").alias("texts")).filter("texts > 1")
+    return shared.join(several, "rec_id", "full").select(
+        "rec_id", (F.coalesce("first", F.lit(True)) | F.col("texts").isNotNull()).alias("keep"),
+        (F.coalesce("in_eval", F.lit(True)) | F.col("texts").isNotNull()).alias("in_eval"),
+        (F.coalesce("in_train", F.lit(True)) | F.col("texts").isNotNull()).alias("in_train"),
+    )
 
 
-def _measured(texts: DataFrame) -> DataFrame:
-    """``texts`` with id, n (words) and, for each k, whether its k-grams are all different."""
-    texts = texts.withColumns({"id": F.xxhash64("canon"), "words": F.split("canon", " ")})
-    texts = texts.withColumn("n", F.size("words"))
-    for k, _, _ in GRAMS:
-        hashes = _hashes(k)
-        texts = texts.withColumn(f"plain_{k}", (F.col("n") >= k) & (F.size(F.array_distinct(hashes)) == F.size(hashes)))
-    return texts.drop("words")
+def _sent(small: DataFrame) -> DataFrame:
+    """``small``, which stands in a checkpoint, to be sent to all executors if it is small indeed."""
+    return F.broadcast(small) if small.count() <= MOST_SENT else small
 
 
-def _band(n: Column) -> Column:
-    """Class of length; texts that may pair are of the same class or of neighbouring ones."""
-    return F.floor(F.log(n) / BAND_WIDTH).cast("int")
+def _word_hashes(texts: DataFrame) -> DataFrame:
+    """(id, n, words): hashes of the words, of texts of ``MIN_WORDS`` words or more."""
+    canon = texts.select(F.col("rec_id").alias("id"), F.split(canonical(F.col("text")), " ").alias("w"))
+    hashed = F.transform("w", lambda w: F.xxhash64(w))
+    return canon.filter(F.size("w") >= MIN_WORDS).select("id", F.size("w").alias("n"), hashed.alias("words"))
 
 
-def _grams(texts: DataFrame, bands: Column) -> DataFrame:
-    """(gram, k, id, n, lo, hi, times): one row per different k-gram of a text and class of length in ``bands``, with
-    its outermost places and how often it stands there. ``gram`` hashes the words, k and the class. Only texts in which
-    a k-gram comes again are grouped; the others' rows go to the join as they are."""
-    parts = []
-    for k, least, most in GRAMS:
-        fit = F.col("n") >= least if most is None else F.col("n").between(least, most)
-        rows = texts.filter(fit).withColumn("words", F.split("canon", " "))
-        spelled = lambda flag, k=k, rows=rows: (
-            rows.filter(flag).select("id", "n", bands.alias("bands"), F.posexplode(_hashes(k)).alias("at", "gram"))
-        )
-        plain = spelled(F.col(f"plain_{k}")).withColumns({"lo": F.col("at"), "hi": F.col("at"), "times": F.lit(1)})
-        again = (
-            spelled(~F.col(f"plain_{k}")).groupBy("gram", "id", "n", "bands")
-            .agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").cast("int").alias("times"))
-        )
-        parts += [x.select("gram", "id", "n", "bands", "lo", "hi", "times").withColumn("k", F.lit(k)) for x in (plain, again)]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole.withColumn("band", F.explode("bands")).select(
-        F.xxhash64("gram", "band").alias("gram"), "k", "id", "n", "lo", "hi", "times"
+def _gram(i: Column, k: int) -> Column:
+    return F.xxhash64(F.lit(k), *[F.get("words", i + j) for j in range(k)])
+
+
+def _blocks(texts: DataFrame) -> DataFrame:
+    """(gram, id_2, n_2, at_2): blocks of training texts and where they begin."""
+    def cut_up(k: int) -> Column:
+        starts = F.sequence(F.lit(0), F.floor(F.col("n") / k).cast("int") * k - k, F.lit(k))
+        return F.transform(starts, lambda i: F.struct(_gram(i, k).alias("gram"), i.alias("at")))
+
+    blocks = F.when(F.col("n") < SHORT, cut_up(SHORT_BLOCK)).otherwise(cut_up(BLOCK))
+    return texts.select("id", "n", F.explode(blocks).alias("b")).select(
+        "b.gram", F.col("id").alias("id_2"), F.col("n").alias("n_2"), F.col("b.at").alias("at_2")
     )
 
 
-def near_classes(texts: DataFrame) -> DataFrame:
-    """(key_1, key_2): classes of different canonical texts that nearly agree, 1 from evaluation and 2 from training.
+def _grams(texts: DataFrame) -> DataFrame:
+    """(gram, id, n, lo, hi): different word k-grams of evaluation texts, with their outermost places."""
+    def spelled(k: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col("n") - k), lambda i: F.struct(_gram(i, k).alias("gram"), i.alias("at")))
 
-    ``texts`` is ``_measured`` (key, canon, in_eval, in_train), one row per canonical text.
-    """
-    reach = F.array_distinct(F.array(_band(F.ceil(F.col("n") * SHARE - 1e-9)), _band(F.floor(F.col("n") / SHARE + 1e-9))))
-    ev = _grams(texts.filter("in_eval"), reach)
-    tr = _grams(texts.filter("in_train"), F.array(_band(F.col("n")))).drop("k").withColumnsRenamed(
-        {"id": "id_2", "n": "n_2", "lo": "lo_2", "hi": "hi_2", "times": "times_2"}
+    none = F.array().cast("array<struct<gram:bigint,at:int>>")
+    all_ = F.sort_array(
+        F.concat(
+            F.when(F.col("n") >= PAIR_OTHER, spelled(BLOCK)).otherwise(none),
+            F.when(F.col("n") <= PAIR_SHORT, spelled(SHORT_BLOCK)).otherwise(none),
+        )
     )
+    rows = texts.select("id", "n", all_.alias("all"))
+    gram_at = lambda i: F.get("all", i)["gram"]
+    firsts = F.filter("all", lambda x, i: ~x["gram"].eqNullSafe(gram_at(i - 1)))
+    lasts = F.filter("all", lambda x, i: ~x["gram"].eqNullSafe(gram_at(i + 1)))
+    each = F.zip_with(firsts, lasts, lambda a, b: F.struct(a["gram"].alias("gram"), a["at"].alias("lo"), b["at"].alias("hi")))
+    return rows.select("id", "n", F.explode(each).alias("g")).select("g.gram", "id", "n", "g.lo", "g.hi")
+
+
+def _least_shared(n: Column, n_2: Column) -> Column:
+    """How many whole blocks of the training text of ``n_2`` words must stand in the other of ``n`` words."""
+    unmatched = n + n_2 - 2 * F.ceil(F.greatest(n, n_2) * SHARE - 1e-9)
+    return F.floor(n_2 / F.when(n_2 < SHORT, SHORT_BLOCK).otherwise(BLOCK)) - unmatched
+
+
+def near_candidates(ev: DataFrame, tr: DataFrame) -> DataFrame:
+    """(id, id_2): texts of near lengths, 1 of evaluation and 2 of training, that share as many blocks as they must.
+    ``ev`` and ``tr`` are (rec_id, text). A hash that many texts have is split by the engine's skew join, as both
+    sides come straight from a shuffle."""
     longer, shorter = F.greatest("n", "n_2"), F.least("n", "n_2")
-    slack = F.floor(longer * (1 - SHARE) + 1e-9) + 1
-    least = F.ceil(longer * SHARE - 1e-9)
-    kept = least - (F.col("k") - 1) * (longer + shorter - 2 * least + 1)
-    pairs = (
-        ev.join(tr, "gram")
+    slack = longer - F.ceil(longer * SHARE - 1e-9)
+    return (
+        _grams(_word_hashes(ev)).join(_blocks(_word_hashes(tr)), "gram")
         .filter(
             (F.col("id") != F.col("id_2"))
             & (shorter >= longer * SHARE - 1e-9)
-            & (F.col("k") == _gram_length(longer))
-            & (F.col("lo") - slack <= F.col("hi_2"))
-            & (F.col("lo_2") - slack <= F.col("hi"))
+            & (F.col("at_2") >= F.col("lo") - slack)
+            & (F.col("at_2") <= F.col("hi") + slack)
         )
-        .groupBy("id", "id_2", kept.alias("kept"))
-        .agg(F.sum(F.least("times", "times_2")).alias("shared"))
-        .filter(F.col("shared") >= F.col("kept"))
-    )
-    left = texts.filter("in_eval").select("id", F.col("key").alias("key_1"), F.col("canon").alias("canon_1"))
-    right = texts.filter("in_train").select(
-        F.col("id").alias("id_2"), F.col("key").alias("key_2"), F.col("canon").alias("canon_2")
-    )
-    return (
-        pairs.select("id", "id_2").join(left, "id").join(right, "id_2")
-        .filter(F.pandas_udf(_near, "boolean")("canon_1", "canon_2")).select("key_1", "key_2").distinct()
+        .groupBy("id", "id_2").agg(F.count("*").alias("shared"), F.max("n").alias("n"), F.max("n_2").alias("n_2"))
+        .filter(F.col("shared") >= _least_shared(F.col("n"), F.col("n_2")))
+        .select("id", "id_2")
     )
 
 
-def _classes(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("key").agg(
-        F.first("canon").alias("canon"),
-        F.bool_or(F.col("split").isin(*EVALUATION)).alias("in_eval"),
-        F.bool_or(F.col("split") == "train").alias("in_train"),
+def near_classes(shards: DataFrame, rows: DataFrame) -> DataFrame:
+    """(key_1, key_2): classes of different canonical texts that nearly agree, 1 from evaluation and 2 from training.
+    ``rows`` are the records in a checkpoint. Texts are moved only where they are compared."""
+    texts = shards.select("rec_id", _split(F.col("split")).alias("split"), "text").filter("rec_id is not null and text is not null")
+    known = texts.join(_sent(cut(_repeated(rows))), "rec_id", "left").filter(F.coalesce("keep", F.lit(True)))
+    ev = known.filter(F.coalesce("in_eval", F.col("split").isin(*EVALUATION))).select("rec_id", "text")
+    tr = known.filter(F.coalesce("in_train", F.col("split") == "train")).select("rec_id", "text")
+    pairs = cut(near_candidates(ev, tr))
+    met = cut(pairs.select(F.col("id").alias("rec_id")).union(pairs.select("id_2")).distinct())
+    compared = texts.join(_sent(met), "rec_id", "left_semi").select("rec_id", canonical(F.col("text")).alias("canon"))
+    keyed = compared.filter(_n_words(F.col("canon")) >= MIN_WORDS).distinct()
+    side = lambda i: keyed.select(
+        F.col("rec_id").alias("id" if i == 1 else "id_2"), F.unhex(F.md5("canon")).alias(f"key_{i}"), F.col("canon").alias(f"canon_{i}")
     )
+    both = pairs.join(side(1), "id").join(side(2), "id_2").filter("key_1 <> key_2")
+    return both.filter(F.pandas_udf(_near, "boolean")("canon_1", "canon_2")).select("key_1", "key_2").distinct()
 
 
 def overlaps(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The records (without their words) and the matching classes (key_1 of evaluation, key_2 of training, exact)."""
-    rows = records(shards)
-    texts = cut(_measured(_classes(rows)))
-    same = texts.filter("in_eval and in_train").select(
-        F.col("key").alias("key_1"), F.col("key").alias("key_2"), F.lit(True).alias("exact")
+    rows = cut(records(shards))
+    same = (
+        rows.groupBy("key")
+        .agg(F.bool_or(F.col("split").isin(*EVALUATION)).alias("in_eval"), F.bool_or(F.col("split") == "train").alias("in_train"))
+        .filter("in_eval and in_train")
+        .select(F.col("key").alias("key_1"), F.col("key").alias("key_2"), F.lit(True).alias("exact"))
     )
-    near = near_classes(texts).withColumn("exact", F.lit(False))
-    return rows.select("rec_id", "split", "source", "key"), cut(same.unionByName(near))
+    near = near_classes(shards, rows).withColumn("exact", F.lit(False))
+    return rows, cut(same.unionByName(near))
 
 
 def overlap_pairs(shards: DataFrame) -> DataFrame:
@@ -181,7 +221,7 @@ def overlap_pairs(shards: DataFrame) -> DataFrame:
     rows, classes = overlaps(shards)
     left = rows.filter(F.col("split").isin(*EVALUATION)).select(F.col("key").alias("key_1"), F.col("rec_id").alias("a"))
     right = rows.filter(F.col("split") == "train").select(F.col("key").alias("key_2"), F.col("rec_id").alias("b"))
-    pairs = classes.join(left, "key_1").join(right, "key_2")
+    pairs = classes.join(left, "key_1").join(right, "key_2").filter("a <> b")
     return pairs.select(F.least("a", "b").alias("rec_id_1"), F.greatest("a", "b").alias("rec_id_2")).distinct()
 
 

@@ -76,3 +76,13 @@ def test_report_counts_all_rows(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], SHARD)
     assert p6_overlap.overlap_pairs(frame).count() == 0 and p6_overlap.overlap_report(frame).count() == 0
+
+
+def test_some_block_stays_whole_at_any_two_lengths():
+    for n_2 in range(p6_overlap.MIN_WORDS, 600):
+        k = p6_overlap.SHORT_BLOCK if n_2 < p6_overlap.SHORT else p6_overlap.BLOCK
+        for n in range(p6_overlap.MIN_WORDS, 700):
+            kept = -(-9 * max(n, n_2) // 10)
+            if kept <= min(n, n_2):
+                assert n_2 // k - (n + n_2 - 2 * kept) >= 1
+                assert n <= p6_overlap.PAIR_SHORT if k == p6_overlap.SHORT_BLOCK else n >= p6_overlap.PAIR_OTHER
