@@ -47,17 +47,19 @@ def _split(split: Column) -> Column:
 
 
 def _n_words(canon: Column) -> Column:
-    return F.octet_length(canon) - F.octet_length(F.replace(canon, F.lit(" "), F.lit(""))) + 1
+    """0 for no words."""
+    return F.octet_length(canon) - F.octet_length(F.replace(canon, F.lit(" "), F.lit(""))) + (canon != "").cast("int")
 
 
 def records(shards: DataFrame) -> DataFrame:
-    """(rec_id, split, source, key): records with ``MIN_WORDS`` words or more; ``key`` is their exact class."""
-    return (
+    """(rec_id, split, source, key), in a checkpoint: records with ``MIN_WORDS`` words or more; ``key`` is their exact
+    class. What is filtered stands in the checkpoint already, so that no text is canonicalised for the filter again."""
+    rows = cut(
         shards.filter(F.col("rec_id").isNotNull() & F.col("text").isNotNull())
         .select("rec_id", _split(F.col("split")).alias("split"), "source", canonical(F.col("text")).alias("canon"))
-        .filter((F.col("canon") != "") & (_n_words(F.col("canon")) >= MIN_WORDS))
-        .select("rec_id", "split", "source", F.unhex(F.md5("canon")).alias("key"))
+        .select("rec_id", "split", "source", F.unhex(F.md5("canon")).alias("key"), _n_words(F.col("canon")).alias("n"))
     )
+    return rows.filter(F.col("n") >= MIN_WORDS).drop("n")
 
 
 def lcs_length(a: list[str], b: list[str]) -> int:
@@ -113,10 +115,9 @@ def _sent(small: DataFrame) -> DataFrame:
 
 
 def _word_hashes(texts: DataFrame) -> DataFrame:
-    """(id, n, words): hashes of the words, of texts of ``MIN_WORDS`` words or more."""
-    canon = texts.select(F.col("rec_id").alias("id"), F.split(canonical(F.col("text")), " ").alias("w"))
-    hashed = F.transform("w", lambda w: F.xxhash64(w))
-    return canon.filter(F.size("w") >= MIN_WORDS).select("id", F.size("w").alias("n"), hashed.alias("words"))
+    """(id, n, words): number and hashes of the words."""
+    words = texts.select(F.col("rec_id").alias("id"), F.split(canonical(F.col("text")), " ").alias("w"))
+    return words.select("id", F.size("w").alias("n"), F.transform("w", lambda w: F.xxhash64(w)).alias("words"))
 
 
 def _gram(i: Column, k: int) -> Column:
@@ -129,7 +130,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
         starts = F.sequence(F.lit(0), F.floor(F.col("n") / k).cast("int") * k - k, F.lit(k))
         return F.transform(starts, lambda i: F.struct(_gram(i, k).alias("gram"), i.alias("at")))
 
-    blocks = F.when(F.col("n") < SHORT, cut_up(SHORT_BLOCK)).otherwise(cut_up(BLOCK))
+    blocks = F.when(F.col("n") >= SHORT, cut_up(BLOCK)).when(F.col("n") >= MIN_WORDS, cut_up(SHORT_BLOCK))
     return texts.select("id", "n", F.explode(blocks).alias("b")).select(
         "b.gram", F.col("id").alias("id_2"), F.col("n").alias("n_2"), F.col("b.at").alias("at_2")
     )
@@ -144,7 +145,7 @@ def _grams(texts: DataFrame) -> DataFrame:
     all_ = F.sort_array(
         F.concat(
             F.when(F.col("n") >= PAIR_OTHER, spelled(BLOCK)).otherwise(none),
-            F.when(F.col("n") <= PAIR_SHORT, spelled(SHORT_BLOCK)).otherwise(none),
+            F.when(F.col("n").between(MIN_WORDS, PAIR_SHORT), spelled(SHORT_BLOCK)).otherwise(none),
         )
     )
     rows = texts.select("id", "n", all_.alias("all"))
@@ -191,8 +192,7 @@ def near_classes(shards: DataFrame, rows: DataFrame) -> DataFrame:
     pairs = cut(near_candidates(ev, tr))
     met = cut(pairs.select(F.col("id").alias("rec_id")).union(pairs.select("id_2")).distinct())
     compared = texts.join(_sent(met), "rec_id", "left_semi").select("rec_id", canonical(F.col("text")).alias("canon"))
-    keyed = compared.filter(_n_words(F.col("canon")) >= MIN_WORDS).distinct()
-    side = lambda i: keyed.select(
+    side = lambda i: compared.select(
         F.col("rec_id").alias("id" if i == 1 else "id_2"), F.unhex(F.md5("canon")).alias(f"key_{i}"), F.col("canon").alias(f"canon_{i}")
     )
     both = pairs.join(side(1), "id").join(side(2), "id_2").filter("key_1 <> key_2")
@@ -201,7 +201,7 @@ def near_classes(shards: DataFrame, rows: DataFrame) -> DataFrame:
 
 def overlaps(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The records (without their words) and the matching classes (key_1 of evaluation, key_2 of training, exact)."""
-    rows = cut(records(shards))
+    rows = records(shards)
     same = (
         rows.groupBy("key")
         .agg(F.bool_or(F.col("split").isin(*EVALUATION)).alias("in_eval"), F.bool_or(F.col("split") == "train").alias("in_train"))
