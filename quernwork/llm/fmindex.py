@@ -2,8 +2,7 @@
 
 Suffixes are sorted by their first ``CONTEXT`` symbols only (a bounded-context transform). Backward search is exact on
 it for patterns up to that length: the suffixes that begin with a pattern of m symbols still stand together, and those
-before them are all smaller in their first m symbols, which is all that a step needs. Positions come from the suffix
-array of the shard.
+before them are all smaller in their first m symbols, which is all that a step needs.
 """
 
 from __future__ import annotations
@@ -13,27 +12,26 @@ import numpy as np
 CONTEXT = 128
 
 
-def sort_suffixes(codes: np.ndarray) -> np.ndarray:
-    """Start positions of the suffixes of ``codes`` in the order of their first ``CONTEXT`` symbols."""
+def sort_suffixes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start positions of the suffixes of ``codes`` in the order of their first ``CONTEXT`` symbols, and the rank of
+    each position in that order, equal for suffixes that agree so far."""
     n = len(codes)
     if n == 0:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int32), np.empty(0, np.int32)
     rank = codes.astype(np.int64)
     order = np.argsort(rank, kind="stable")
     width = 1
     while width < CONTEXT:
-        after = np.zeros(n, np.int64)
+        key = rank * (int(rank.max()) + 2)
         if width < n:
-            after[: n - width] = rank[width:] + 1
-        key = rank * (int(rank.max()) + 2) + after
+            key[: n - width] += rank[width:] + 1
         order = np.argsort(key, kind="stable")
-        steps = np.empty(n, np.int64)
-        steps[0] = 0
-        steps[1:] = key[order][1:] != key[order][:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(steps)
+        steps = np.zeros(n, np.int64)
+        ordered = key[order]
+        np.cumsum(ordered[1:] != ordered[:-1], out=steps[1:])
+        rank[order] = steps
         width *= 2
-    return order
+    return order.astype(np.int32), rank.astype(np.int32)
 
 
 class Bits:
@@ -53,11 +51,20 @@ class Bits:
 
 
 class FMIndex:
-    """Index of a sequence of codes 1..sigma; 0 stands between records and matches nothing."""
+    """Index of a sequence of codes 1..sigma; 0 stands between records and matches nothing.
 
-    def __init__(self, codes: np.ndarray, sigma: int) -> None:
-        self.suffixes = sort_suffixes(codes)
-        last = codes[self.suffixes - 1]  # of position 0 that is the final code, a 0
+    It keeps the wavelet matrix, ``rank`` by position and, in the order of the suffixes, which record each lies in
+    (``owner``) and where the next one of another record is (``next_other``); the suffix array itself is dropped.
+    """
+
+    def __init__(self, codes: np.ndarray, sigma: int, owner: np.ndarray) -> None:
+        suffixes, self.rank = sort_suffixes(codes)
+        self.owner = owner[suffixes].astype(np.int32)
+        n = len(codes)
+        change = np.flatnonzero(self.owner[1:] != self.owner[:-1]) + 1
+        ends = np.append(change, n)
+        self.next_other = np.repeat(ends, np.diff(np.append(0, ends))).astype(np.int32)
+        last = codes[suffixes - 1]  # of position 0 that is the final code, a 0
         self.first = np.zeros(sigma + 2, np.int64)
         np.cumsum(np.bincount(codes, minlength=sigma + 1), out=self.first[1:])
         self.levels: list[tuple[int, Bits, int]] = []
@@ -79,3 +86,8 @@ class FMIndex:
         """The intervals of each pattern with one more code before it."""
         both = self._walk(np.concatenate([codes, codes]), np.concatenate([low, high])) + np.tile(self.base[codes], 2)
         return both[: len(low)], both[len(low) :]
+
+    def alone(self, owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether an interval is empty or holds suffixes of the record ``owner`` only."""
+        at = np.minimum(low, len(self.owner) - 1)
+        return (low >= high) | ((self.owner[at] == owner) & (self.next_other[at] >= high))

@@ -5,13 +5,16 @@
    stretch in common have an anchor in common. Texts with a common anchor meet under the smallest id among them, each
    with the stretch around its anchors; anchors of one text alone end here. Nothing is lost by this: any common stretch
    of ``MIN_SPAN`` lies whole within both stretches.
-3. The stretches form shards of bounded size. Each shard is an FM-index; the shard's stretches stream through it by
-   backward search from every ``GRID``-th end. The matching statistic at such an end (how long a suffix also stands in
-   another text) must reach ``MIN_SPAN`` - ``GRID`` + 1 for any common stretch that holds the end.
-4. The intervals above that threshold give places, which are extended to both sides and kept from ``MIN_SPAN`` on.
-
-A meeting of more text than a shard holds is cut into blocks, each indexed by itself, and its stretches stream through
-all of its blocks, so that no task holds more than a shard and no pair is lost.
+3. The stretches form shards of bounded size. Each shard is an FM-index over a wavelet matrix; the shard's stretches
+   stream through it by backward search from every ``GRID``-th end. The matching statistic at such an end (how long a
+   suffix of it also stands in another document) must reach ``NEEDED`` for any common stretch that holds the end.
+4. The intervals above that threshold give the windows of ``MIN_SPAN`` characters that may be common. Equal windows are
+   grouped by the ranks of the index, so that work and results grow with the stretches and never with the pairs of
+   their places: what comes out are the stretches of each document and the sets of documents that share a window.
+
+A meeting of more text than a shard holds is divided by its anchors, which every common window has exactly alike. The
+rare anchor whose own surroundings are more than a shard holds (thousands of documents with the same 100 characters)
+is divided further, by the hash of each window, so that no task ever holds more than a shard.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from .common import cut, table
-from .fmindex import FMIndex
+from .fmindex import CONTEXT, FMIndex
 
 MIN_SPAN = 200
 GRID = 100
@@ -37,6 +40,7 @@ NEEDED = MIN_SPAN - GRID + 1
 SHARD_CHARS = 1 << 20
 CHUNK_CHARS = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
+_BASE_2 = 0xC2B2AE3D27D4EB4F | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
@@ -77,6 +81,10 @@ def anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     most = _sliding(np.concatenate([edge, least, edge]), WINDOW, np.maximum)
     at = np.flatnonzero((grams == most) & (most > 0))
     number = np.searchsorted(stops, at, side="right")
+    # of an anchor that comes again place by place, as in a run of one sign, the first and the last tell all
+    same = (grams[at[1:]] == grams[at[:-1]]) & (number[1:] == number[:-1])
+    outer = ~(np.append(False, same) & np.append(same, False))
+    at, number = at[outer], number[outer]
     return number, at - (stops - sizes)[number], grams[at]
 
 
@@ -101,90 +109,145 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             start = stop
 
 
-def _codes(texts: list[str], alphabet: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Dense codes of the texts with zeros around each, where each text begins, and the alphabet."""
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Dense codes of the texts with zeros around each, where each text begins, and the number of different signs."""
     joined = "\0".join(["", *texts, ""])
     points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-    if alphabet is None:
-        alphabet = np.unique(points)
+    alphabet = np.unique(points)
     codes = np.searchsorted(alphabet, points).astype(np.int64) + 1
     sizes = np.array([len(t) for t in texts], np.int64)
     begins = np.cumsum(sizes + 1) - sizes
     codes[begins - 1] = 0
     codes[-1] = 0
-    return codes, begins, alphabet
+    return codes, begins, len(alphabet)
+
+
+def _grouped(changes: np.ndarray) -> np.ndarray:
+    """Numbers of the groups that begin where ``changes`` is set."""
+    return np.cumsum(changes) - 1
 
 
-def common_spans(shard: pd.DataFrame) -> pd.DataFrame:
-    """Common stretches of one shard: (id_1, from_1, to_1, id_2, from_2, to_2), id_1 < id_2.
+def common_windows(owner: np.ndarray, starts: np.ndarray, texts: list[str]) -> tuple[np.ndarray, ...]:
+    """What the documents of a shard have in common: (document, from, to) of the stretches, and (set, document) of the
+    different sets of documents that share a window.
 
-    Columns of ``shard``: id, start (where ``piece`` begins in its text), piece, indexed.
+    ``texts`` are stretches of the documents ``owner`` that begin at ``starts`` there.
     """
-    rows = shard.drop_duplicates(["id", "start", "piece", "indexed"])
-    owner = rows["id"].to_numpy(np.int64)
-    starts, texts = rows["start"].to_numpy(np.int64), rows["piece"].tolist()
-    codes, begins, alphabet = _codes(texts)
-    row_of = np.repeat(np.arange(len(texts)), np.diff(np.append(begins, len(codes))))
-    row_of = np.concatenate([np.zeros(begins[0], np.int64), row_of]) if len(begins) else row_of
-    indexed = rows["indexed"].to_numpy(bool)
-    # the index holds the indexed texts only; places in it are mapped back to places in ``codes``
-    held = np.flatnonzero(indexed[row_of])
-    inside = np.concatenate([[0], codes[held], [0]])
-    place = np.concatenate([[0], held, [len(codes) - 1]])
-    index = FMIndex(inside, len(alphabet))
+    codes, begins, sigma = _codes(texts)
+    names, number = np.unique(owner, return_inverse=True)
+    row_of = np.repeat(np.arange(-1, len(texts)), np.diff(np.concatenate([[0], begins, [len(codes)]])))
+    index = FMIndex(codes, sigma, np.where(row_of < 0, -1, number[np.maximum(row_of, 0)]))
 
     sizes = np.array([len(t) for t in texts], np.int64)
-    per = np.where(sizes >= NEEDED, sizes // GRID, 0)
+    per = np.where(sizes >= MIN_SPAN, sizes // GRID, 0)
     lane_row = np.repeat(np.arange(len(texts)), per)
     ends = (np.arange(len(lane_row)) - np.repeat(np.cumsum(per) - per, per) + 1) * GRID
     keep = ends >= NEEDED
     lane_row, ends = lane_row[keep], ends[keep]
-    at = begins[lane_row] + ends  # first place after the pattern
-    low, high = np.zeros(len(at), np.int64), np.full(len(at), len(inside), np.int64)
-    alone = indexed[lane_row].astype(np.int64)  # a text of the index always finds itself
+    at, mine = begins[lane_row] + ends, number[lane_row]
+    low, high = np.zeros(len(at), np.int64), np.full(len(at), len(codes), np.int64)
     for step in range(1, NEEDED + 1):
         low, high = index.extend(codes[at - step], low, high)
-        alive = high - low > alone
+        alive = ~index.alone(mine, low, high)
         if not alive.all():
-            lane_row, at, low, high, alone = (x[alive] for x in (lane_row, at, low, high, alone))
-    count = high - low
-    lane = np.repeat(np.arange(len(at)), count)
-    hits = index.suffixes[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(lane))]
-    p, q = at[lane], place[hits] + NEEDED
-    other = owner[lane_row[lane]] < owner[row_of[place[hits]]]
-    p, q = p[other], q[other]
-
-    def reach(sign: int, first: int, most: int) -> np.ndarray:
-        out = np.zeros(len(p), np.int64)
-        open_ = np.arange(len(p))
-        for d in range(first, first + most):
-            a, b = codes[p[open_] + sign * d], codes[q[open_] + sign * d]
-            open_ = open_[(a == b) & (a > 0)]
-            if not len(open_):
-                break
-            out[open_] += 1
-        return out
-
-    left, right = reach(-1, 1, MIN_SPAN), reach(1, 0, GRID)
-    good = left + right >= MIN_SPAN
-    p, q, left, right = p[good], q[good], left[good], right[good]
-    a, b = row_of[p - 1], row_of[q - 1]
-    from_1, from_2 = starts[a] + p - left - begins[a], starts[b] + q - left - begins[b]
+            lane_row, ends, at, mine, low, high = (x[alive] for x in (lane_row, ends, at, mine, low, high))
+
+    # windows that hold the end and the NEEDED characters before it
+    first = (ends[:, None] + np.arange(-MIN_SPAN, GRID - MIN_SPAN)[None, :]).ravel()
+    row = np.repeat(lane_row, GRID)
+    whole = (first >= 0) & (first + MIN_SPAN <= sizes[row])
+    first, row = first[whole], row[whole]
+    place = begins[row] + first
+    head, tail, doc = index.rank[place], index.rank[place + MIN_SPAN - CONTEXT], number[row]
+    order = np.lexsort((doc, tail, head))
+    head, tail, doc, row, first = (x[order] for x in (head, tail, doc, row, first))
+    new = np.ones(len(head), bool)
+    new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+    group = _grouped(new)
+    new_doc = new.copy()
+    new_doc[1:] |= doc[1:] != doc[:-1]
+    docs_in = np.bincount(group[new_doc], minlength=group[-1] + 1 if len(group) else 0)
+    common = docs_in[group] > 1
+
+    lo, by = starts[row[common]] + first[common], doc[common]
+    order = np.lexsort((lo, by))
+    lo, by = lo[order], by[order]
+    begin = np.ones(len(lo), bool)
+    begin[1:] = (by[1:] != by[:-1]) | (lo[1:] > lo[:-1] + MIN_SPAN)
+    end = np.append(begin[1:], True)[: len(lo)]
+    spans = names[by[begin]], lo[begin], lo[end] + MIN_SPAN
+
+    member = common & new_doc
+    group, doc = group[member], doc[member]
+    marks = np.random.default_rng(len(names)).integers(1, 1 << 62, (2, len(names)))
+    edge = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
+    if not len(edge):
+        return (*spans, group, names[doc])
+    sums = [np.add.reduceat(m[doc], edge) for m in marks]
+    sets = np.unique(np.stack([*sums, np.diff(np.append(edge, len(group)))]), axis=1, return_index=True)[1]
+    chosen = np.zeros(group[-1] + 1, bool)
+    chosen[group[edge[sets]]] = True
+    return (*spans, group[chosen[group]], names[doc[chosen[group]]])
+
+
+#: Rows of stretches (``share`` null: id, lo, hi) and of sets of documents (share, id).
+_FOUND = "share string, id bigint, lo bigint, hi bigint"
+#: Ids and stretches that are sent to all executors, about 40 bytes each; more are joined by a shuffle.
+MOST_SENT = 1 << 20
+
+
+def _shard(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
+    rows = shard.drop_duplicates(["id", "start", "piece"])
+    doc, lo, hi, group, member = common_windows(
+        rows["id"].to_numpy(np.int64), rows["start"].to_numpy(np.int64), rows["piece"].tolist()
+    )
+    none = np.full(len(member), -1)
     return pd.DataFrame(
         {
-            "id_1": owner[a], "from_1": from_1, "to_1": from_1 + left + right,
-            "id_2": owner[b], "from_2": from_2, "to_2": from_2 + left + right,
+            "share": [None] * len(doc) + [f"{key[0]}:{g}" for g in group],
+            "id": np.concatenate([doc, member]), "lo": np.concatenate([lo, none]), "hi": np.concatenate([hi, none]),
         }
-    ).drop_duplicates()
-
-
-_SPANS = "id_1 bigint, from_1 bigint, to_1 bigint, id_2 bigint, from_2 bigint, to_2 bigint"
-#: Ids of copies that are sent to all executors, 8 bytes each; more are joined by a shuffle.
-MOST_SENT = 1 << 20
+    )
 
 
-def _shard(_: tuple, shard: pd.DataFrame) -> pd.DataFrame:
-    return common_spans(shard)
+def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash_1, hash_2, id, lo) of all windows of the pieces."""
+    names = ["hash_1", "hash_2", "id", "lo"]
+    for batch in batches:
+        for id_, start, piece in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for at in range(0, len(piece) - MIN_SPAN + 1, CHUNK_CHARS):
+                text = piece[at : at + CHUNK_CHARS + MIN_SPAN - 1]
+                codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+                hashes = [_window_hashes(codes, base) for base in (_BASE, _BASE_2)]
+                n = len(hashes[0])
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(h.view(np.int64)) for h in hashes), pa.array(np.full(n, id_, np.int64)), pa.array(np.arange(n) + start + at)],
+                    names=names,
+                )
+
+
+def _window_hashes(codes: np.ndarray, base: int) -> np.ndarray:
+    n = len(codes)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(codes * _powers(base, n), out=sums[1:])
+    return (sums[MIN_SPAN:] - sums[:-MIN_SPAN]) * _powers(pow(base, -1, 1 << 64), n - MIN_SPAN + 1)
+
+
+def _by_windows(pieces: DataFrame) -> DataFrame:
+    """As a shard's result, of pieces that no shard holds: equal windows meet by two hashes of 64 bits."""
+    key = ["hash_1", "hash_2"]
+    windows = cut(pieces.select("id", "start", "piece").mapInArrow(_window_batches, "hash_1 bigint, hash_2 bigint, id bigint, lo bigint"))
+    groups = windows.groupBy(*key).agg(
+        F.min("id").alias("least"), F.max("id").alias("most"),
+        F.sum(F.xxhash64("id").cast("decimal(20)")).alias("mark"), F.count("*").alias("n"),
+    ).filter("least < most")
+    spans = windows.join(groups.select(*key), key).select(
+        F.lit(None).cast("string").alias("share"), "id", "lo", (F.col("lo") + MIN_SPAN).alias("hi")
+    )
+    sets = groups.groupBy("least", "most", "mark", "n").agg(F.min(F.struct(*key)).alias("k")).select("k.*")
+    share = F.concat(F.hex("hash_1"), F.hex("hash_2"))
+    members = windows.join(sets, key).select(share.alias("share"), "id", F.lit(-1).cast("bigint").alias("lo"), F.lit(-1).cast("bigint").alias("hi"))
+    return spans.unionByName(members.distinct())
 
 
 def _long(documents: DataFrame) -> DataFrame:
@@ -201,43 +264,51 @@ def _copies(long_: DataFrame) -> DataFrame:
     return cut(rows.join(first, "key").filter("doc_id <> first").select("first", "doc_id"))
 
 
-def shared_spans(long_: DataFrame, copies: DataFrame, shard_chars: int = SHARD_CHARS) -> DataFrame:
-    """Common stretches of different texts (columns as in ``common_spans``); a text goes by its smallest id."""
+def _stretches(met: DataFrame, key: str) -> DataFrame:
+    """(key, id, start, stop): the stretch of a text around its anchors of one key."""
+    return met.groupBy(key, "id").agg(
+        F.greatest(F.min("at") - (WINDOW - 1), F.lit(0)).cast("bigint").alias("start"),
+        (F.max("at") + MIN_SPAN).cast("bigint").alias("stop"),
+    )
+
+
+def _sized(stretches: DataFrame, key: str) -> DataFrame:
+    """``stretches`` with the characters of their key, which are summed before they are joined."""
+    return stretches.join(stretches.groupBy(key).agg(F.sum(F.col("stop") - F.col("start")).alias("chars")), key)
+
+
+def shared_windows(long_: DataFrame, copies: DataFrame, shard_chars: int = SHARD_CHARS) -> DataFrame:
+    """What different texts have in common, as rows of ``_FOUND``; a text goes by its smallest id."""
     few = copies.count() <= MOST_SENT
     others = copies.select("doc_id")
     texts = long_.join(F.broadcast(others) if few else others, "doc_id", "left_anti")
     found = (
         texts.select("doc_id", "text").mapInArrow(_anchor_batches, "gram bigint, id bigint, at int").repartition("gram")
     )
-    meeting = found.groupBy("gram").agg(F.min("id").alias("lead"), F.max("id").alias("most")).filter("lead < most")
-    regions = (
-        found.join(meeting.select("gram", "lead"), "gram")
-        .groupBy("id", "lead")
-        .agg(
-            F.greatest(F.min("at") - (WINDOW - 1), F.lit(0)).alias("start"),
-            (F.max("at") + MIN_SPAN).alias("stop"),
-        )
-    )
-    regions = cut(regions)
-    leads = regions.groupBy("lead").agg(F.sum(F.col("stop") - F.col("start")).alias("chars"))
-    blocks = F.ceil(F.col("chars") / shard_chars).cast("int")
-    total = leads.agg(F.sum("chars").alias("chars")).first().chars or 0
+    # the filter on ``last`` holds always; with it both uses of ``found`` read the same columns and share one shuffle
+    leads = found.groupBy("gram").agg(F.min("id").alias("lead"), F.max("id").alias("most"), F.max("at").alias("last"))
+    met = cut(found.join(leads.filter("lead < most and last >= 0").select("gram", "lead"), "gram"))
+    by_lead = cut(_sized(_stretches(met, "lead"), "lead"))
+    large = by_lead.filter(F.col("chars") > shard_chars).select("lead").distinct()
+    by_gram = cut(_sized(_stretches(met.join(large, "lead"), "gram"), "gram"))
+    total = sum(df.filter(F.col("chars") <= shard_chars).agg(F.sum(F.col("stop") - F.col("start"))).first()[0] or 0 for df in (by_lead, by_gram))
     shards = max(1, -(-2 * total // shard_chars))
-    sized = regions.join(leads.withColumn("blocks", blocks), "lead")
-    # a large meeting has shards of its own, one a block; the others share numbered ones
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    large = F.col("blocks") > 1
-    spread = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        F.col("id").alias("doc_id"), "start", "stop",
-        F.when(large, F.col("lead")).alias("meeting"),
-        F.when(large, F.col("block")).otherwise(F.pmod(F.xxhash64("lead"), F.lit(shards)).cast("int")).alias("block"),
-        (~large | (F.col("block") == own)).alias("indexed"),
-    )
-    pieces = spread.join(long_, "doc_id").select(
-        "meeting", "block", F.col("doc_id").alias("id"), F.col("start").cast("bigint"),
-        F.substring("text", F.col("start") + 1, F.col("stop") - F.col("start")).alias("piece"), "indexed",
+    numbered = lambda df, key: df.filter(F.col("chars") <= shard_chars).select(
+        F.pmod(F.xxhash64(key), F.lit(shards)).alias("shard"), F.col("id").alias("doc_id"), "start", "stop"
+    )
+    hot = by_gram.filter(F.col("chars") > shard_chars).select(
+        F.lit(-1).cast("bigint").alias("shard"), F.col("id").alias("doc_id"), "start", "stop"
+    )
+    wanted = cut(numbered(by_lead, "lead").unionByName(numbered(by_gram, "gram")).unionByName(hot).distinct())
+    some = wanted.count() <= MOST_SENT
+    pieces = long_.join(F.broadcast(wanted) if some else wanted, "doc_id").select(
+        "shard", F.col("doc_id").alias("id"), "start",
+        F.substring("text", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int")).alias("piece"),
     )
-    return cut(pieces.groupBy("meeting", "block").applyInPandas(_shard, _SPANS))
+    out = pieces.filter("shard >= 0").groupBy("shard").applyInPandas(_shard, _FOUND)
+    if not hot.isEmpty():
+        out = out.unionByName(_by_windows(pieces.filter("shard < 0")))
+    return cut(out)
 
 
 def document_pairs(documents: DataFrame) -> DataFrame:
@@ -247,7 +318,9 @@ def document_pairs(documents: DataFrame) -> DataFrame:
     """
     long_ = _long(documents)
     copies = _copies(long_)
-    pairs = shared_spans(long_, copies).select("id_1", "id_2").distinct()
+    sets = shared_windows(long_, copies).filter("share is not null").select("share", "id")
+    one, two = sets.withColumnRenamed("id", "id_1"), sets.withColumnRenamed("id", "id_2")
+    pairs = one.join(two, "share").filter("id_1 < id_2").select("id_1", "id_2").distinct()
     # what holds for a text holds for its copies; the smallest id stands for itself
     ends = pairs.select(F.col("id_1").alias("first")).union(pairs.select("id_2")).union(copies.select("first")).distinct()
     members = copies.unionByName(ends.select("first", F.col("first").alias("doc_id")))
@@ -270,10 +343,8 @@ def shared_share(documents: DataFrame) -> DataFrame:
     """
     long_ = _long(documents)
     copies = _copies(long_)
-    spans = shared_spans(long_, copies)
-    one = spans.select(F.col("id_1").alias("doc_id"), F.col("from_1").alias("lo"), F.col("to_1").alias("hi"))
-    two = spans.select(F.col("id_2").alias("doc_id"), F.col("from_2").alias("lo"), F.col("to_2").alias("hi"))
-    span = one.unionByName(two).groupBy("doc_id", "lo").agg(F.max("hi").alias("hi"))
+    spans = shared_windows(long_, copies).filter("share is null")
+    span = spans.groupBy(F.col("id").alias("doc_id"), "lo").agg(F.max("hi").alias("hi"))
     before = F.max("hi").over(W.Window.partitionBy("doc_id").orderBy("lo").rowsBetween(W.Window.unboundedPreceding, -1))
     new = F.col("hi") - F.greatest(F.col("lo"), F.coalesce(before, F.lit(0)))
     part = span.withColumn("new", F.greatest(new, F.lit(0))).groupBy("doc_id").agg(F.sum("new").alias("part"))

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 
@@ -36,7 +37,7 @@ def make(seed, n=24):
 def test_interval_sizes_are_occurrences():
     rng = np.random.default_rng(1)
     codes = np.concatenate([[0], rng.integers(1, 5, 3000), [0]])
-    index = FMIndex(codes, 4)
+    index = FMIndex(codes, 4, np.zeros(len(codes), np.int64))
     text = "".join(map(chr, codes))
     for size in (1, 3, 9):
         starts = rng.integers(1, 2900, 40)
@@ -63,13 +64,32 @@ def test_pairs_are_those_of_brute_force(spark):
         assert got == {(j, i) for i, j in want}
 
 
-def test_large_meetings_in_blocks_lose_nothing(spark):
+def test_large_meetings_lose_nothing(spark):
     docs = make(3)
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id bigint, text string")
     long_ = p9_spans._long(frame)
     copies = p9_spans._copies(long_)
-    pairs = lambda size: {(r.id_1, r.id_2) for r in p9_spans.shared_spans(long_, copies, size).collect()}
-    assert pairs(300) == pairs(1 << 20)
+
+    def result(size):
+        rows = p9_spans.shared_windows(long_, copies, size).collect()
+        sets, signs = {}, set()
+        for r in rows:
+            if r.share is None:
+                signs |= {(r.id, i) for i in range(r.lo, r.hi)}
+            else:
+                sets.setdefault(r.share, set()).add(r.id)
+        return {(a, b) for s in sets.values() for a in s for b in s if a < b}, signs
+
+    whole = result(1 << 20)
+    assert whole == result(2000) == result(300) and whole[0]
+
+
+def test_runs_of_one_sign_take_time_by_their_length():
+    texts = ["a" * 200_000, "a" * 200_000, "b" + "a" * 250]
+    began = time.time()
+    doc, lo, hi, _, member = p9_spans.common_windows(np.array([7, 8, 9]), np.zeros(3, np.int64), texts)
+    assert sorted(zip(doc, lo, hi)) == [(7, 0, 200_000), (8, 0, 200_000), (9, 1, 251)] and set(member) == {7, 8, 9}
+    assert len(p9_spans.anchors(texts)[0]) < 20 and time.time() - began < 20
 
 
 def test_shared_characters(spark):
