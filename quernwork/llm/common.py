@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import importlib
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,12 +41,17 @@ def vocabulary_path(file_name: str, folder: str | None = None) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from there.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; only where that is unset (tests on one machine) a
-    temporary folder is taken.
+    The cluster names the folder in ``spark.checkpoint.dir``; only where that is unset and the session runs on one
+    machine (tests) a temporary folder is taken, which goes when Python ends. Checkpoints themselves are removed by the
+    engine once nothing refers to them, where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getConf().get("spark.checkpoint.dir") and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-checkpoint-"))
+    context = df.sparkSession.sparkContext
+    if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        folder = tempfile.mkdtemp(prefix="quern-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

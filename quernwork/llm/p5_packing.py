@@ -17,8 +17,9 @@ from pyspark.sql import window as W
 from .common import cut, join_equal, table
 from .pieces import with_token_counts
 
-#: Ranks within one size are counted in so many parts, so that a size that a third of all texts have is no one task.
-RANK_PARTS = 64
+#: Ranks within one size are counted in parts of about ``PART_ROWS`` rows of all texts, ``RANK_PARTS`` at least, so that
+#: a size that a third of all texts have is no one task.
+RANK_PARTS, PART_ROWS = 64, 1 << 18
 #: Longest run of places that one row describes before places are spelled out.
 RUN_PLACES = 4096
 #: The containers are a small fixed table; more rows than this are refused.
@@ -201,9 +202,9 @@ def _items(sized: DataFrame, containers: DataFrame) -> DataFrame:
     return parts.select("split", "container", "capacity", "rec_id", F.col("part").cast("int"), size.alias("size"))
 
 
-def _ranked(items: DataFrame, keys: list[str], tie: list[Column]) -> DataFrame:
+def _ranked(items: DataFrame, keys: list[str], tie: list[Column], n_parts: int) -> DataFrame:
     """``items`` with ``rank`` from 0 within ``keys``, counted in parts by a hash and joined by the parts' sums."""
-    parted = items.withColumn("_part", F.pmod(F.xxhash64(*tie), F.lit(RANK_PARTS)).cast("int"))
+    parted = items.withColumn("_part", F.pmod(F.xxhash64(*tie), F.lit(n_parts)).cast("int"))
     sums = parted.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(W.Window.partitionBy(*keys).orderBy("_part")) - F.col("_n")
     sums = sums.withColumn("_before", before).drop("_n")
@@ -236,7 +237,8 @@ def pack(sized: DataFrame, containers: DataFrame) -> DataFrame:
         (F.col("first_rank") + F.col("at")).alias("rank"),
         (F.col("first_bin") + F.floor(F.col("at") / F.col("per_bin"))).alias("bin"),
     )
-    ranked = _ranked(items.filter("size > 0"), keys, [F.col("rec_id"), F.col("part")])
+    n_parts = max(RANK_PARTS, items.count() // PART_ROWS)
+    ranked = _ranked(items.filter("size > 0"), keys, [F.col("rec_id"), F.col("part")], n_parts)
     placed = join_equal(ranked, places, [*keys, "rank"]).select(*items.columns, "bin")
     empty = items.filter("size = 0").withColumn("bin", F.lit(None).cast("bigint"))
     return placed.unionByName(empty)

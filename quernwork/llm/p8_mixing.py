@@ -11,11 +11,12 @@ from .common import cut, table
 from .p4_tokens import document_tokens
 
 SEED = 20
-#: Weight of a language in its source and of a domain in its language: available tokens to this power. Below 1, small
-#: ones get more than their natural share, within the cap on repeats.
-SMOOTHING = 0.7
-#: Parts of the order of an epoch; only the part that holds the end of the prefix is sorted.
-ORDER_PARTS = 1 << 12
+#: Bits of an epoch's order that make its parts: 4,096 and up to 2^20, so that a part of the largest leaf has about
+#: ``PART_ROWS`` rows. Only the part that holds the end of the prefix is sorted.
+LEAST_BITS, MOST_BITS, PART_ROWS = 12, 20, 1 << 18
+#: Leaves and sources that plans are made for on the driver and sent to all executors, one short row each; a tree of
+#: more is refused, as names of languages and domains do not grow with the rows.
+MOST_LEAVES = 1 << 17
 
 
 def fill(budget: float, weights: list[float], caps: list[float]) -> list[float]:
@@ -37,10 +38,16 @@ def fill(budget: float, weights: list[float], caps: list[float]) -> list[float]:
 
 
 def plan_leaves(
-    available: dict[tuple, int], targets: dict[str, tuple[float, int]], total: float | None = None
+    available: dict[tuple, int],
+    targets: dict[str, tuple[float, int]],
+    total: float | None = None,
+    weights: dict[tuple, float] | None = None,
 ) -> dict[tuple, int]:
     """Token budget of each leaf (source, language, domain).
 
+    ``weights`` gives the weight of nodes (source, language) and (source, language, domain) among their siblings;
+    those it does not name weigh as many tokens as they have.
+
     The root's budget is ``total``, else the largest at which every source with tokens can have its target share
     under its cap on repeats. It goes down the tree by weights; at each node, what one child cannot take goes to its
     siblings, and only what no sibling can take changes the shares one level higher (a child's cap is the sum of the
@@ -57,11 +64,11 @@ def plan_leaves(
                 below.setdefault(leaf[: len(prefix) + 1], []).append(leaf)
         # an equal order in every run, nulls first
         children = sorted(below, key=lambda c: [(x is not None, x or "") for x in c])
-        weights = [
-            targets[c[0]][0] if not prefix else float(sum(available[x] for x in below[c])) ** SMOOTHING
+        weigh = [
+            targets[c[0]][0] if not prefix else (weights or {}).get(c, float(sum(available[x] for x in below[c])))
             for c in children
         ]
-        parts = fill(budget, weights, [float(sum(cap[x] for x in below[c])) for c in children])
+        parts = fill(budget, weigh, [float(sum(cap[x] for x in below[c])) for c in children])
         return {leaf: b for c, part in zip(children, parts) for leaf, b in down(c, part).items()}
 
     by_source: dict[str, int] = {}
@@ -79,7 +86,15 @@ def _order(epoch: Column) -> Column:
 _LEAF = ["source", "language", "domain"]
 
 
-def _choose(usable: DataFrame, budgets: dict[tuple, int], held: dict[tuple, int]) -> DataFrame:
+def _collected(rows: DataFrame) -> list:
+    """A row a leaf at most."""
+    found = rows.limit(MOST_LEAVES + 1).collect()
+    if len(found) > MOST_LEAVES:
+        raise ValueError(f"more than {MOST_LEAVES} leaves")
+    return found
+
+
+def _choose(usable: DataFrame, budgets: dict[tuple, int], held: dict[tuple, int], bits: int) -> DataFrame:
     """Rows with their repeats: whole epochs, and of one more epoch the prefix that comes closest to the budget."""
     spark = usable.sparkSession
     same = lambda a, b: [a[c].eqNullSafe(b[c]) for c in _LEAF]
@@ -88,7 +103,7 @@ def _choose(usable: DataFrame, budgets: dict[tuple, int], held: dict[tuple, int]
     plan = F.broadcast(spark.createDataFrame(rows, kinds))
     planned = usable.join(plan, same(usable, plan)).select(*[usable[c] for c in usable.columns], "full", "rest")
     ordered = planned.withColumn("_at", _order(F.col("full"))).withColumn(
-        "_part", F.shiftright("_at", 52).cast("int") + ORDER_PARTS // 2
+        "_part", F.shiftright("_at", 64 - bits).cast("int") + (1 << bits - 1)
     )
     parts = ordered.groupBy(*_LEAF, "_part").agg(F.sum("n_tokens").alias("tokens"), F.first("rest").alias("rest"))
     upto = F.sum("tokens").over(W.Window.partitionBy(*_LEAF).orderBy("_part"))
@@ -97,7 +112,7 @@ def _choose(usable: DataFrame, budgets: dict[tuple, int], held: dict[tuple, int]
     )
     end_rows = ends.select(*_LEAF, F.col("_part").alias("_end"), (F.col("_upto") - F.col("tokens")).alias("_base"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in end_rows.schema])
-    end = F.broadcast(spark.createDataFrame(end_rows.collect(), schema))
+    end = F.broadcast(spark.createDataFrame(_collected(end_rows), schema))
     placed = ordered.join(end, same(ordered, end), "left").select(
         *[ordered[c] for c in ordered.columns], "_end", "_base"
     )
@@ -138,28 +153,29 @@ def settle(
     return out
 
 
-def mix(sized: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
+def mix(
+    sized: DataFrame, targets: DataFrame, total: float | None = None, weights: dict[tuple, float] | None = None
+) -> DataFrame:
     """(doc_id, source, language, domain, n_tokens, repeats) of the rows that are used.
 
     ``sized`` is (doc_id, source, language, domain, n_tokens), best in a checkpoint, as it is read a few times. A leaf
     uses whole epochs of its rows and of one more epoch the prefix, in that epoch's seeded order, that comes closest to
     its budget; one leaf of each source then makes up for the others' remainders. Rows without tokens and of sources
-    without a target are not used. The tables collected hold one row for each leaf or source, a number that does not
-    grow with the rows.
+    without a target are not used. The tables collected hold one row for each leaf or source, ``MOST_LEAVES`` at most.
     """
     goal = {
         r.source: (float(r.target_share), int(r.max_repeats))
-        for r in targets.dropna().dropDuplicates(["source"]).collect()
+        for r in _collected(targets.dropna().dropDuplicates(["source"]))
     }
     usable = sized.filter((F.col("n_tokens") > 0) & F.col("source").isin(list(goal)))
-    held = {
-        (r.source, r.language, r.domain): int(r.tokens)
-        for r in usable.groupBy(*_LEAF).agg(F.sum("n_tokens").alias("tokens")).collect()
-    }
-    budgets = plan_leaves(held, goal, total)
-    first = _choose(usable, budgets, held).groupBy(*_LEAF).agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("t"))
-    reached = {(r.source, r.language, r.domain): int(r.t) for r in first.collect()}
-    return _choose(usable, settle(budgets, reached, held, {s: c for s, (_, c) in goal.items()}), held)
+    leaves = _collected(usable.groupBy(*_LEAF).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n")))
+    held = {(r.source, r.language, r.domain): int(r.tokens) for r in leaves}
+    parts = max((r.n for r in leaves), default=0) // PART_ROWS
+    bits = min(MOST_BITS, max(LEAST_BITS, parts.bit_length()))
+    budgets = plan_leaves(held, goal, total, weights)
+    first = _choose(usable, budgets, held, bits).groupBy(*_LEAF).agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("t"))
+    reached = {(r.source, r.language, r.domain): int(r.t) for r in _collected(first)}
+    return _choose(usable, settle(budgets, reached, held, {s: c for s, (_, c) in goal.items()}), held, bits)
 
 
 def reached_shares(mixed: DataFrame, sized: DataFrame, targets: DataFrame) -> DataFrame:
