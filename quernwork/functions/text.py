@@ -124,7 +124,7 @@ def estimated_tokens(text: Column) -> Column:
 
 def first_year(text: Column) -> Column:
     """The first number of four digits, if it is a year from 1000 to 2100; a later one is not looked at."""
-    year = F.nullif(F.regexp_extract(text, r"\b(\d{4})\b", 1), F.lit("")).try_cast("int")
+    year = F.nullif(F.regexp_extract(text, r"(?U)\b(\d{4})\b", 1), F.lit("")).try_cast("int")
     return F.when(year.between(1000, 2100), year)
 
 
@@ -159,5 +159,11 @@ def safe_path(path: Column) -> Column:
     return F.regexp_replace(F.replace(bare, F.lit("/"), F.lit("_")), r"[^a-zA-Z0-9_.-]", "_")
 
 
+def book_addresses(number: Column) -> Column:
+    """Where a book's text may lie, in the order in which the places are tried."""
+    forms = ("files/%1$d/%1$d-0.txt", "files/%1$d/%1$d.txt", "cache/epub/%1$d/pg%1$d.txt")
+    return F.when(number.isNotNull(), F.array(*[F.format_string(f, number) for f in forms]))
+
+
 def slug(name: Column) -> Column:
     return F.replace(F.lower(name), F.lit(" "), F.lit("-"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -53,20 +55,32 @@ def assign_shards(df: DataFrame, seed: int, cols: list[str], chars: Column, bloc
     """``df`` with ``place`` and ``shard``: a shard closes at the first block of rows that brings it to ``least_chars``.
 
     As shards begin at blocks, rows are summed by block and only the block sums, one row for ``block`` rows, are gone
-    through in order.
+    through in order: sorted (on disk where they are many) and streamed through one task, which holds a batch at a time.
     """
     rows = placed(df, seed, cols, chars).withColumn("block", F.floor((F.col("place") - 1) / block))
     sums = rows.groupBy("block").agg(F.sum(F.coalesce(chars, F.lit(0)).cast("bigint")).alias("chars"))
 
-    def fold(_: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("block")
-        shard, held, out = 0, 0, []
-        for c in part["chars"]:
-            out.append(shard)
-            held += int(c or 0)
-            if held >= least_chars:
-                shard, held = shard + 1, 0
-        return pd.DataFrame({"block": part["block"].to_numpy(), "shard": out})
-
-    shards = sums.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(fold, "block bigint, shard int")
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held = 0, 0
+        for batch in batches:
+            out = []
+            for c in batch.column(1).to_pylist():
+                out.append(shard)
+                held += int(c or 0)
+                if held >= least_chars:
+                    shard, held = shard + 1, 0
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int32())], names=["block", "shard"])
+
+    shards = sums.repartition(1).sortWithinPartitions("block").mapInArrow(fold, "block bigint, shard int")
     return rows.join(shards, "block").drop("total", "running")
+
+
+def shards_with_held_out(
+    df: DataFrame, seed: int, cols: list[str], chars: Column, block: int, least_chars: int, share: float = 0.01
+) -> DataFrame:
+    """``df`` with ``split``, ``place`` and ``shard``: the held-out rows make one shard, which is numbered last."""
+    split = split_held_out(df, seed, cols, share).drop("place")
+    train = assign_shards(split.filter("split = 'train'"), seed, cols, chars, block, least_chars).drop("block")
+    held = placed(split.filter("split = 'val'"), seed, cols).drop("total", "running")
+    after = train.agg(F.coalesce(F.max("shard") + 1, F.lit(0)).cast("int").alias("shard"))
+    return train.unionByName(held.join(F.broadcast(after)))  # one row

@@ -9,10 +9,12 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .conversations import without_system
+
 #: Special tokens in their order (fixed values); with a byte vocabulary their ids follow 255.
 SPECIALS = (
     "<|bos|>", "<|user_start|>", "<|user_end|>", "<|assistant_start|>", "<|assistant_end|>",
@@ -29,13 +31,32 @@ def special_id(name: str, first: int = BYTES) -> int:
     return first + SPECIALS.index(name)
 
 
-def byte_ids(text: Column) -> Column:
-    """The UTF-8 bytes of a text as ids 0..255."""
-    hexed = F.hex(F.encode(text, "UTF-8"))
-    spans = F.when(F.length(hexed) > 0, F.sequence(F.lit(1), F.length(hexed), F.lit(2))).otherwise(
-        F.array().cast("array<int>")
+def special_tokens(spark: SparkSession, first: int = BYTES) -> DataFrame:
+    """(token_id, name) of the special tokens."""
+    return spark.createDataFrame([(first + i, s) for i, s in enumerate(SPECIALS)], "token_id int, name string")
+
+
+def first_given(*values: Column) -> Column:
+    """The first setting that is given."""
+    return F.coalesce(*values)
+
+
+def compression(sized: DataFrame, keys: list[str]) -> DataFrame:
+    """Bytes a token of (keys, n_bytes, n_tokens, n_base), against those of the base tokenizer: ratio, base_ratio, by how
+    many percent the one is above the other, and which is better. Texts without tokens must be left out."""
+    sums = sized.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n_bytes", "n_tokens", "n_base")])
+    ratio, base = F.try_divide("n_bytes", "n_tokens"), F.try_divide("n_bytes", "n_base")
+    verdict = F.when(ratio > base, "better").when(ratio < base, "worse").otherwise("tie")
+    return sums.withColumns(
+        {"ratio": F.round(ratio, 9), "base_ratio": F.round(base, 9), "difference": F.round((ratio - base) / base * 100, 6), "verdict": verdict}
     )
-    return F.transform(spans, lambda i: F.conv(F.substring(hexed, i, F.lit(2)), 16, 10).cast("int"))
+
+
+def byte_ids(text: Column) -> Column:
+    """The UTF-8 bytes of a text as ids 0..255. Each byte is read as the sign of that number."""
+    signs = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    found = F.transform(F.split(signs, ""), lambda c: F.ascii(c))
+    return F.when(F.length(signs) > 0, found).when(text.isNotNull(), F.array().cast("array<int>"))
 
 
 def pretokens(text: Column) -> Column:
@@ -115,32 +136,86 @@ def token_bytes(vocabulary: DataFrame, exact: bool = False) -> DataFrame:
     return vocabulary.select("token_id", F.when(special, 0).otherwise(size).cast("int").alias("n_bytes"))
 
 
-def render(messages: Column, most: int = 2048) -> Column:
+_MARKS = {
+    "user": ("<|user_start|>", "<|user_end|>"), "assistant": ("<|assistant_start|>", "<|assistant_end|>"),
+    "python": ("<|python_start|>", "<|python_end|>"), "python_output": ("<|output_start|>", "<|output_end|>"),
+}
+
+
+def _mark(kind: str, end: int) -> Column:
+    return F.array(F.lit(special_id(_MARKS[kind][end])))
+
+
+def _filled(flag: Column | int, size: Column) -> Column:
+    return F.array_repeat(F.lit(flag) if isinstance(flag, int) else flag, size)
+
+
+def _cut(ids: Column, mask: Column, most: int | None) -> Column:
+    cut = lambda x: x if most is None else F.slice(x, 1, most)
+    return F.struct(cut(ids).alias("ids"), cut(mask).alias("mask"))
+
+
+def render(messages: Column, most: int | None = 2048) -> Column:
     """struct(ids, mask) of an array of struct(role, content) over the byte vocabulary. A system message at the head
     joins the user message after it; the answers and their end marks are learned (mask 1)."""
-    head = F.get(messages, F.lit(0))
-    second = F.get(messages, F.lit(1))
-    merged = F.concat(
-        F.array(F.struct(second["role"].alias("role"), F.concat(head["content"], F.lit("\n\n"), second["content"]).alias("content"))),
-        F.slice(messages, F.lit(3), F.greatest(F.size(messages) - 2, F.lit(0))),
-    )
-    told = F.when(head["role"] == "system", merged).otherwise(messages)
-    mark = lambda name: F.lit(special_id(name))
+    told = without_system(messages)
 
     def ids(m: Column) -> Column:
         user = m["role"] == "user"
-        start = F.when(user, mark("<|user_start|>")).otherwise(mark("<|assistant_start|>"))
-        end = F.when(user, mark("<|user_end|>")).otherwise(mark("<|assistant_end|>"))
-        return F.concat(F.array(start), byte_ids(m["content"]), F.array(end))
+        side = lambda end: F.when(user, _mark("user", end)).otherwise(_mark("assistant", end))
+        return F.concat(side(0), byte_ids(m["content"]), side(1))
 
     def mask(m: Column) -> Column:
-        n = F.octet_length(m["content"])
         learned = F.when(m["role"] == "user", 0).otherwise(1)
-        return F.concat(F.array(F.lit(0)), F.array_repeat(learned, n + 1))
+        return F.concat(F.array(F.lit(0)), _filled(learned, F.octet_length(m["content"]) + 1))
 
-    all_ids = F.concat(F.array(mark("<|bos|>")), F.flatten(F.transform(told, ids)))
+    bos = F.array(F.lit(special_id("<|bos|>")))
+    all_ids = F.concat(bos, F.flatten(F.transform(told, ids)))
     all_mask = F.concat(F.array(F.lit(0)), F.flatten(F.transform(told, mask)))
-    return F.struct(F.slice(all_ids, 1, most).alias("ids"), F.slice(all_mask, 1, most).alias("mask"))
+    return _cut(all_ids, all_mask, most)
+
+
+def render_parts(messages: Column, most: int | None = 2048) -> Column:
+    """As ``render``, of an array of struct(role, parts), parts an array of struct(type, text).
+
+    Users' parts are not learned, whatever their type. Of an answer, ``text`` is learned, ``python`` too with its marks,
+    and ``python_output``, which is not the model's own, is not learned, nor are its marks. A part of another type makes
+    the whole null.
+    """
+
+    def part(p: Column, user: Column) -> Column:
+        text, size = byte_ids(p["text"]), F.octet_length(p["text"])
+        kind = p["type"]
+        learned = F.when(user | (kind == "python_output"), 0).otherwise(1)
+        marked = lambda name: F.struct(
+            F.concat(_mark(name, 0), text, _mark(name, 1)).alias("ids"), _filled(learned, size + 2).alias("mask")
+        )
+        bare = F.struct(text.alias("ids"), _filled(learned, size).alias("mask"))
+        return F.when(user | (kind == "text"), bare).when(kind == "python", marked("python")).when(kind == "python_output", marked("python_output"))
+
+    def message(m: Column) -> Column:
+        user = m["role"] == "user"
+        inner = F.transform(m["parts"], lambda p: part(p, user))
+        side = lambda end: F.when(user, _mark("user", end)).otherwise(_mark("assistant", end))
+        ids = F.concat(side(0), F.flatten(F.transform(inner, lambda x: x["ids"])), side(1))
+        mask = F.concat(F.array(F.lit(0)), F.flatten(F.transform(inner, lambda x: x["mask"])), F.array(F.when(user, 0).otherwise(1)))
+        return F.struct(ids.alias("ids"), mask.alias("mask"))
+
+    whole = F.transform(messages, message)
+    ids = F.concat(F.array(F.lit(special_id("<|bos|>"))), F.flatten(F.transform(whole, lambda x: x["ids"])))
+    mask = F.concat(F.array(F.lit(0)), F.flatten(F.transform(whole, lambda x: x["mask"])))
+    return _cut(ids, mask, most)
+
+
+def render_request(messages: Column) -> Column:
+    """Ids of a request: users' and assistants' messages as they come, others left out, nothing merged and nothing cut
+    off, then the mark that asks for an answer."""
+    said = F.filter(messages, lambda m: m["role"].isin("user", "assistant"))
+    one = lambda m: F.concat(
+        F.when(m["role"] == "user", _mark("user", 0)).otherwise(_mark("assistant", 0)), byte_ids(m["content"]),
+        F.when(m["role"] == "user", _mark("user", 1)).otherwise(_mark("assistant", 1)),
+    )
+    return F.concat(F.array(F.lit(special_id("<|bos|>"))), F.flatten(F.transform(said, one)), _mark("assistant", 0))
 
 
 def shift_targets(ids: Column, mask: Column) -> tuple[Column, Column]:
@@ -182,11 +257,15 @@ class _Buffer:
         return self.held.pop(self.order.pop(i)[1])
 
 
-def pack_rows(sequences: Iterator[list[int]], capacity: int, buffer: int, crop: bool, pad: int) -> Iterator[tuple[list[int], int, int]]:
+def pack_rows(
+    sequences: Iterator[list[int]], capacity: int, buffer: int, crop: bool, pad: int, cut_long: bool = True
+) -> Iterator[tuple[list[int], int, int]]:
     """(row, content, cropped) until the sequences end. A row takes the longest buffered sequence that fits, again and
     again; when none fits, the shortest is cropped to fill it, or the row is padded. At the end the buffer empties and
-    the last row is padded in either case. With padding, a sequence longer than a row stands in one, cut off."""
+    the last row is padded in either case. With padding, a sequence longer than a row, which would never fit, is cut
+    off with ``cut_long`` and refused without."""
     held, more = _Buffer(), True
+    too_long = capacity if not crop and cut_long else None
     while True:
         row: list[int] = []
         cropped = 0
@@ -196,7 +275,9 @@ def pack_rows(sequences: Iterator[list[int]], capacity: int, buffer: int, crop:
                 if found is None:
                     more = False
                 elif found:
-                    cut = found if crop else found[:capacity]
+                    if not crop and not cut_long and len(found) > capacity:
+                        raise ValueError(f"a sequence of {len(found)} ids does not fit a row of {capacity}")
+                    cut = found[:too_long]
                     cropped += len(found) - len(cut)
                     held.add(cut)
             if not held.order:
@@ -216,7 +297,14 @@ def pack_rows(sequences: Iterator[list[int]], capacity: int, buffer: int, crop:
         yield row + [pad] * (capacity - content), content, cropped
 
 
-def pack(df: DataFrame, ranks: int, capacity: int, buffer: int, crop: bool, order: str = "order_key") -> DataFrame:
+def ignored_padding(targets: Column, content: Column, capacity: int) -> Column:
+    """Targets of a row of which ``content`` ids are no padding: -1 from the last of them on, in rows that are padded."""
+    return F.when(content < capacity, F.transform(targets, lambda t, i: F.when(i >= content - 1, -1).otherwise(t))).otherwise(targets)
+
+
+def pack(
+    df: DataFrame, ranks: int, capacity: int, buffer: int, crop: bool, order: str = "order_key", cut_long: bool = True
+) -> DataFrame:
     """Packs (order_key, ids) into rows of ``capacity`` on ``ranks`` independent streams, each in the order of
     ``order_key``. A stream is never held whole: its partition is read as it comes, with ``buffer`` sequences kept."""
     pad = special_id("<|bos|>")
@@ -242,7 +330,7 @@ def pack(df: DataFrame, ranks: int, capacity: int, buffer: int, crop: bool, orde
                     yield ids
 
             rows: list[tuple] = []
-            for i, (ids, content, cropped) in enumerate(pack_rows(one(), capacity, buffer, crop, pad)):
+            for i, (ids, content, cropped) in enumerate(pack_rows(one(), capacity, buffer, crop, pad, cut_long)):
                 rows.append((current[0], i, ids, content, cropped))
                 if len(rows) == 512:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
@@ -302,18 +390,48 @@ def calculator(expressions: Column) -> Column:
 
 def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a pretoken: of all neighbouring symbols those whose joint token was learned first are joined, until none
-    can be."""
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], 1 << 60))
-        if parts[best] + parts[best + 1] not in ranks:
-            break
-        parts[best : best + 2] = [parts[best] + parts[best + 1]]
-    return [ranks[p] for p in parts]
-
-
-def encode(df: DataFrame, text: str, vocabulary: DataFrame, out: str = "ids", most_tokens: int = 1 << 18) -> DataFrame:
+    can be; of equal ones the first. Symbols are linked and joints wait in a queue, so that time is O(n log n)."""
+    n = len(piece)
+    right = list(range(1, n + 1))
+    left = list(range(-1, n - 1))
+    text: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
+
+    def joint(i: int) -> tuple[int, int, bytes] | None:
+        j = right[i] if i >= 0 else n
+        if j >= n:
+            return None
+        both = text[i] + text[j]
+        return (ranks[both], i, both) if both in ranks else None
+
+    waiting = [x for i in range(n) if (x := joint(i))]
+    heapq.heapify(waiting)
+    while waiting:
+        _, i, both = heapq.heappop(waiting)
+        j = right[i]
+        # a symbol that was joined meanwhile makes another text, or none
+        if text[i] is None or j >= n or text[i] + text[j] != both:
+            continue
+        text[i], text[j] = both, None
+        right[i] = right[j]
+        if right[i] < n:
+            left[right[i]] = i
+        for k in (i, left[i]):
+            if x := joint(k):
+                heapq.heappush(waiting, x)
+    return [ranks[t] for t in text if t is not None]
+
+
+def encode(
+    df: DataFrame,
+    text: str,
+    vocabulary: DataFrame,
+    out: str = "ids",
+    most_tokens: int = 1 << 18,
+    prepend: str | int | None = None,
+    append: str | int | None = None,
+) -> DataFrame:
     """``df`` with the ids of ``text`` under (token_id, token); specials in a text are ordinary text, null gives null.
+    ``prepend`` and ``append`` are ids, or names of specials, put before and after the ids of each text.
 
     The vocabulary is a bounded table (refused beyond ``most_tokens``) and travels with the task; pretokens are cut by
     the engine and encoded once each while a worker remembers them.
@@ -323,6 +441,8 @@ def encode(df: DataFrame, text: str, vocabulary: DataFrame, out: str = "ids", mo
         raise ValueError(f"more than {most_tokens} tokens")
     special = {s.encode() for s in SPECIALS}
     ranks = {bytes(r.token): r.token_id for r in rows if bytes(r.token) not in special}
+    named = {bytes(r.token).decode(): r.token_id for r in rows if bytes(r.token) in special}
+    ends = [None if e is None else F.array(F.lit(named[e] if isinstance(e, str) else e)) for e in (prepend, append)]
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         kept: dict[str, list[int]] = {}
@@ -339,12 +459,15 @@ def encode(df: DataFrame, text: str, vocabulary: DataFrame, out: str = "ids", mo
                 found.append(ids)
             yield pd.Series(found, dtype=object)
 
-    return df.withColumn(out, F.pandas_udf(run, "array<int>")(pretokens(F.col(text))))
+    ids = F.pandas_udf(run, "array<int>")(pretokens(F.col(text)))
+    return df.withColumn(out, F.concat(*[x for x in (ends[0], ids, ends[1]) if x is not None]))
 
 
 def decode(df: DataFrame, ids: str, vocabulary: DataFrame, out: str = "decoded", most_tokens: int = 1 << 18) -> DataFrame:
     """``df`` with the text of ``ids``: the tokens' bytes one after the other, broken parts as U+FFFD."""
-    rows = vocabulary.select("token_id", F.hex("token").alias("h")).orderBy("token_id").limit(most_tokens).collect()
+    rows = vocabulary.select("token_id", F.hex("token").alias("h")).orderBy("token_id").limit(most_tokens + 1).collect()
+    if len(rows) > most_tokens:
+        raise ValueError(f"more than {most_tokens} tokens")
     table = F.array(*[F.lit(r.h) for r in rows]) if len(rows) <= 1024 else F.from_json(F.lit("[" + ",".join(f'"{r.h}"' for r in rows) + "]"), "array<string>")
     joined = F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")
     return df.withColumn(out, F.make_valid_utf8(F.unhex(joined).cast("string")))

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
-from ..functions import rdf
+from ..operators import filters as P
 from ..operators import ordering as O
 from ..sources import archives as A
 from ..streaming import ingest as S
-from .sql import duck_sql, read, spark_sql
+from .sql import read
 
 SEED = 42
 BLOCK, SHARD_CHARS = 32, 40_000
@@ -43,23 +44,22 @@ _SQL_UPWEIGHT = (
 
 
 def _doc_batches(spark: SparkSession, d: str) -> DataFrame:
-    """Row groups of 64 rows over two epochs, as rank 1 of 4 reads them on from epoch 1, shard 2."""
-    rows = read(spark, d, "shards").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(2))))
-    group = F.floor(F.col("row_idx") / 64).cast("int")
+    """Row groups over two epochs, as rank 1 of 4 reads them on from the second row group of its first epoch."""
+    rows = _grouped(spark, d).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(2))))
     shard = F.regexp_extract("shard_name", r"(\d+)", 1).cast("int")
-    rows = rows.select("rec_id", "epoch", shard.alias("shard"), group.alias("row_group"))
-    later = (F.col("epoch") > 1) | (F.col("shard") >= 2)
-    return rows.filter((F.col("row_group") % 4 == 1) & later)
+    rows = rows.select("rec_id", "epoch", shard.alias("shard"), "row_group")
+    at = F.struct("epoch", "shard", "row_group")
+    return rows.filter((F.col("row_group") % READERS == 1) & (at >= F.struct(F.lit(1), F.lit(0), F.lit(2))))
 
 
 def _corpus_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Per source: sizes and the upper median length, from the table of lengths and their counts."""
-    from pyspark.sql import Window as W
-
-    rows = read(spark, d, "documents").filter("text is not null").select("source", F.length("text").cast("bigint").alias("len"))
-    sizes = rows.groupBy("source", "len").agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(W.partitionBy("source").orderBy("len"))
-    whole = F.sum("c").over(W.partitionBy("source"))
+    """Per source: sizes, the upper median length, from the table of lengths and their counts, and how many documents
+    hold terms of a later time."""
+    hit = (F.size(P.anachronisms(F.col("text"))) > 0).cast("bigint")
+    rows = read(spark, d, "documents").filter("text is not null").select("source", F.length("text").cast("bigint").alias("len"), hit.alias("hit"))
+    sizes = rows.groupBy("source", "len").agg(F.count("*").alias("c"), F.sum("hit").alias("hits"))
+    upto = F.sum("c").over(W.Window.partitionBy("source").orderBy("len"))
+    whole = F.sum("c").over(W.Window.partitionBy("source"))
     marked = sizes.withColumns({"upto": upto, "whole": whole})
     at = F.floor(F.col("whole") / 2) + 1
     median = F.max(F.when((F.col("upto") >= at) & (F.col("upto") - F.col("c") < at), F.col("len")))
@@ -67,14 +67,16 @@ def _corpus_summary(spark: SparkSession, d: str) -> DataFrame:
     return marked.groupBy("source").agg(
         F.sum("c").alias("n_docs"), total.alias("n_chars"), F.floor(total / 3.5).alias("n_est"),
         F.min("len").alias("min_len"), median.alias("median_len"), F.max("len").alias("max_len"),
+        F.sum("hits").alias("n_hit"),
     )
 
 
-_SQL_SUMMARY = """
+_SQL_SUMMARY = r"""
 WITH s AS (SELECT source, length(text) AS len, row_number() OVER (PARTITION BY source ORDER BY length(text)) AS i,
-  count(*) OVER (PARTITION BY source) AS n FROM documents WHERE text IS NOT NULL)
+  count(*) OVER (PARTITION BY source) AS n FROM documents WHERE text IS NOT NULL),
+h AS (SELECT source, count(*) FILTER (regexp_matches(text, '(?i)\b(%s)\b')) AS h FROM documents WHERE text IS NOT NULL GROUP BY source)
 SELECT source, count(*) AS n_docs, sum(len)::BIGINT AS n_chars, floor(sum(len) / 3.5)::BIGINT AS n_est, min(len) AS min_len,
-  max(CASE WHEN i = n // 2 + 1 THEN len END) AS median_len, max(len) AS max_len FROM s GROUP BY source"""
+  max(CASE WHEN i = n // 2 + 1 THEN len END) AS median_len, max(len) AS max_len, any_value(h) AS n_hit FROM s JOIN h USING (source) GROUP BY source""" % "|".join(P.ANACHRONISMS)
 
 
 def _seeded_shuffle(spark: SparkSession, d: str) -> DataFrame:
@@ -142,9 +144,7 @@ def _hold_out(spark: SparkSession, d: str) -> DataFrame:
 
 def _ema(spark: SparkSession, d: str) -> DataFrame:
     """Smoothed value of each user's events in order, with the correction for the start; 0.9 is kept each step."""
-    from pyspark.sql import Window as W
-
-    users = W.partitionBy("user_id")
+    users = W.Window.partitionBy("user_id")
     rows = read(spark, d, "events").withColumns(
         {"n": F.count("*").over(users), "i": F.row_number().over(users.orderBy("ts", "event_id"))}
     )
@@ -186,36 +186,6 @@ def _size_window(spark: SparkSession, d: str) -> DataFrame:
     return _first_file(spark, d).groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 
 
-_FLAT = "replace(replace(replace(coalesce({0}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
-
-
-def _catalog_xml(rows: DataFrame) -> DataFrame:
-    """Manifest rows written as catalog records."""
-    safe = lambda c: F.expr(_FLAT.format(c))
-    spaces = " ".join(f'xmlns:{k}="{v}"' for k, v in rdf.SPACES.items())
-    value = lambda c: F.concat(F.lit("<rdf:Description><rdf:value>"), c, F.lit("</rdf:value></rdf:Description>"))
-    return rows.select("ebook_id", F.concat(
-        F.lit(f'<rdf:RDF {spaces}><pgterms:ebook rdf:about="ebooks/'), F.col("ebook_id"), F.lit('"><dcterms:title>'), safe("title"),
-        F.lit("</dcterms:title><dcterms:language>"), value(safe("language")), F.lit("</dcterms:language><dcterms:creator><pgterms:agent><pgterms:name>"),
-        safe("author"), F.lit("</pgterms:name>"),
-        F.coalesce(F.concat(F.lit("<pgterms:deathdate>"), F.col("author_death"), F.lit("-01-01</pgterms:deathdate>")), F.lit("")),
-        F.lit("</pgterms:agent></dcterms:creator><dcterms:subject>"), value(safe("year_reason")),
-        F.lit('</dcterms:subject><dcterms:hasFormat><pgterms:file rdf:about="'), safe("url"),
-        F.lit('"/></dcterms:hasFormat></pgterms:ebook></rdf:RDF>'),
-    ).alias("xml"))
-
-
-def _rdf(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "manifest").filter("ebook_id is not null").distinct()
-    parsed = _catalog_xml(rows).select(rdf.parse_rdf(F.col("xml")).alias("r")).select("r.*")
-    return parsed.select("ebook_id", "title", "author", "author_death", "language", F.get("subjects", F.lit(0)).alias("subject"), "has_text")
-
-
-_SQL_RDF = """SELECT DISTINCT ebook_id, trim(coalesce(title, '')) AS title, trim(coalesce(author, '')) AS author,
-  CASE WHEN author_death BETWEEN 1000 AND 2100 THEN author_death END AS author_death, trim(coalesce(language, '')) AS language,
-  nullif(trim(coalesce(year_reason, '')), '') AS subject, suffix(url, '.txt') AS has_text FROM manifest WHERE ebook_id IS NOT NULL"""
-
-
 def _stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Pages taken in from the stream of files, counted by batch name; run again, nothing is read twice."""
     work = S.work_folder(spark)
@@ -229,14 +199,13 @@ def _stream_ingest(spark: SparkSession, d: str) -> DataFrame:
 def _stream_windows(spark: SparkSession, d: str) -> DataFrame:
     work = S.work_folder(spark)
     S.daily_counts(S.file_stream(spark, d, "events"), f"{work}/days", f"{work}/state", "60 days")
-    rows = spark.read.schema("day string, event_type string, n bigint, total double").parquet(f"{work}/days")
-    return rows.select("day", "event_type", "n", F.round("total", 4).alias("total"))
+    return S.newest_counts(spark, f"{work}/days").select("day", "event_type", "n", F.round("total", 4).alias("total"))
 
 
 def _conv_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Fenced JSON taken out of messages that carry it, and parsed; messages with a fence of their own are left out."""
+    """Fenced JSON taken out of messages that carry it, and parsed; a fence inside the JSON ends it, so that nothing
+    can be parsed."""
     rows = read(spark, d, "chat_messages").select("conv_id", "turn", "content").filter("content is not null").distinct()
-    rows = rows.filter(~F.col("content").contains("```"))
     made = F.concat(F.lit("Here it is.\n```json\n"), F.to_json(F.array(F.struct(F.lit("user").alias("role"), "content"))), F.lit("\n```\nDone."))
     parsed = F.from_json(A.fenced_json(made), A.MESSAGES)
     return rows.select("conv_id", "turn", parsed[0]["content"].alias("content"))
@@ -256,61 +225,203 @@ def _report_extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _report_pivot(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "shards").groupBy("source").pivot("split", ["train", "val", "test"]).agg(F.nullif(F.count(F.lit(1)), F.lit(0)).cast("string"))
-    return rows.na.fill("-")
-
-
-def _fewshot(spark: SparkSession, d: str) -> DataFrame:
-    """For each book two others: those after it in the seeded order, which goes round."""
+    """Rows of each source by split, ``-`` where there are none, between the sums of all and of the rest's characters;
+    CORE stands first, ChatCORE last, the others by name."""
+    shards = read(spark, d, "shards")
+    rows = shards.select(F.explode(F.array("source", F.lit("CORE"))).alias("metric"), "split", F.lit(1).cast("bigint").alias("v"))
+    chat = shards.select(F.lit("ChatCORE").alias("metric"), "split", F.length("text").cast("bigint").alias("v")).filter("split <> 'train'")
+    counts = rows.unionByName(chat).groupBy("metric").pivot("split", ["train", "val", "test"]).agg(F.sum("v").cast("string"))
+    order = F.struct(F.col("metric") != "CORE", F.col("metric") == "ChatCORE", "metric")
+    return counts.na.fill("-").withColumn("place", F.row_number().over(W.Window.orderBy(order)))  # one row a metric
+
+
+def _metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Names of metrics of two stages, each once, in the order of reports."""
+    one = read(spark, d, "events").select(F.col("event_type").alias("metric"))
+    two = read(spark, d, "shards").select(F.when(F.col("split") == "train", "CORE").when(F.col("split") == "val", "ChatCORE").otherwise(F.col("source")).alias("metric"))
+    names = one.union(two).filter("metric is not null").distinct()
+    order = F.struct(F.col("metric") != "CORE", F.col("metric") == "ChatCORE", "metric")
+    return names.withColumn("place", F.row_number().over(W.Window.orderBy(order)))
+
+
+def _fewshot(spark: SparkSession, d: str, shots: int = 2) -> DataFrame:
+    """For each book so many others, never itself and no one twice: those that follow a place of the seeded order which
+    each book draws for itself; the order goes round."""
     books = read(spark, d, "manifest").filter("ebook_id is not null").select("ebook_id").distinct()
-    rows = O.placed(books, SEED, ["ebook_id"])
-    wanted = rows.select("ebook_id", "total", F.explode(F.array(F.lit(1), F.lit(2))).alias("shot"), "place").withColumn(
-        "at", (F.col("place") - 1 + F.col("shot")) % F.col("total") + 1
-    )
+    rows = O.placed(books, SEED, ["ebook_id"]).filter("total > 1")
+    drawn = F.conv(F.substring(O.order_key(9, "ebook_id"), 1, 7), 16, 10).cast("bigint")
+    wanted = rows.select("ebook_id", "place", "total", drawn.alias("drawn"), F.explode(F.sequence(F.lit(1), F.lit(shots))).alias("shot"))
+    at = (F.col("place") + (F.col("drawn") + F.col("shot")) % (F.col("total") - 1)) % F.col("total") + 1
     others = rows.select(F.col("ebook_id").alias("shot_id"), F.col("place").alias("at"))
-    return wanted.join(others, "at").filter("ebook_id <> shot_id").select("ebook_id", "shot", "shot_id")
+    return wanted.filter("shot < total").withColumn("at", at).join(others, "at").select("ebook_id", "shot", "shot_id")
 
 
 _SQL_FEWSHOT = f"""
-WITH p AS (SELECT ebook_id, row_number() OVER (ORDER BY {_key('ebook_id')}) AS i, count(*) OVER () AS n FROM (SELECT DISTINCT ebook_id FROM manifest WHERE ebook_id IS NOT NULL))
-SELECT a.ebook_id, s.shot::INT AS shot, b.ebook_id AS shot_id FROM p a, (VALUES (1), (2)) s(shot) JOIN p b ON b.i = (a.i - 1 + s.shot) % a.n + 1 WHERE a.ebook_id <> b.ebook_id"""
-
-_PLAIN = {
-    "scan_shards": "SELECT shard_name, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM @shards GROUP BY shard_name",
-    "rowgroup_stride": "SELECT rec_id, CAST(floor(row_idx / 64) AS INT) AS row_group FROM @shards WHERE CAST(floor(row_idx / 64) AS INT) % 4 = 1",
-    "rank_stride": "SELECT rec_id FROM @shards WHERE row_idx % 8 = 3",
-    "task_slice": "SELECT rec_id, row_idx FROM @shards WHERE row_idx >= 10 AND row_idx < 200 AND (row_idx - 10) % 3 = 0",
-    "task_sequence": "SELECT 0 AS task, rec_id, row_idx FROM @shards WHERE split = 'val' UNION ALL SELECT 1 AS task, rec_id, row_idx FROM @shards WHERE split = 'test'",
-    "smallest_first": "SELECT page_id, CAST(length(text) AS BIGINT) AS n FROM (SELECT DISTINCT page_id, text FROM @newspapers WHERE length(text) > 0) ORDER BY length(text), page_id LIMIT 20",
-    "manifest_read": "SELECT DISTINCT ebook_id, title, author_death FROM @manifest WHERE author_death IS NULL OR author_death < 1900",
-    "catalog_range": "SELECT DISTINCT identifier, pub_year FROM @internetarchive WHERE pub_year BETWEEN '1800' AND '1913'",
-    "running_min": "SELECT event_id, min(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best FROM @events",
-    "rank_counts": "SELECT row_idx % 8 AS reader, count(*) AS n FROM @shards GROUP BY row_idx % 8",
-    "union_bag": "SELECT source, count(*) AS n FROM (SELECT source, doc_id FROM @documents UNION ALL SELECT source, rec_id FROM @shards) GROUP BY source",
-    "set_difference": "SELECT doc_id FROM @documents EXCEPT SELECT rec_id FROM @shards WHERE split = 'val'",
-    "metric_union": "SELECT DISTINCT m FROM (SELECT event_type AS m FROM @events UNION ALL SELECT split AS m FROM @shards)",
-    "sources_missing_targets": "SELECT s.source, t.target_share FROM (SELECT DISTINCT source FROM @shards) s LEFT JOIN @source_targets t ON s.source = t.source",
-    "bloat_metrics": "SELECT source, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars, CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_lines FROM @documents GROUP BY source",
-    "latest_checkpoint": "SELECT split, max(CAST(substr(shard_name, 7) AS INT)) AS last_shard FROM @shards GROUP BY split",
-    "rule_lookup": "SELECT DISTINCT ebook_id, CASE WHEN lower(title) LIKE '%memoir%' THEN 'life' WHEN lower(title) LIKE '%history%' OR lower(title) LIKE '%annals%' THEN 'history' WHEN lower(title) LIKE '%letters%' THEN 'letters' ELSE 'other' END AS kind FROM @manifest",
-    "event_windows": "SELECT user_id, event_type, count(*) AS n, sum(value) AS total, max(value) - min(value) AS span FROM @events GROUP BY user_id, event_type",
-    "order_revenue": "SELECT o_orderpriority, count(DISTINCT o_orderkey) AS n_orders, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM @orders JOIN @lineitem ON o_orderkey = l_orderkey GROUP BY o_orderpriority",
-}
+WITH p AS (SELECT ebook_id, row_number() OVER (ORDER BY {_key('ebook_id')}) AS i, count(*) OVER () AS n, ('0x' || substr({_key('ebook_id', seed=9)}, 1, 7))::BIGINT AS h
+  FROM (SELECT DISTINCT ebook_id FROM manifest WHERE ebook_id IS NOT NULL))
+SELECT a.ebook_id, s.shot::INT AS shot, b.ebook_id AS shot_id FROM p a, (VALUES (1), (2)) s(shot) JOIN p b ON b.i = (a.i + (a.h + s.shot) % (a.n - 1)) % a.n + 1"""
+
+#: Rows of a row group, and readers.
+GROUP, READERS = 8, 4
+
+
+def _grouped(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "shards").withColumn("row_group", F.floor(F.col("row_idx") / GROUP).cast("int"))
+
+
+def _slice(spark: SparkSession, d: str, start: int = 10, stop: int = 40, step: int = 3) -> DataFrame:
+    """Every third row of a shard from a place on."""
+    off = F.col("row_idx") - start
+    return read(spark, d, "shards").filter((off >= 0) & (F.col("row_idx") < stop) & (off % step == 0)).select("rec_id", "row_idx")
+
+
+def _sequence(spark: SparkSession, d: str) -> DataFrame:
+    """Two tasks one after the other, with the place of each row in the whole."""
+    parts = [read(spark, d, "shards").filter(F.col("split") == s).select(F.lit(i).alias("task"), "rec_id", "shard_name", "row_idx") for i, s in enumerate(("val", "test"))]
+    order = F.concat_ws("/", F.col("task"), F.col("shard_name"), F.lpad("row_idx", 9, "0")).alias("order")
+    return parts[0].unionByName(parts[1]).select("task", "rec_id", order)
+
+
+def _smallest(spark: SparkSession, d: str) -> DataFrame:
+    pages = read(spark, d, "newspapers").filter(F.length("text") > 0).select("page_id", F.length("text").cast("bigint").alias("n"))
+    return pages.distinct().orderBy("n", "page_id").limit(20)
+
+
+def _manifest_file(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest written as a CSV file and read again."""
+    path = f"{S.work_folder(spark)}/manifest"
+    A.write_catalog(read(spark, d, "manifest").select("ebook_id", "title", "author", "author_death", "year_reason", "language", "url"), path)
+    return A.read_catalog(spark, path).distinct()
+
+
+def _index(spark: SparkSession, d: str) -> DataFrame:
+    """A JSON index of batches written as one file and read again, those of too few bytes left out."""
+    path = f"{S.work_folder(spark)}/index"
+    batches = read(spark, d, "newspapers").groupBy(F.col("batch_name").alias("name")).agg(F.sum(F.octet_length("text")).alias("size"))
+    one = F.struct("name", F.concat(F.lit("batches/"), F.col("name"), F.lit(".tar.bz2")).alias("url"), "size")
+    whole = batches.filter("name is not null").agg(F.to_json(F.struct(F.collect_list(one).alias("ocr"))).alias("value"))  # one row a batch
+    whole.coalesce(1).write.text(path)
+    return A.read_index(spark, path).filter(F.col("size") >= 10_000)
+
+
+def _catalog_range(spark: SparkSession, d: str, most: int = 50_000) -> DataFrame:
+    """Items of a span of years with a text among their files, at most so many, by name."""
+    has_text = F.exists("files", lambda f: f["name"].endswith(".txt"))
+    rows = read(spark, d, "internetarchive").filter(F.col("pub_year").between("1800", "1913") & has_text)
+    return rows.select("identifier", "pub_year").distinct().orderBy("identifier", "pub_year").limit(most)
+
+
+def _running_min(spark: SparkSession, d: str) -> DataFrame:
+    over = W.Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(W.Window.unboundedPreceding, 0)
+    return read(spark, d, "events").select("event_id", F.min("value").over(over).alias("best"))
+
+
+def _union(spark: SparkSession, d: str) -> DataFrame:
+    docs, recs = read(spark, d, "documents").select("source"), read(spark, d, "shards").select("source")
+    return docs.unionByName(recs).groupBy("source").agg(F.count("*").alias("n"))
+
+
+def _difference(spark: SparkSession, d: str) -> DataFrame:
+    held = read(spark, d, "shards").filter("split = 'val'").select(F.col("rec_id").alias("doc_id"))
+    return read(spark, d, "documents").select("doc_id").distinct().join(held, "doc_id", "left_anti")
+
+
+def _without_target(spark: SparkSession, d: str) -> DataFrame:
+    have, goal = read(spark, d, "shards").select("source").distinct(), read(spark, d, "source_targets").select("source", "target_share")
+    return have.join(goal, "source", "left")
+
+
+def _bloat(spark: SparkSession, d: str) -> DataFrame:
+    """Documents, lines, characters and a quarter of them by source."""
+    text = F.coalesce("text", F.lit(""))
+    lines, chars = F.sum(F.size(F.split(text, "\n", -1))), F.sum(F.length(text))
+    return read(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n_docs"), lines.alias("n_lines"), chars.alias("n_chars"), F.floor(chars / 4).alias("n_est"))
+
+
+def _latest(spark: SparkSession, d: str) -> DataFrame:
+    """The deepest of a split's models, read from names like ``d12/model_000345``, and its last step."""
+    name = F.concat(F.lit("d"), F.col("rec_id") % 24, F.lit("/model_"), F.lpad(F.col("row_idx") * 7, 6, "0"))
+    files = read(spark, d, "shards").select("split", name.alias("name"))
+    depth, step = F.regexp_extract("name", r"^d(\d+)/", 1).cast("int"), F.regexp_extract("name", r"_(\d+)$", 1).cast("int")
+    best = F.max(F.struct(depth.alias("depth"), step.alias("step"))).alias("b")
+    return files.groupBy("split").agg(best).select("split", "b.depth", "b.step")
+
+
+def _revenue(spark: SparkSession, d: str) -> DataFrame:
+    lines = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("r"))
+    orders = read(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(F.count_distinct("o_orderkey").alias("n_orders"), F.round(F.sum("r"), 2).alias("revenue"))
+
+
+def _head(spark: SparkSession, d: str, most: int = 150) -> DataFrame:
+    """The first rows of a seeded order."""
+    return O.placed(_docs(spark, d), 1337, ["doc_id"]).filter(F.col("place") <= most).select("doc_id", "place")
+
+
+def _excerpts(spark: SparkSession, d: str, each: int = 3, chars: int = 500) -> DataFrame:
+    """A few texts of each source, by a seeded draw, and how they begin."""
+    drawn = _docs(spark, d).filter("text is not null").withColumn("key", O.order_key(5, "doc_id"))
+    place = F.row_number().over(W.Window.partitionBy("source").orderBy("key", "doc_id"))
+    return drawn.withColumn("place", place).filter(F.col("place") <= each).select("source", "doc_id", F.left("text", F.lit(chars)).alias("excerpt"))
+
+
+def _last_shard(spark: SparkSession, d: str) -> DataFrame:
+    rows = O.shards_with_held_out(_docs(spark, d), SEED, ["doc_id"], F.length("text"), BLOCK, SHARD_CHARS)
+    return rows.groupBy("shard", "split").agg(F.count("*").alias("n_docs"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n_chars"))
+
+
+def _fetched(spark: SparkSession, d: str) -> DataFrame:
+    """What became of the items of each year: taken, failed (no text came) or passed over (taken before)."""
+    items = read(spark, d, "internetarchive").select("identifier", "pub_year", "text", "fetched_at")
+    again = F.row_number().over(W.Window.partitionBy("identifier").orderBy("fetched_at", "text")) > 1
+    told = items.withColumn("what", F.when(again, "skip").when(F.col("text").isNull(), "fail").otherwise("ok"))
+    return told.groupBy("pub_year").agg(*[F.count_if(F.col("what") == w).alias(f"n_{w}") for w in ("ok", "fail", "skip")], F.avg((F.col("what") == "ok").cast("double")).alias("rate"))
+
+
+def _rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Pages taken in round by round, until a round brings less than 100 new ones."""
+    work = S.work_folder(spark)
+    keep = lambda df: df.select("page_id")
+    new = S.rounds(lambda: S.ingest(S.file_stream(spark, d, "newspapers"), f"{work}/pages", f"{work}/state", keep), 100, 2_200_000)
+    pages = spark.read.option("recursiveFileLookup", "true").schema("page_id bigint").parquet(f"{work}/pages")
+    return pages.agg(F.count("*").alias("n_rows"), F.lit(len(new)).alias("n_rounds"), F.lit(new[-1]).cast("bigint").alias("last_new"))
+
+
+_RANK = "CASE metric WHEN 'CORE' THEN 0 WHEN 'ChatCORE' THEN 2 ELSE 1 END"
+#: Shards of the training rows alone, and the held-out rows as the last one.
+_SQL_HELD = f"""
+WITH RECURSIVE k AS (SELECT doc_id, coalesce(length(text), 0) AS c, row_number() OVER (ORDER BY {_key('doc_id')}) AS i, count(*) OVER () AS n FROM documents),
+s AS (SELECT doc_id, c, i, i <= greatest(1, floor(n * 0.01)) AS held FROM k),
+t AS (SELECT doc_id, c, (row_number() OVER (ORDER BY i) - 1) // {BLOCK} AS block FROM s WHERE NOT held),
+b AS (SELECT block, sum(c) AS c, count(*) AS n FROM t GROUP BY block),
+f AS (SELECT block, 0 AS shard, c AS held, c, n FROM b WHERE block = 0 UNION ALL
+  SELECT b.block, CASE WHEN f.held >= {SHARD_CHARS} THEN f.shard + 1 ELSE f.shard END, CASE WHEN f.held >= {SHARD_CHARS} THEN b.c ELSE f.held + b.c END, b.c, b.n
+  FROM f JOIN b ON b.block = f.block + 1)
+SELECT shard::INT AS shard, 'train' AS split, sum(n)::BIGINT AS n_docs, sum(c)::BIGINT AS n_chars FROM f GROUP BY shard
+UNION ALL SELECT (SELECT coalesce(max(shard) + 1, 0) FROM f)::INT, 'val', count(*), sum(c)::BIGINT FROM s WHERE held"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_summary": _corpus_summary, "source_upweight": _upweight, "doc_batches": _doc_batches,
     "seeded_shuffle": _seeded_shuffle, "train_val_split": _split, "shard_assign": _shards, "shard_stats": _shard_stats,
     "char_budget": _char_budget, "task_mixture": _mixture, "hold_out": _hold_out, "loss_ema": _ema,
-    "incremental_anti": _incremental, "first_match_file": _first_file, "size_window": _size_window, "rdf_parse": _rdf,
+    "incremental_anti": _incremental, "first_match_file": _first_file, "size_window": _size_window,
     "stream_ingest": _stream_ingest, "stream_windows": _stream_windows, "extract_fenced_json": _conv_lines,
     "report_extract": _report_extract, "report_pivot": _report_pivot, "fewshot_sample": _fewshot,
-    **{name: spark_sql(sql) for name, sql in _PLAIN.items()},
+    "scan_shards": lambda s, d: read(s, d, "shards").groupBy("shard_name").agg(F.count("*").alias("n_rows"), F.sum(F.length("text")).alias("n_chars")),
+    "rowgroup_stride": lambda s, d: _grouped(s, d).filter(F.col("row_group") % READERS == 1).select("rec_id", "row_group"),
+    "rank_stride": lambda s, d: read(s, d, "shards").filter(F.pmod("row_idx", F.lit(8)) == 3).select("rec_id"),
+    "rank_counts": lambda s, d: read(s, d, "shards").groupBy(F.pmod("row_idx", F.lit(8)).alias("reader")).agg(F.count("*").alias("n")),
+    "task_slice": _slice, "task_sequence": _sequence, "smallest_first": _smallest, "manifest_read": _manifest_file, "index_read": _index,
+    "catalog_range": _catalog_range, "running_min": _running_min, "union_bag": _union, "set_difference": _difference, "metric_union": _metrics,
+    "sources_missing_targets": _without_target, "bloat_metrics": _bloat, "latest_checkpoint": _latest, "order_revenue": _revenue,
+    "head_of_order": _head, "excerpts": _excerpts, "shard_held_out": _last_shard, "fetch_counters": _fetched, "ingest_rounds": _rounds,
 }
 
 ORACLES: dict[str, str] = {
     "corpus_summary": _SQL_SUMMARY, "source_upweight": _SQL_UPWEIGHT,
-    "doc_batches": r"""SELECT rec_id, e.epoch::INT AS epoch, regexp_extract(shard_name, '([0-9]+)', 1)::INT AS shard, (row_idx // 64)::INT AS row_group
-        FROM shards, (VALUES (1), (2)) e(epoch) WHERE (row_idx // 64) % 4 = 1 AND (e.epoch > 1 OR regexp_extract(shard_name, '([0-9]+)', 1)::INT >= 2)""",
+    "doc_batches": rf"""SELECT rec_id, e.epoch::INT AS epoch, regexp_extract(shard_name, '([0-9]+)', 1)::INT AS shard, (row_idx // {GROUP})::INT AS row_group
+        FROM shards, (VALUES (1), (2)) e(epoch) WHERE (row_idx // {GROUP}) % {READERS} = 1 AND (e.epoch > 1 OR regexp_extract(shard_name, '([0-9]+)', 1)::INT > 0 OR row_idx // {GROUP} >= 2)""",
     "seeded_shuffle": f"SELECT doc_id, row_number() OVER (ORDER BY {_key('doc_id')}) AS place FROM documents",
     "train_val_split": _SQL_SPLIT, "shard_assign": _SQL_SHARDS,
     "shard_stats": f"SELECT shard, count(*) AS n_docs, sum(coalesce(length(text), 0))::BIGINT AS n_chars, floor(sum(coalesce(length(text), 0)) / 3.5)::BIGINT AS n_est FROM ({_SQL_SHARDS}) JOIN documents USING (doc_id) GROUP BY shard",
@@ -318,12 +429,35 @@ ORACLES: dict[str, str] = {
     "hold_out": f"SELECT conv_id, row_number() OVER (ORDER BY {_key('conv_id')}) <= 50 AS held_out FROM (SELECT DISTINCT conv_id FROM chat_messages WHERE dataset = 'general')",
     "loss_ema": _SQL_EMA, "incremental_anti": _SQL_INCREMENTAL, "first_match_file": _SQL_FIRST,
     "size_window": f"SELECT CASE WHEN name IS NULL THEN 'no_file' WHEN size < 1000 THEN 'too_small' WHEN size > 50000000 THEN 'too_large' ELSE 'kept' END AS outcome, count(*) AS n FROM ({_SQL_FIRST}) GROUP BY 1",
-    "rdf_parse": _SQL_RDF,
     "stream_ingest": "SELECT batch_name, count(*) AS n_pages, sum(length(text))::BIGINT AS n_chars FROM newspapers WHERE text IS NOT NULL GROUP BY batch_name",
     "stream_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
-    "extract_fenced_json": "SELECT DISTINCT conv_id, turn, content FROM chat_messages WHERE content IS NOT NULL AND NOT contains(content, '```')",
+    "extract_fenced_json": "SELECT DISTINCT conv_id, turn, CASE WHEN NOT contains(content, '```') THEN content END AS content FROM chat_messages WHERE content IS NOT NULL",
     "report_extract": "SELECT split, k.key, CASE WHEN k.key = 'rows' THEN (n + 1)::VARCHAR ELSE c::VARCHAR END AS value FROM (SELECT split, count(*) AS n, sum(length(text)) AS c FROM shards GROUP BY split), (VALUES ('rows'), ('chars')) k(key)",
-    "report_pivot": "SELECT source, coalesce(nullif(count(*) FILTER (split = 'train'), 0)::VARCHAR, '-') AS train, coalesce(nullif(count(*) FILTER (split = 'val'), 0)::VARCHAR, '-') AS val, coalesce(nullif(count(*) FILTER (split = 'test'), 0)::VARCHAR, '-') AS test FROM shards GROUP BY source",
+    "report_pivot": f"""WITH r AS (SELECT source AS metric, split, 1 AS v FROM shards UNION ALL SELECT 'CORE', split, 1 FROM shards UNION ALL SELECT 'ChatCORE', split, length(text) FROM shards WHERE split <> 'train')
+        SELECT metric, coalesce(sum(v) FILTER (split = 'train')::VARCHAR, '-') AS train, coalesce(sum(v) FILTER (split = 'val')::VARCHAR, '-') AS val, coalesce(sum(v) FILTER (split = 'test')::VARCHAR, '-') AS test,
+          row_number() OVER (ORDER BY {_RANK}, metric)::INT AS place FROM r GROUP BY metric""",
     "fewshot_sample": _SQL_FEWSHOT,
-    **{name: duck_sql(sql) for name, sql in _PLAIN.items()},
+    "scan_shards": "SELECT shard_name, count(*) AS n_rows, sum(length(text))::BIGINT AS n_chars FROM shards GROUP BY shard_name",
+    "rowgroup_stride": f"SELECT rec_id, (row_idx // {GROUP})::INT AS row_group FROM shards WHERE (row_idx // {GROUP}) % {READERS} = 1",
+    "rank_stride": "SELECT rec_id FROM shards WHERE row_idx % 8 = 3",
+    "rank_counts": "SELECT row_idx % 8 AS reader, count(*) AS n FROM shards GROUP BY 1",
+    "task_slice": "SELECT rec_id, row_idx FROM shards WHERE list_contains(range(10, 40, 3), row_idx)",
+    "task_sequence": "SELECT CASE split WHEN 'val' THEN 0 ELSE 1 END AS task, rec_id, CASE split WHEN 'val' THEN '0/' ELSE '1/' END || shard_name || '/' || format('{:09d}', row_idx) AS \"order\" FROM shards WHERE split IN ('val', 'test')",
+    "smallest_first": "SELECT page_id, n FROM (SELECT DISTINCT page_id, length(text) AS n FROM newspapers WHERE text <> '') ORDER BY n, page_id LIMIT 20",
+    "manifest_read": "SELECT DISTINCT ebook_id, title, author, author_death, year_reason, language, url FROM manifest",
+    "index_read": "SELECT batch_name AS name, 'batches/' || batch_name || '.tar.bz2' AS url, sum(strlen(text))::BIGINT AS size FROM newspapers WHERE batch_name IS NOT NULL GROUP BY batch_name HAVING sum(strlen(text)) >= 10000",
+    "catalog_range": "SELECT DISTINCT identifier, pub_year FROM internetarchive WHERE pub_year >= '1800' AND pub_year <= '1913' AND len(list_filter(files, lambda f: suffix(f.name, '.txt'))) > 0",
+    "running_min": "SELECT a.event_id, min(b.value) AS best FROM events a JOIN events b ON b.user_id = a.user_id AND (b.ts, b.event_id) <= (a.ts, a.event_id) GROUP BY a.event_id",
+    "union_bag": "SELECT source, count(*) AS n FROM (SELECT source FROM documents UNION ALL SELECT source FROM shards) GROUP BY source",
+    "set_difference": "SELECT doc_id FROM documents EXCEPT SELECT rec_id FROM shards WHERE split = 'val'",
+    "metric_union": f"SELECT metric, row_number() OVER (ORDER BY {_RANK}, metric)::INT AS place FROM (SELECT event_type AS metric FROM events UNION SELECT CASE split WHEN 'train' THEN 'CORE' WHEN 'val' THEN 'ChatCORE' ELSE source END FROM shards) WHERE metric IS NOT NULL",
+    "sources_missing_targets": "SELECT source, (SELECT any_value(target_share) FROM source_targets t WHERE t.source = s.source) AS target_share FROM shards s GROUP BY source",
+    "bloat_metrics": "SELECT source, count(*) AS n_docs, sum(1 + length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')))::BIGINT AS n_lines, sum(length(coalesce(text, '')))::BIGINT AS n_chars, (sum(length(coalesce(text, ''))) // 4)::BIGINT AS n_est FROM documents GROUP BY source",
+    "latest_checkpoint": "SELECT split, max(rec_id % 24)::INT AS depth, arg_max(row_idx * 7, (rec_id % 24) * 1000000 + row_idx * 7)::INT AS step FROM shards GROUP BY split",
+    "order_revenue": "SELECT o_orderpriority, count(DISTINCT o_orderkey) AS n_orders, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderpriority",
+    "head_of_order": f"SELECT doc_id, row_number() OVER (ORDER BY {_key('doc_id', seed=1337)}) AS place FROM documents QUALIFY place <= 150",
+    "excerpts": f"SELECT source, doc_id, left(text, 500) AS excerpt FROM documents WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source ORDER BY {_key('doc_id', seed=5)}) <= 3",
+    "shard_held_out": _SQL_HELD,
+    "fetch_counters": "SELECT pub_year, count(*) FILTER (i = 1 AND text IS NOT NULL) AS n_ok, count(*) FILTER (i = 1 AND text IS NULL) AS n_fail, count(*) FILTER (i > 1) AS n_skip, count(*) FILTER (i = 1 AND text IS NOT NULL) / count(*) AS rate FROM (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY fetched_at, text NULLS FIRST) AS i FROM internetarchive) GROUP BY pub_year",
+    "ingest_rounds": "SELECT count(*) AS n_rows, CASE WHEN count(*) < 100 THEN 1 ELSE 2 END::INT AS n_rounds, CASE WHEN count(*) < 100 THEN count(*) ELSE 0 END AS last_new FROM newspapers",
 }

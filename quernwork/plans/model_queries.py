@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..operators import conversations as C
 from ..operators import tokens as K
-from .sql import duck_sql, read, spark_sql
+from ..sources import archives as A
+from ..streaming.ingest import work_folder
+from .sql import read
+from .text_queries import _sql_strip
 
-MOST = 512
+MOST = 2048
 
 
 def _convs(spark: SparkSession, d: str) -> DataFrame:
@@ -28,9 +31,9 @@ _SQL_CONVS = f"""
 w AS (SELECT DISTINCT conv_id, turn, {_ROLE} AS role, content FROM chat_messages),
 c0 AS (SELECT conv_id, list({{'role': role, 'content': content}} ORDER BY turn) AS ms FROM w GROUP BY conv_id),
 c AS (SELECT conv_id, CASE WHEN ms[1].role = 'system' THEN list_concat([{{'role': ms[2].role, 'content': ms[1].content || chr(10) || chr(10) || ms[2].content}}], ms[3:]) ELSE ms END AS ms FROM c0),
-f AS (SELECT conv_id, ms, CASE WHEN len(ms) < 2 THEN 'too_few' WHEN len(list_filter(ms, lambda m: m.content IS NULL)) > 0 THEN 'no_content'
+f AS (SELECT conv_id, ms, CASE WHEN len(ms) < 2 THEN 'too_few'
   WHEN len(list_filter(generate_series(1, len(ms)), lambda i: ms[i].role IS DISTINCT FROM CASE WHEN i % 2 = 1 THEN 'user' ELSE 'assistant' END)) > 0 THEN 'roles'
-  WHEN len(list_filter(ms, lambda m: trim(m.content, ' ') = '')) > 0 THEN 'blank' END AS fault FROM c),
+  WHEN len(list_filter(ms, lambda m: m.content IS NULL)) > 0 THEN 'no_content' END AS fault FROM c),
 v AS (SELECT conv_id, ms FROM f WHERE fault IS NULL)"""
 _BYTES = "list_transform(generate_series(1, strlen({0})), lambda i: ('0x' || substr(hex({0}), 2 * i - 1, 2))::INT)"
 
@@ -49,15 +52,63 @@ def _faults(spark: SparkSession, d: str) -> DataFrame:
     return convs.select("conv_id", F.size("messages").alias("n"), C.fault(F.col("messages")).alias("fault"))
 
 
+def _generated(spark: SparkSession, d: str) -> DataFrame:
+    convs = _convs(spark, d).withColumn("messages", C.without_system(F.col("messages")))
+    return convs.select("conv_id", C.generated_fault(F.col("messages")).alias("fault"))
+
+
 def _request(spark: SparkSession, d: str) -> DataFrame:
-    return _convs(spark, d).select("conv_id", C.request_fault(F.col("messages")).alias("fault"))
+    """Conversations as requests, with settings by their number; every seventh gives none."""
+    n = F.col("conv_id")
+    given = lambda c: F.when(n % 7 != 0, c)
+    settings = given((n % 23) / 10.0), given(n % 211), given(n % 4301)
+    return _convs(spark, d).select("conv_id", C.request_fault(F.col("messages"), *settings, most_chars=2000, most_total=5000).alias("fault"))
+
+
+_SQL_REQUEST = f"""WITH {_SQL_CONVS}, q AS (SELECT conv_id, ms, list_transform(ms, lambda m: coalesce(length(m.content), 0)) AS n FROM c0),
+  e AS (SELECT *, list_position(n, 0) AS e, list_position(list_transform(n, lambda x: x > 2000), true) AS l FROM q)
+  SELECT conv_id, CASE WHEN len(ms) = 0 THEN 'no_messages' WHEN len(ms) > 500 THEN 'too_many_messages'
+  WHEN e IS NOT NULL AND coalesce(e < l, true) AND e > 0 THEN 'empty_message' WHEN l > 0 THEN 'message_too_long' WHEN list_sum(n) > 5000 THEN 'conversation_too_long'
+  WHEN len(list_filter(ms, lambda m: coalesce(m.role, '') NOT IN ('user', 'assistant'))) > 0 THEN 'bad_role'
+  WHEN conv_id % 7 <> 0 AND conv_id % 23 > 20 THEN 'temperature' WHEN conv_id % 7 <> 0 AND conv_id % 211 > 200 THEN 'top_k'
+  WHEN conv_id % 7 <> 0 AND (conv_id % 4301 = 0 OR conv_id % 4301 > 4096) THEN 'max_tokens' END AS fault FROM e"""
+
+
+def _parted(spark: SparkSession, d: str) -> DataFrame:
+    """Answers as parts: their first word, a call that counts their signs, what it gives, and the rest."""
+    part = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.alias("text"))
+    first = lambda c: F.substring_index(c, " ", 1)
+
+    def parts(m: Column) -> Column:
+        said, size = m["content"], F.length(m["content"]).cast("string")
+        rest = F.substring(said, F.length(first(said)) + 1, F.length(said))
+        answer = F.array(part("text", first(said)), part("python", F.concat(F.lit("len("), size, F.lit(")"))), part("python_output", size), part("text", rest))
+        return F.struct(m["role"].alias("role"), F.when(m["role"] == "user", F.array(part("text", said))).otherwise(answer).alias("parts"))
+
+    rows = _valid(spark, d).select("conv_id", K.render_parts(F.transform("messages", parts), MOST).alias("r"))
+    learned = F.aggregate("r.mask", F.lit(0), lambda a, m: a + m)
+    return rows.select("conv_id", F.size("r.ids").alias("n_ids"), learned.alias("n_learned"), _joined(F.col("r.ids")).alias("ids_md5"), _joined(F.col("r.mask")).alias("mask_md5"))
+
+
+def _requested(spark: SparkSession, d: str) -> DataFrame:
+    rows = _convs(spark, d).filter(~F.exists("messages", lambda m: m["content"].isNull()))
+    ids = K.render_request(F.col("messages"))
+    return rows.select("conv_id", F.size(ids).alias("n_ids"), _joined(ids).alias("ids_md5"))
+
 
+def _flat(*parts: str) -> str:
+    return f"flatten([{', '.join(parts)}])"
 
-_SQL_REQUEST = f"""WITH {_SQL_CONVS} SELECT conv_id, CASE WHEN len(ms) = 0 THEN 'no_messages' WHEN len(ms) > 500 THEN 'too_many_messages'
-  WHEN len(list_filter(ms, lambda m: coalesce(length(m.content), 0) = 0)) > 0 THEN 'empty_message'
-  WHEN len(list_filter(ms, lambda m: coalesce(length(m.content), 0) > 600)) > 0 THEN 'message_too_long'
-  WHEN list_sum(list_transform(ms, lambda m: coalesce(length(m.content), 0))) > 2000 THEN 'conversation_too_long'
-  WHEN len(list_filter(ms, lambda m: m.role NOT IN ('user', 'assistant'))) > 0 THEN 'bad_role' END AS fault FROM c0"""
+
+_SIZE = "length(m.content)::VARCHAR"
+_HEAD, _REST = "split_part(m.content, ' ', 1)", "substr(m.content, length(split_part(m.content, ' ', 1)) + 1)"
+_ONES = "list_transform(generate_series(1, {0}), lambda i: {1})"
+_SQL_PARTS = f"""r AS (SELECT conv_id, list_concat([256], flatten(list_transform(ms, lambda m: CASE WHEN m.role = 'user' THEN {_flat('[257]', _BYTES.format('m.content'), '[258]')}
+    ELSE {_flat('[259]', _BYTES.format(_HEAD), '[261]', _BYTES.format(f"('len(' || {_SIZE} || ')')"), '[262, 263]', _BYTES.format(_SIZE), '[264]', _BYTES.format(f'({_REST})'), '[260]')} END))) AS ids,
+  list_concat([0], flatten(list_transform(ms, lambda m: CASE WHEN m.role = 'user' THEN {_ONES.format('strlen(m.content) + 2', '0')}
+    ELSE {_flat('[0]', _ONES.format(f'strlen({_HEAD}) + strlen({_SIZE}) + 7', '1'), _ONES.format(f'strlen({_SIZE}) + 2', '0'), _ONES.format(f'strlen({_REST}) + 1', '1'))} END))) AS mask FROM v)"""
+_SQL_ASKED = f"""r AS (SELECT conv_id, {_flat('[256]', "flatten(list_transform(list_filter(ms, lambda m: m.role IN ('user', 'assistant')), lambda m: " + _marked('m') + "))", '[259]')} AS ids
+  FROM c0 WHERE len(list_filter(ms, lambda m: m.content IS NULL)) = 0)"""
 
 
 def _joined(ids: Column) -> Column:
@@ -184,43 +235,70 @@ def _sql_prefix(suffix: bool) -> str:
 
 
 def _items(spark: SparkSession, d: str) -> DataFrame:
-    """Books as items: the title asks, the choices are author and places of the record; two solved ones go before."""
+    """Books as items: the title asks, the choices are author (the right one) and reason of the year; solved ones go
+    before, as pairs of title and author and the other way round."""
     from .corpus_queries import _fewshot
 
     books = read(spark, d, "manifest").filter("ebook_id is not null and title is not null").distinct()
-    books = books.groupBy("ebook_id").agg(F.min("title").alias("title"), F.min("author").alias("author"), F.min("year_reason").alias("year_reason"))
-    solved = _fewshot(spark, d).join(books.select(F.col("ebook_id").alias("shot_id"), "title", F.coalesce("author", F.lit("unknown")).alias("author")), "shot_id")
-    shots = F.transform(
-        F.sort_array(F.collect_list(F.struct("shot", "title", "author"))), lambda s: F.struct(s["title"].alias("query"), s["author"].alias("answer"))
-    )
-    return books.join(solved.groupBy("ebook_id").agg(shots.alias("shots")), "ebook_id")
-
+    author, year = F.coalesce(F.min("author"), F.lit("unknown")), F.coalesce(F.min("year_reason"), F.lit("undated"))
+    books = books.groupBy("ebook_id").agg(F.min("title").alias("title"), author.alias("author"), year.alias("year_reason"))
+    solved = _fewshot(spark, d).join(books.select(F.col("ebook_id").alias("shot_id"), "title", "author"), "shot_id")
+    listed = F.sort_array(F.collect_list(F.struct("shot", "title", "author")))
+    pair = lambda a, b: F.transform(listed, lambda s: F.struct(s[a].alias("before"), s[b].alias("after")))
+    shots = solved.groupBy("ebook_id").agg(pair("title", "author").alias("asked"), pair("author", "title").alias("told"))
+    return books.join(shots, "ebook_id")
 
-def _prompts_mc(spark: SparkSession, d: str) -> DataFrame:
-    choices = F.array(F.coalesce("author", F.lit("unknown")), F.coalesce("year_reason", F.lit("undated")))
-    rows = _items(spark, d).select("ebook_id", F.posexplode(C.choice_prompts(F.col("title"), choices, F.col("shots"))).alias("choice", "prompt"))
-    return rows
 
+def _prompts(kind: str, items: DataFrame) -> Column:
+    options = F.array("author", "year_reason")
+    if kind == "choices":
+        return C.choice_prompts(F.col("title"), options, F.col("asked"))
+    if kind == "contexts":
+        return C.context_prompts(options, F.col("title"), F.col("told"))
+    return C.continued_prompts(F.col("title"), F.col("author"), F.col("asked"))
 
-def _prompts_schema(spark: SparkSession, d: str) -> DataFrame:
-    contexts = F.array(F.coalesce("author", F.lit("unknown")), F.coalesce("year_reason", F.lit("undated")))
-    return _items(spark, d).select("ebook_id", F.posexplode(C.context_prompts(contexts, F.col("title"), F.col("shots"))).alias("choice", "prompt"))
 
+def _prompts_of(kind: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        items = _items(spark, d)
+        return items.select("ebook_id", F.posexplode(_prompts(kind, items)).alias("choice", "prompt"))
 
-def _prompts_lm(spark: SparkSession, d: str) -> DataFrame:
-    head = F.concat(F.trim("title"), F.lit(" "))
-    rows = _items(spark, d).select("ebook_id", F.trim(head).alias("without"), F.concat(head, F.coalesce("author", F.lit("unknown"))).alias("with_it"))
-    return rows.withColumn("is_prefix", F.expr("startswith(with_it, without)"))
+    return run
 
 
-_SQL_ITEMS = """WITH b AS (SELECT ebook_id, min(title) AS title, min(author) AS author, min(year_reason) AS year_reason FROM manifest WHERE ebook_id IS NOT NULL AND title IS NOT NULL GROUP BY ebook_id),
- s AS (SELECT f.ebook_id, string_agg(b.title || ' ' || coalesce(b.author, 'unknown') || chr(10), '' ORDER BY f.shot) AS head FROM ({fewshot}) f JOIN b ON b.ebook_id = f.shot_id GROUP BY f.ebook_id)"""
+def _spans(spark: SparkSession, d: str) -> DataFrame:
+    """What is scored of each prompt, in bytes after the mark at the head."""
+    items = _items(spark, d)
+    bos = F.array(F.lit(K.special_id("<|bos|>")))
+    out = None
+    for kind in ("choices", "contexts", "continued"):
+        ids = F.transform("prompts", lambda p: F.concat(bos, K.byte_ids(p)))
+        rows = items.select("ebook_id", _prompts(kind, items).alias("prompts")).select("ebook_id", F.posexplode(C.spans(kind, ids)).alias("option", "s"))
+        rows = rows.select("ebook_id", F.lit(kind).alias("kind"), "option", F.col("s.start").alias("span_from"), F.col("s.end").alias("span_to"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def _sql_items() -> str:
     from .corpus_queries import _SQL_FEWSHOT
 
-    return _SQL_ITEMS.replace("{fewshot}", _SQL_FEWSHOT)
+    return rf"""WITH b AS (SELECT ebook_id, min(title) AS title, coalesce(min(author), 'unknown') AS author, coalesce(min(year_reason), 'undated') AS year_reason FROM manifest WHERE ebook_id IS NOT NULL AND title IS NOT NULL GROUP BY ebook_id),
+ s AS (SELECT f.ebook_id, string_agg(b.title || ' ' || b.author || chr(10) || chr(10), '' ORDER BY f.shot) AS asked, string_agg(b.author || ' ' || b.title || chr(10) || chr(10), '' ORDER BY f.shot) AS told,
+   string_agg(trim(b.title) || ' ' || b.author || chr(10) || chr(10), '' ORDER BY f.shot) AS cut FROM ({_SQL_FEWSHOT}) f JOIN b ON b.ebook_id = f.shot_id GROUP BY f.ebook_id),
+ i AS (SELECT * FROM b JOIN s USING (ebook_id)),
+ choices AS (SELECT ebook_id, unnest([0, 1]) AS choice, unnest([asked || title || ' ' || author, asked || title || ' ' || year_reason]) AS prompt FROM i),
+ contexts AS (SELECT ebook_id, unnest([0, 1]) AS choice, unnest([told || author || ' ' || title, told || year_reason || ' ' || title]) AS prompt FROM i),
+ continued AS (SELECT ebook_id, unnest([0, 1]) AS choice, unnest([trim(cut || trim(title)), cut || trim(title) || ' ' || author]) AS prompt FROM i)"""
+
+
+def _sql_spans() -> str:
+    a, b = _BYTES.format("a.prompt"), _BYTES.format("b.prompt")
+    alike = "coalesce(list_min(list_filter(generate_series(1, least(len(x), len(y))), lambda j: x[j] <> y[j])) - 1, least(len(x), len(y)))"
+    both = lambda kind, r: f"(SELECT ebook_id, {r.format(a)} AS x, {r.format(b)} AS y FROM {kind} a JOIN {kind} b USING (ebook_id) WHERE a.choice = 0 AND b.choice = 1)"
+    opts = "(VALUES (0), (1)) o(option)"
+    return f"""{_sql_items()} SELECT ebook_id, 'choices' AS kind, option, (1 + {alike})::INT AS span_from, (1 + CASE option WHEN 0 THEN len(x) ELSE len(y) END)::INT AS span_to FROM {both('choices', '{0}')}, {opts}
+      UNION ALL SELECT ebook_id, 'contexts', option, (1 + CASE option WHEN 0 THEN len(x) ELSE len(y) END - {alike})::INT, (1 + CASE option WHEN 0 THEN len(x) ELSE len(y) END)::INT FROM {both('contexts', 'list_reverse({0})')}, {opts}
+      UNION ALL SELECT ebook_id, 'continued', 0, (1 + len(x))::INT, (1 + len(y))::INT FROM {both('continued', '{0}')}"""
 
 
 def _options(spark: SparkSession, d: str) -> DataFrame:
@@ -305,10 +383,13 @@ def _calculator(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _conv_load(spark: SparkSession, d: str) -> DataFrame:
-    """Conversations written as JSON lines and read again."""
-    lines = _convs(spark, d).select("conv_id", F.to_json("messages").alias("line"))
-    back = F.from_json("line", "array<struct<role:string,content:string>>")
-    return lines.select("conv_id", F.size(back).alias("n"), F.get(back, F.lit(0))["role"].alias("first_role"))
+    """Conversations added to a file of JSON lines in two goes, and read again: how many of each size begin how."""
+    folder = f"{work_folder(spark)}/lines"
+    convs = _convs(spark, d)
+    for part in (0, 1):
+        A.append_conversations(convs.filter(F.col("conv_id") % 2 == part), folder)
+    back = A.read_conversations(spark, folder)
+    return back.groupBy(F.size("messages").alias("n"), F.get("messages", F.lit(0))["role"].alias("first_role")).agg(F.count("*").alias("n_convs"))
 
 
 def _cut_conversation(spark: SparkSession, d: str) -> DataFrame:
@@ -330,40 +411,21 @@ def _sql_pick(name: str, values: str, n: int) -> str:
     return f"(string_split('{values}', '|'))[1 + ('0x' || substr(md5('7:{name}:' || rec_id), 1, 7))::INT % {n}] AS {name}"
 
 
-_STEPS = "(SELECT o_orderkey AS step FROM @orders WHERE o_orderkey < 2000)"
-_LR = "CASE WHEN step < 100 THEN (step + 1) / 100.0 WHEN step <= 1600 THEN 1.0 ELSE (2000 - step) / 400.0 * 1.0 + (1 - (2000 - step) / 400.0) * 0.05 END"
-_PLAIN = {
-    "lr_schedule": f"SELECT step, CAST(round({_LR}, 9) AS DOUBLE) AS lr FROM {_STEPS} s",
-    "momentum_schedule": f"SELECT step, CAST(round(0.85 + least(CAST(step AS DOUBLE) / 300, 1) * 0.1, 9) AS DOUBLE) AS momentum, round(0.2 * 0.5 * (1 + cos(pi() * step / 2000.0)), 9) AS decay FROM {_STEPS} s",
-    "scaling_plan": "SELECT p_partkey, CAST(power(2, round(log2(524288 * power(p_retailprice / 1000.0, 0.383)) + 0.0000001)) AS BIGINT) AS batch FROM @part",
-    "layer_windows": "SELECT p_partkey, CASE WHEN p_size % 4 = 3 THEN 2048 ELSE 512 END AS attended FROM @part",
-    "flops_per_token": "SELECT p_partkey, CAST(p_size AS BIGINT) * 12 * 64 * 64 * 6 + 12 * 64 * 2048 * CAST(p_size AS BIGINT) AS flops FROM @part",
-    "special_tokens": "SELECT DISTINCT role, CAST(length(role) AS BIGINT) AS n FROM @chat_messages",
-    "value_format": "SELECT p_partkey, CASE WHEN p_retailprice >= 1000 THEN 'large' ELSE 'small' END AS kind, CAST(round(p_retailprice, 4) AS DOUBLE) AS shown FROM @part",
-    "compression_ratio": "SELECT source, CAST(sum(octet_length(encode(text))) AS DOUBLE) / sum(length(text)) AS bytes_per_char FROM @documents WHERE length(text) > 0 GROUP BY source",
-    "token_length_stats": "SELECT source, CAST(min(length(text)) AS BIGINT) AS lo, CAST(max(length(text)) AS BIGINT) AS hi, round(avg(length(text)), 6) AS mean, round(stddev_samp(length(text)), 6) AS sd FROM @documents WHERE length(text) > 0 GROUP BY source",
-}
-_PLAIN_SPARK = {k: v.replace("octet_length(encode(text))", "octet_length(text)") for k, v in _PLAIN.items()}
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "conv_load": _conv_load, "conv_validate": _faults, "request_validate": _request, "conv_truncate": _cut_conversation,
+    "conv_load": _conv_load, "conv_validate": _faults, "generated_validate": _generated, "request_validate": _request,
+    "render_parts": _parted, "render_request": _requested, "option_spans": _spans, "conv_truncate": _cut_conversation,
     "render_conversation": _rendered, "conversation_lengths": _lengths, "render_completion": _completion,
     "shift_targets": _targets, "pad_right": _padded, "pack_bestfit_crop": _pack(True), "pack_bestfit_pad": _pack(False),
     "packing_stats": _packing_stats, "pretokenize_counts": _pretokens, "bpe_train": _bpe, "token_bytes": _token_bytes,
     "byte_round_trip": _byte_round_trip, "bits_per_byte": _bits, "token_bytes_join": _token_bytes_join,
-    "common_prefix_len": _prefixes(False), "common_suffix_len": _prefixes(True), "prompts_mc": _prompts_mc,
-    "prompts_schema": _prompts_schema, "prompts_lm": _prompts_lm, "mc_argmin": _argmin, "task_accuracy": _accuracy,
+    "common_prefix_len": _prefixes(False), "common_suffix_len": _prefixes(True), "prompts_mc": _prompts_of("choices"),
+    "prompts_schema": _prompts_of("contexts"), "prompts_lm": _prompts_of("continued"), "mc_argmin": _argmin, "task_accuracy": _accuracy,
     "core_metric": _core, "lm_exact": _exact, "left_truncate": _truncate_left, "truncate_at_stop": _stop,
     "topk_softmax": _softmax, "calculator": _calculator, "prompt_plan": _prompt_plan,
-    **{name: spark_sql(sql) for name, sql in _PLAIN_SPARK.items()},
 }
 
-_CHOICE = "{0} FROM b JOIN s USING (ebook_id), (VALUES (0), (1)) c(choice)"
-_SQL_MC = "SELECT ebook_id, c.choice::INT AS choice, head || title || ' ' || CASE c.choice WHEN 0 THEN coalesce(author, 'unknown') ELSE coalesce(year_reason, 'undated') END AS prompt"
-_SQL_SCHEMA = "SELECT ebook_id, c.choice::INT AS choice, head || CASE c.choice WHEN 0 THEN coalesce(author, 'unknown') ELSE coalesce(year_reason, 'undated') END || ' ' || title AS prompt"
-
 ORACLES: dict[str, str] = {
-    "conv_load": f"WITH {_SQL_CONVS} SELECT conv_id, len(ms)::INT AS n, ms[1].role AS first_role FROM c0",
+    "conv_load": f"WITH {_SQL_CONVS} SELECT len(ms)::INT AS n, ms[1].role AS first_role, count(*) AS n_convs FROM c0 GROUP BY ALL",
     "conv_validate": f"WITH {_SQL_CONVS} SELECT conv_id, len(ms)::INT AS n, fault FROM f",
     "request_validate": _SQL_REQUEST,
     "conv_truncate": f"WITH {_SQL_CONVS} SELECT conv_id, least(2, len(ms))::INT AS n, len(ms)::INT AS whole FROM c0",
@@ -379,8 +441,11 @@ ORACLES: dict[str, str] = {
     "bits_per_byte": f"WITH {_SQL_LOSSES} SELECT dataset, round(sum(CASE WHEN target >= 32 THEN nats END) / (ln(2.0) * sum(CASE WHEN target >= 32 THEN 1 ELSE 0 END)), 6) AS bpb, sum(CASE WHEN target >= 32 THEN 1 ELSE 0 END)::BIGINT AS n_bytes FROM l GROUP BY dataset",
     "token_bytes_join": f"WITH {_SQL_LOSSES} SELECT CASE WHEN target >= 32 THEN 1 ELSE 0 END AS n_bytes, count(*) AS n FROM l GROUP BY 1",
     "common_prefix_len": _sql_prefix(False), "common_suffix_len": _sql_prefix(True),
-    "prompts_mc": f"{_sql_items()} {_CHOICE.format(_SQL_MC)}", "prompts_schema": f"{_sql_items()} {_CHOICE.format(_SQL_SCHEMA)}",
-    "prompts_lm": f"{_sql_items()} SELECT ebook_id, trim(title, ' ') AS without, trim(title, ' ') || ' ' || coalesce(author, 'unknown') AS with_it, true AS is_prefix FROM b JOIN s USING (ebook_id)",
+    "prompts_mc": f"{_sql_items()} SELECT ebook_id, choice, prompt FROM choices", "prompts_schema": f"{_sql_items()} SELECT ebook_id, choice, prompt FROM contexts",
+    "prompts_lm": f"{_sql_items()} SELECT ebook_id, choice, prompt FROM continued", "option_spans": _sql_spans(),
+    "generated_validate": f"WITH {_SQL_CONVS} SELECT conv_id, coalesce(fault, CASE WHEN len(list_filter(ms, lambda m: {_sql_strip('m.content')} = '')) > 0 THEN 'blank' END) AS fault FROM f",
+    "render_parts": f"WITH {_SQL_CONVS}, {_SQL_PARTS}, k AS (SELECT conv_id, ids[1:{MOST}] AS ids, mask[1:{MOST}] AS mask FROM r) SELECT conv_id, len(ids)::INT AS n_ids, list_sum(mask)::INT AS n_learned, md5(array_to_string(ids, ',')) AS ids_md5, md5(array_to_string(mask, ',')) AS mask_md5 FROM k",
+    "render_request": f"WITH {_SQL_CONVS}, {_SQL_ASKED} SELECT conv_id, len(ids)::INT AS n_ids, md5(array_to_string(ids, ',')) AS ids_md5 FROM r",
     "mc_argmin": _SQL_ARGMIN, "task_accuracy": _SQL_ACCURACY,
     "core_metric": f"SELECT round(avg((accuracy - 0.25) / 0.75), 8) AS core, count(*) AS n_tasks FROM ({_SQL_ACCURACY})",
     "lm_exact": _SQL_EXACT, "left_truncate": _SQL_LEFT,
@@ -388,5 +453,4 @@ ORACLES: dict[str, str] = {
     "topk_softmax": _SQL_SOFTMAX,
     "calculator": "SELECT o_orderkey, o_custkey * (2 + o_orderkey) AS value FROM orders",
     "prompt_plan": f"SELECT rec_id, {_sql_pick('person', 'scholar|farmer|child|sailor', 4)}, {_sql_pick('manner', 'plain|curious|formal', 3)}, {_sql_pick('topic', 'trade|history|weather|travel|books', 5)} FROM shards",
-    **{name: duck_sql(sql) for name, sql in _PLAIN.items()},
 }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpus_queries, model_queries, pipeline_queries, text_queries
+from . import catalog_queries, corpus_queries, model_queries, pipeline_queries, text_queries, training_queries
 
-MODULES = (text_queries, corpus_queries, model_queries, pipeline_queries)
+MODULES = (text_queries, catalog_queries, corpus_queries, model_queries, pipeline_queries, training_queries)
 
 
 def queries() -> dict:

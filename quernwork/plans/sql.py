@@ -1,29 +1,11 @@
-"""Queries that one SQL text states for both engines, over the tables of a folder."""
+"""Tables of a folder, for queries."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
 
-_TABLE = re.compile(r"@(\w+)")
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return read_table(spark, sf_dir, table)
-
-
-def spark_sql(text: str) -> Callable[[SparkSession, str], DataFrame]:
-    """A query whose tables are written ``@name``; each is read where it is used, with no view left behind."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.sql(_TABLE.sub(lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", text))
-
-    return run
-
-
-def duck_sql(text: str) -> str:
-    return _TABLE.sub(lambda m: m[1], text)

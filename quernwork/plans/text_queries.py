@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import filters as P
-from .sql import duck_sql, read, spark_sql
+from .sql import read
 
 _WS = T.WHITE
 
@@ -149,15 +149,7 @@ _SQL_CONTAMINATION = f"""
 SELECT source, count(*) AS n_docs, count(*) FILTER (n > 0) AS n_hit, avg(CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS rate
 FROM (SELECT s.n, d.source FROM ({_SQL_SCAN}) s JOIN documents d USING (doc_id) WHERE d.text IS NOT NULL) GROUP BY source"""
 
-_PLAIN = {
-    "estimate_tokens": "SELECT doc_id, CAST(floor(length(text) / 3.5) AS BIGINT) AS n_est FROM @documents",
-    "doc_cap": "SELECT doc_id, left(text, 10000) AS head, length(text) > 10000 AS was_cut FROM @documents",
-    "slugify": "SELECT DISTINCT ebook_id, replace(lower(title), ' ', '-') AS slug FROM @manifest",
-    "url_format": "SELECT DISTINCT ebook_id, concat('cache/epub/', ebook_id, '/pg', ebook_id, '.txt') AS path FROM @manifest",
-    "name_exclusion": "SELECT page_id, batch_name FROM @newspapers WHERE NOT (batch_name LIKE '%norstead%' OR batch_name LIKE '%vnstcsc%')",
-    "suffix_filter": "SELECT page_id FROM @newspapers WHERE member_path LIKE '%ocr.txt'",
-    "lexicon_build": "SELECT DISTINCT lower(trim(word)) AS word FROM @lexicon WHERE length(trim(word)) >= 2",
-}
+_NAMES = ("norstead", "vnstcsc")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_unicode": _column("documents", "doc_id", T.normalize_unicode, "cleaned"),
@@ -187,7 +179,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_counters": _outcomes,
     "anachronism_scan": _scan,
     "contamination_rate": _contamination,
-    **{name: spark_sql(sql) for name, sql in _PLAIN.items()},
+    "estimate_tokens": lambda s, d: read(s, d, "documents").select("doc_id", T.estimated_tokens(F.col("text")).alias("n_est")),
+    "doc_cap": lambda s, d: read(s, d, "documents").select("doc_id", F.left("text", F.lit(10_000)).alias("head"), (F.length("text") > 10_000).alias("was_cut")),
+    "slugify": lambda s, d: read(s, d, "manifest").select("ebook_id", T.slug(F.col("title")).alias("slug")).distinct(),
+    "url_format": lambda s, d: read(s, d, "manifest").select("ebook_id", F.posexplode(T.book_addresses(F.col("ebook_id"))).alias("try", "path")).distinct(),
+    "name_exclusion": lambda s, d: read(s, d, "newspapers").filter(~F.col("batch_name").rlike("|".join(_NAMES))).select("page_id", "batch_name"),
+    "suffix_filter": lambda s, d: read(s, d, "newspapers").filter(P.has_suffix(F.col("member_path"), "ocr.txt")).select("page_id"),
+    "lexicon_build": lambda s, d: P.lexicon_words(read(s, d, "lexicon"), least=2),
 }
 
 ORACLES: dict[str, str] = {
@@ -201,6 +199,12 @@ ORACLES: dict[str, str] = {
     "clean_book": f"SELECT doc_id, {_sql_collapse(_sql_normalize(_sql_illustrations('b')))} AS cleaned FROM (SELECT doc_id, {_sql_markers('text')} AS b FROM documents)",
     "clean_newspaper": _oracle("newspapers", "page_id", _sql_collapse(_sql_squeeze(_sql_normalize("text"))), "cleaned"),
     "clean_archive": _oracle("internetarchive", "identifier", _sql_collapse(_sql_normalize("text")), "cleaned"),
+    "article_title": f"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[{_WS}]+'), lambda x: x <> '') AS ws FROM documents WHERE source = 'britannica'),
+        s AS (SELECT doc_id, ws, list_transform(ws, lambda x: left(x, 1) = upper(left(x, 1)) AND left(x, 1) <> lower(left(x, 1))) AS cap,
+          list_transform(ws, lambda x: x <> upper(x) OR x = lower(x) OR suffix(x, ',')) AS stops FROM w),
+        n AS (SELECT doc_id, ws, coalesce(list_position(cap, false) - 1, len(ws)) AS a, coalesce(list_position(stops, true), len(ws)) AS b FROM s),
+        t AS (SELECT doc_id, regexp_replace(array_to_string(ws[1:least(a, b)], ' '), ',+$', '') AS title FROM n)
+        SELECT doc_id, CASE WHEN length(title) > 0 THEN title ELSE 'article_' || doc_id END AS title FROM t""",
     "article_split": f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
         FROM documents WHERE source = 'britannica') SELECT doc_id, line_no::INT AS line_no, {_sql_collapse(_sql_normalize(_sql_strip('line')))} AS article FROM l WHERE length({_sql_strip('line')}) >= 50""",
     "safe_name": r"""WITH m AS (SELECT DISTINCT ebook_id, left(regexp_replace(title, '[<>:"/\\|?*]', '_', 'g'), 100) AS name FROM manifest),
@@ -219,5 +223,12 @@ ORACLES: dict[str, str] = {
     "batch_counters": _SQL_OUTCOMES,
     "anachronism_scan": _SQL_SCAN,
     "contamination_rate": _SQL_CONTAMINATION,
-    **{name: duck_sql(sql) for name, sql in _PLAIN.items()},
+    "estimate_tokens": "SELECT doc_id, trunc(length(text) / 3.5)::BIGINT AS n_est FROM documents",
+    "doc_cap": "SELECT doc_id, substr(text, 1, 10000) AS head, length(text) > 10000 AS was_cut FROM documents",
+    "slugify": "SELECT DISTINCT ebook_id, array_to_string(string_split(lower(title), ' '), '-') AS slug FROM manifest",
+    "url_format": """SELECT DISTINCT ebook_id, t.try::INT AS try, replace(t.p, '#', ebook_id::VARCHAR) AS path FROM manifest,
+        (VALUES (0, 'files/#/#-0.txt'), (1, 'files/#/#.txt'), (2, 'cache/epub/#/pg#.txt')) t(try, p) WHERE ebook_id IS NOT NULL""",
+    "name_exclusion": "SELECT page_id, batch_name FROM newspapers WHERE NOT contains(batch_name, 'norstead') AND NOT contains(batch_name, 'vnstcsc')",
+    "suffix_filter": "SELECT page_id FROM newspapers WHERE suffix(member_path, 'ocr.txt')",
+    "lexicon_build": f"SELECT DISTINCT {_sql_strip('lower(word)')} AS word FROM lexicon WHERE length({_sql_strip('word')}) >= 2",
 }
