@@ -368,4 +368,13 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p9_found": p9_found, "p9_shared": p9_shared}
-ORACLES: dict[str, str] = {}
+#: All stretches of ``MIN_SPAN`` characters of all texts, and those that stand in two documents.
+_SQL = f"""WITH w AS (SELECT doc_id, i, substr(text, i, {MIN_SPAN}) AS s FROM (
+  SELECT doc_id, text, unnest(generate_series(1, length(text) - {MIN_SPAN - 1})) AS i FROM (SELECT DISTINCT doc_id, text FROM documents WHERE length(text) >= {MIN_SPAN}))),
+m AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)), c AS (SELECT doc_id, i, s FROM w SEMI JOIN m USING (s))"""
+ORACLES: dict[str, str] = {
+    "p9_found": f"""{_SQL}, d AS (SELECT DISTINCT doc_id, s FROM c)
+        SELECT DISTINCT a.doc_id AS doc_id_1, b.doc_id AS doc_id_2 FROM d a JOIN d b ON a.s = b.s AND a.doc_id < b.doc_id""",
+    "p9_shared": f"""{_SQL}, p AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + {MIN_SPAN - 1})) AS place FROM c), n AS (SELECT doc_id, count(*) AS n FROM p GROUP BY doc_id)
+        SELECT doc_id, length(text) AS n_chars, coalesce(n, 0) AS n_shared, coalesce(n / nullif(length(text), 0), 0.0)::DOUBLE AS share FROM documents LEFT JOIN n USING (doc_id)""",
+}
