@@ -38,7 +38,7 @@ FUNCTION_WORDS = set(
 WORD, COMMON, FIGURE, JUNK, SIGN = range(5)
 KINDS = ("prose", "list", "table", "junk")
 #: What most of a record is where its prose has more characters: least share of characters and of lines.
-MIXED_SHARE, MIXED_LINES = 0.35, 0.75
+MIXED_SHARE, MIXED_LINES = 0.3, 0.6
 #: Least scores of a run that is a table or a list, and the run's least share of delimiters below each other (over
 #: rows beside each other) from which lines that are no rows by their tokens are rows.
 LEAST_ROWS, LEAST_ENTRIES, PLACED = 0.6, 0.5, 0.6
@@ -47,6 +47,8 @@ LEAST_LINES = 3
 _MARK = re.compile(r"\s*(?:[-*•–—·]\s+|\(?\d{1,4}[.)\]]?\s+|[A-Za-z]{1,9}\.?\s\d{1,4}[.:)]\s+|[ivxlcIVXLC]{1,6}[.)]\s+)(?=\S)")
 _FIGURE = re.compile(r"[^\w]*(?:[£$]?\d[\d,.:/'°%½¼¾-]*|\d+(?:s|d|st|nd|rd|th|c|m|a|p|lb|oz)\.?)[^\w]*")
 _BROKEN = re.compile(r"[ÃÂ�¿½€™�§¤¶]|[a-z][A-Z]|\d[A-Za-z]{2,}\d|[A-Za-z]\d[A-Za-z]")
+#: Signs that do not stand beside words.
+_RARE_SIGN = re.compile(r"""[^\w.,;:!?'"’‘“”„«»()\[\]—–$£&%-]""")
 _CORE = re.compile(r"[^\W\d_]+")
 _COLUMNS = re.compile(r"\t+| {2,}|\s*\|\s*|\s?\.{3,}\s?")
 _ENDS = tuple(".!?:;,”\"'’)")
@@ -102,6 +104,8 @@ class Judge:
     def _kind(self, token: str, cores: list[str], letters: int, digits: int) -> int:
         if not letters and not digits:
             return SIGN if not _BROKEN.search(token) and len(set(token)) <= 2 or len(token) == 1 else JUNK
+        if len(token) - letters - digits >= letters + digits and len(_RARE_SIGN.findall(token)) >= 2:
+            return JUNK
         if digits and _FIGURE.fullmatch(token):
             plain = re.sub(r"\D", "", token)
             return JUNK if len(plain) >= 4 and len(set(plain)) == 1 else FIGURE
@@ -141,6 +145,10 @@ class Judge:
             marked = _MARK.match(line) is not None
             if n[COMMON] <= (0.34 if marked else 0.12) * told and n[FIGURE] <= 0.5 * told:
                 return 1, tokens
+            # most words are names or titles, with small words between them
+            cased = [w for w in line.split() if w[:1].isalpha()]
+            if told <= 10 and n[COMMON] <= 0.4 * told and not n[FIGURE] and sum(w[:1].isupper() for w in cased) >= 0.6 * len(cased) > 1:
+                return 1, tokens
             # a few names with at most one small word between them
             if told <= 5 and n[COMMON] == 1 and not n[FIGURE] and sum(w[:1].isupper() for w in line.split()) == told - 1:
                 return 1, tokens

@@ -56,3 +56,21 @@ def test_layout_settles_the_kind(spark):
     flat = [e.strip() for e in entries[:5]]
     got = judged(spark, [columns, ragged, "\n".join(entries), "\n".join(flat)])
     assert [got[i].kind for i in range(4)] == ["table", "prose", "list", "prose"]
+
+
+def test_lists_of_titles_and_signs_without_language():
+    judge = p3_quality.Judge(dict(WORDS))
+    judge.letters.least = -9.0
+    titles = "Tales of Oakham; by Ann Lee\nSketches of Kirley; by Giles Ashson\nLetters of Paxport; by Hugh Ridge\nAnnals of Yarness; by Dr. Well"
+    assert judge.record(titles)["kind"] == "list"
+    assert judge.record("{t [|1,^ *¶■. .I->-.,{;'_l\n¶i~l|j{l:I[.}_{.=[{t> '•■,;i1]\\■\n~■•}< .•i1I¶[-l|>\\_l-")["kind"] == "junk"
+    verse = "And quickly the town was lost\nAnd wisely the harvest was found\nAnd slowly the town was won\nAnd sadly the harvest was gone"
+    assert judge.record(verse)["kind"] == "prose"
+
+
+def test_layout_takes_part_in_the_decision(monkeypatch):
+    judge = p3_quality.Judge({"the": True, "of": True})
+    rows = "wool of the north     dear     none\nrope of the south     low      some\ntin of the east       fair     much"
+    assert judge.record(rows)["kind"] == "table"
+    monkeypatch.setattr(p3_quality, "_placed", lambda a, b: 0.0)
+    assert judge.record(rows)["kind"] != "table"
