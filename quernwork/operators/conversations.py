@@ -102,6 +102,14 @@ def continued_prompts(context: Column, continuation: Column, shots: Column, deli
     return F.array(T.strip(head), F.concat(head, continuation))
 
 
+def mean_loss(options: DataFrame) -> DataFrame:
+    """(rec_id, option, loss) of (rec_id, option, start, end, losses): the mean of the losses that predict the option's
+    tokens, which stand one place before them."""
+    span = F.slice("losses", F.col("start"), F.col("end") - F.col("start"))
+    loss = F.aggregate(span, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(span), F.lit(0))
+    return options.select("rec_id", "option", loss.alias("loss"))
+
+
 def spans(kind: str, sequences: Column) -> Column:
     """array of struct(start, end) of what is scored in each of the token sequences of one item.
 

@@ -297,6 +297,16 @@ def pack_rows(
         yield row + [pad] * (capacity - content), content, cropped
 
 
+def bits_per_byte(losses: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, bpb, n_bytes) of (keys, target, nats): the losses of targets that have bytes, over ln 2 times their bytes;
+    targets below 0 are ignored, and no bytes at all give infinity. ``sizes`` (target, n_bytes) is a bounded table."""
+    met = losses.join(F.broadcast(sizes), "target", "left")
+    n = F.coalesce(F.when(F.col("target") >= 0, F.col("n_bytes")), F.lit(0))
+    sums = met.groupBy(*keys).agg(F.sum(F.when(n > 0, F.col("nats"))).alias("_nats"), F.sum(n).cast("bigint").alias("n_bytes"))
+    bpb = F.when(F.col("n_bytes") > 0, F.col("_nats") / (F.log(F.lit(2.0)) * F.col("n_bytes"))).otherwise(F.lit(float("inf")))
+    return sums.select(*keys, bpb.alias("bpb"), "n_bytes")
+
+
 def ignored_padding(targets: Column, content: Column, capacity: int) -> Column:
     """Targets of a row of which ``content`` ids are no padding: -1 from the last of them on, in rows that are padded."""
     return F.when(content < capacity, F.transform(targets, lambda t, i: F.when(i >= content - 1, -1).otherwise(t))).otherwise(targets)

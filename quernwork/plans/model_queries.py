@@ -14,7 +14,7 @@ from ..streaming.ingest import work_folder
 from .sql import read
 from .text_queries import _sql_strip
 
-MOST = 2048
+MOST, VOCABULARY = 2048, 32_768
 
 
 def _convs(spark: SparkSession, d: str) -> DataFrame:
@@ -179,12 +179,12 @@ def _pretokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _bpe(spark: SparkSession, d: str) -> DataFrame:
-    rows = K.train_bpe(read(spark, d, "documents"), "text", 256 + 9 + 400)
+    rows = K.train_bpe(read(spark, d, "documents"), "text", VOCABULARY)
     return rows.select("token_id", F.hex("token").alias("token_hex"), "n")
 
 
 def _token_bytes(spark: SparkSession, d: str) -> DataFrame:
-    vocabulary = K.train_bpe(read(spark, d, "chat_messages"), "content", 256 + 9 + 100)
+    vocabulary = K.train_bpe(read(spark, d, "chat_messages"), "content", VOCABULARY)
     return K.token_bytes(vocabulary)
 
 
@@ -196,25 +196,28 @@ def _byte_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _losses(spark: SparkSession, d: str) -> DataFrame:
-    """A loss for each byte of each message, by arithmetic; the table of byte lengths counts what is no sign as 0."""
-    rows = read(spark, d, "chat_messages").select("conv_id", "turn", "dataset", F.posexplode(K.byte_ids(F.col("content"))).alias("at", "target"))
-    return rows.withColumn("nats", ((F.col("target") * 7 + F.col("at") * 3) % 100) / 37.0)
+    """A loss for each byte of each message, by arithmetic; every eleventh target is ignored (-1)."""
+    rows = read(spark, d, "chat_messages").select("conv_id", "turn", "dataset", F.posexplode(K.byte_ids(F.col("content"))).alias("at", "byte"))
+    target = F.when(F.col("at") % 11 == 10, -1).otherwise(F.col("byte"))
+    return rows.withColumns({"nats": ((F.col("byte") * 7 + F.col("at") * 3) % 100) / 37.0, "target": target})
+
+
+def _byte_sizes(spark: SparkSession) -> DataFrame:
+    """Bytes of the tokens of a byte vocabulary, of which what is no sign counts none."""
+    return spark.range(256).select(F.col("id").cast("int").alias("target"), F.when(F.col("id") < 32, 0).otherwise(1).alias("n_bytes"))
 
 
 def _bits(spark: SparkSession, d: str) -> DataFrame:
-    sizes = spark.range(256).select(F.col("id").cast("int").alias("target"), F.when(F.col("id") < 32, 0).otherwise(1).alias("n_bytes"))
-    rows = _losses(spark, d).join(F.broadcast(sizes), "target")
-    nats = F.sum(F.when(F.col("n_bytes") > 0, F.col("nats")))
-    return rows.groupBy("dataset").agg(F.round(nats / (F.log(F.lit(2.0)) * F.sum("n_bytes")), 6).alias("bpb"), F.sum("n_bytes").alias("n_bytes"))
+    rows = K.bits_per_byte(_losses(spark, d), _byte_sizes(spark), ["dataset", "turn"])
+    return rows.select("dataset", "turn", F.round("bpb", 6).alias("bpb"), "n_bytes")
 
 
-_SQL_LOSSES = f"""l AS (SELECT dataset, b[i] AS target, ((b[i] * 7 + (i - 1) * 3) % 100) / 37.0 AS nats FROM (
-  SELECT dataset, b, unnest(generate_series(1, len(b))) AS i FROM (SELECT dataset, {_BYTES.format('content')} AS b FROM chat_messages WHERE content IS NOT NULL)))"""
+_SQL_LOSSES = f"""l AS (SELECT dataset, turn, CASE WHEN (i - 1) % 11 = 10 THEN -1 ELSE b[i] END AS target, ((b[i] * 7 + (i - 1) * 3) % 100) / 37.0 AS nats FROM (
+  SELECT dataset, turn, b, unnest(generate_series(1, len(b))) AS i FROM (SELECT dataset, turn, {_BYTES.format('content')} AS b FROM chat_messages WHERE content IS NOT NULL)))"""
 
 
 def _token_bytes_join(spark: SparkSession, d: str) -> DataFrame:
-    sizes = spark.range(256).select(F.col("id").cast("int").alias("target"), F.when(F.col("id") < 32, 0).otherwise(1).alias("n_bytes"))
-    return _losses(spark, d).join(F.broadcast(sizes), "target").groupBy("n_bytes").agg(F.count("*").alias("n"))
+    return _losses(spark, d).join(F.broadcast(_byte_sizes(spark)), "target").groupBy("n_bytes").agg(F.count("*").alias("n"))
 
 
 def _prefixes(suffix: bool) -> Callable[[SparkSession, str], DataFrame]:
@@ -302,19 +305,22 @@ def _sql_spans() -> str:
 
 
 def _options(spark: SparkSession, d: str) -> DataFrame:
-    """Losses of four options for each item, by arithmetic."""
+    """Losses of the tokens of four options for each item, by arithmetic, and where the option's own tokens stand."""
     rows = read(spark, d, "shards").select("rec_id", (F.coalesce(F.length("text"), F.lit(0)) * 31).alias("x"))
-    each = rows.withColumn("option", F.explode(F.sequence(F.lit(0), F.lit(3))))
-    return each.withColumn("loss", ((F.col("x") + F.col("option") * 17) % 23) / 10.0)
+    each = rows.withColumn("option", F.explode(F.sequence(F.lit(0), F.lit(3)))).withColumns({"start": F.lit(3), "end": F.col("option") + 6})
+    losses = F.transform(F.sequence(F.lit(0), F.col("end") - 1), lambda i: ((F.col("x") + F.col("option") * 17 + i * 5) % 23) / 10.0)
+    return each.select("rec_id", "option", "start", "end", losses.alias("losses"))
 
 
 def _argmin(spark: SparkSession, d: str) -> DataFrame:
-    best = F.min_by("option", F.struct("loss", "option"))
-    return _options(spark, d).groupBy("rec_id").agg(best.alias("choice"))
+    rows = C.mean_loss(_options(spark, d))
+    best = F.min_by("option", F.struct(F.round("loss", 9), "option"))
+    return rows.groupBy("rec_id").agg(best.alias("choice"))
 
 
-_SQL_OPTIONS = "SELECT rec_id, o.option::INT AS option, ((coalesce(length(text), 0) * 31 + o.option * 17) % 23) / 10.0 AS loss FROM shards, (VALUES (0), (1), (2), (3)) o(option)"
-_SQL_ARGMIN = f"SELECT rec_id, arg_min(option, loss * 10 + option / 100.0)::INT AS choice FROM ({_SQL_OPTIONS}) GROUP BY rec_id"
+_SQL_OPTIONS = """SELECT rec_id, o.option::INT AS option, avg(((coalesce(length(text), 0) * 31 + o.option * 17 + i * 5) % 23) / 10.0) AS loss
+  FROM shards, (VALUES (0), (1), (2), (3)) o(option), (SELECT unnest(range(2, 8)) AS i) t WHERE i < o.option + 5 GROUP BY ALL"""
+_SQL_ARGMIN = f"SELECT rec_id, arg_min(option, round(loss, 9) + option / 1e7)::INT AS choice FROM ({_SQL_OPTIONS}) GROUP BY rec_id"
 
 
 def _accuracy(spark: SparkSession, d: str) -> DataFrame:
@@ -393,7 +399,10 @@ def _conv_load(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _cut_conversation(spark: SparkSession, d: str) -> DataFrame:
-    return _convs(spark, d).select("conv_id", F.size(F.slice("messages", 1, 2)).alias("n"), F.size("messages").alias("whole"))
+    """The conversation up to its second message, as it stands after an edit."""
+    kept = F.slice("messages", 1, 2)
+    said = F.md5(F.array_join(F.transform(kept, lambda m: F.concat_ws(":", m["role"], m["content"])), "|"))
+    return _convs(spark, d).select("conv_id", F.size(kept).alias("n"), F.size("messages").alias("whole"), said.alias("said_md5"))
 
 
 def _prompt_plan(spark: SparkSession, d: str) -> DataFrame:
@@ -404,7 +413,8 @@ def _prompt_plan(spark: SparkSession, d: str) -> DataFrame:
         key = F.md5(F.concat_ws(":", F.lit(f"7:{name}"), F.col("rec_id").cast("string")))
         pick = (F.conv(F.substring(key, 1, 7), 16, 10).cast("int") % len(values)).cast("int")
         rows = rows.withColumn(name, F.get(F.array(*[F.lit(v) for v in values]), pick))
-    return rows
+    asked = F.format_string("Write as a %s who is %s; the talk is of %s, in %d turns.", "person", "manner", "topic", 2 + F.col("rec_id") % 3)
+    return rows.withColumn("prompt", asked)
 
 
 def _sql_pick(name: str, values: str, n: int) -> str:
@@ -428,7 +438,7 @@ ORACLES: dict[str, str] = {
     "conv_load": f"WITH {_SQL_CONVS} SELECT len(ms)::INT AS n, ms[1].role AS first_role, count(*) AS n_convs FROM c0 GROUP BY ALL",
     "conv_validate": f"WITH {_SQL_CONVS} SELECT conv_id, len(ms)::INT AS n, fault FROM f",
     "request_validate": _SQL_REQUEST,
-    "conv_truncate": f"WITH {_SQL_CONVS} SELECT conv_id, least(2, len(ms))::INT AS n, len(ms)::INT AS whole FROM c0",
+    "conv_truncate": f"WITH {_SQL_CONVS} SELECT conv_id, least(2, len(ms))::INT AS n, len(ms)::INT AS whole, md5(concat_ws('|', concat_ws(':', ms[1].role, ms[1].content), CASE WHEN len(ms) > 1 THEN concat_ws(':', ms[2].role, ms[2].content) END)) AS said_md5 FROM c0",
     "render_conversation": f"WITH {_SQL_CONVS}, {_SQL_IDS}, k AS (SELECT conv_id, ids[1:{MOST}] AS ids, mask[1:{MOST}] AS mask FROM r) SELECT conv_id, len(ids)::INT AS n_ids, list_sum(mask)::INT AS n_learned, md5(array_to_string(ids, ',')) AS ids_md5, md5(array_to_string(mask, ',')) AS mask_md5 FROM k",
     "conversation_lengths": f"WITH {_SQL_CONVS}, {_SQL_IDS} SELECT conv_id, len(ids)::INT AS n_ids FROM r",
     "render_completion": f"WITH {_SQL_CONVS}, q AS (SELECT conv_id, ms[1:len(ms) - 1] AS ms FROM v WHERE ms[len(ms)].role = 'assistant'), {_SQL_IDS.replace('FROM v', 'FROM q')} SELECT conv_id, (len(ids) + 1)::INT AS n_ids, md5(array_to_string(list_append(ids, 259), ',')) AS ids_md5 FROM r",
@@ -438,8 +448,9 @@ ORACLES: dict[str, str] = {
     "pad_right": f"""WITH {_SQL_CONVS}, {_SQL_IDS}, k AS (SELECT conv_id, ids[1:{MOST}] AS ids FROM r), w AS (SELECT conv_id, ids, max(len(ids)) OVER (PARTITION BY conv_id // 8) AS longest FROM k)
       SELECT conv_id, longest::INT AS width, md5(array_to_string(list_concat(ids, list_transform(range(longest - len(ids)), lambda i: 256)), ',')) AS ids_md5 FROM w""".replace(", w AS (SELECT conv_id, ids", ", ww AS (SELECT conv_id, ids").replace("FROM w\n", "FROM ww\n").replace("ids_md5 FROM w", "ids_md5 FROM ww"),
     "byte_round_trip": "SELECT count(*) AS n, count(*) AS n_equal, sum(strlen(content))::BIGINT AS n_ids FROM chat_messages WHERE content IS NOT NULL",
-    "bits_per_byte": f"WITH {_SQL_LOSSES} SELECT dataset, round(sum(CASE WHEN target >= 32 THEN nats END) / (ln(2.0) * sum(CASE WHEN target >= 32 THEN 1 ELSE 0 END)), 6) AS bpb, sum(CASE WHEN target >= 32 THEN 1 ELSE 0 END)::BIGINT AS n_bytes FROM l GROUP BY dataset",
-    "token_bytes_join": f"WITH {_SQL_LOSSES} SELECT CASE WHEN target >= 32 THEN 1 ELSE 0 END AS n_bytes, count(*) AS n FROM l GROUP BY 1",
+    "bits_per_byte": f"""WITH {_SQL_LOSSES}, g AS (SELECT dataset, turn, sum(nats) FILTER (target >= 32) AS nats, count(*) FILTER (target >= 32) AS n FROM l GROUP BY dataset, turn)
+        SELECT dataset, turn, round(CASE WHEN n = 0 THEN 'inf'::DOUBLE ELSE nats / (ln(2.0) * n) END, 6) AS bpb, n AS n_bytes FROM g""",
+    "token_bytes_join": f"WITH {_SQL_LOSSES} SELECT CASE WHEN target >= 32 THEN 1 ELSE 0 END AS n_bytes, count(*) AS n FROM l WHERE target >= 0 GROUP BY 1",
     "common_prefix_len": _sql_prefix(False), "common_suffix_len": _sql_prefix(True),
     "prompts_mc": f"{_sql_items()} SELECT ebook_id, choice, prompt FROM choices", "prompts_schema": f"{_sql_items()} SELECT ebook_id, choice, prompt FROM contexts",
     "prompts_lm": f"{_sql_items()} SELECT ebook_id, choice, prompt FROM continued", "option_spans": _sql_spans(),
@@ -452,5 +463,5 @@ ORACLES: dict[str, str] = {
     "truncate_at_stop": "SELECT DISTINCT conv_id, turn, CASE WHEN contains(content, '.') THEN strlen(left(content, instr(content, '.') - 1)) ELSE strlen(content) END::INT AS n, contains(content, '.') AS stopped FROM chat_messages WHERE content IS NOT NULL",
     "topk_softmax": _SQL_SOFTMAX,
     "calculator": "SELECT o_orderkey, o_custkey * (2 + o_orderkey) AS value FROM orders",
-    "prompt_plan": f"SELECT rec_id, {_sql_pick('person', 'scholar|farmer|child|sailor', 4)}, {_sql_pick('manner', 'plain|curious|formal', 3)}, {_sql_pick('topic', 'trade|history|weather|travel|books', 5)} FROM shards",
+    "prompt_plan": f"SELECT *, 'Write as a ' || person || ' who is ' || manner || '; the talk is of ' || topic || ', in ' || (2 + rec_id % 3) || ' turns.' AS prompt FROM (SELECT rec_id, {_sql_pick('person', 'scholar|farmer|child|sailor', 4)}, {_sql_pick('manner', 'plain|curious|formal', 3)}, {_sql_pick('topic', 'trade|history|weather|travel|books', 5)} FROM shards)",
 }

@@ -15,7 +15,8 @@ from ..streaming.ingest import work_folder
 from .corpus_queries import _SQL_SHARDS, BLOCK, SEED, SHARD_CHARS
 from .sql import read
 
-LEARNED = 256 + 9 + 300
+#: Tokens of a vocabulary; fewer where no pair is left to join.
+LEARNED = 32_768
 
 
 def _write_shards(spark: SparkSession, d: str) -> DataFrame:
@@ -28,6 +29,15 @@ def _write_shards(spark: SparkSession, d: str) -> DataFrame:
     return back.groupBy("shard").agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n_chars"))
 
 
+def _list_shards(spark: SparkSession, d: str) -> DataFrame:
+    """Files of shards as written, by the folder of each shard, in the order of their names."""
+    folder = f"{work_folder(spark)}/listed"
+    rows = O.assign_shards(read(spark, d, "documents").select("doc_id", "text"), SEED, ["doc_id"], F.length("text"), BLOCK, SHARD_CHARS)
+    A.write_shards(rows, folder)
+    shard = F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("int")
+    return A.list_parquet(spark, folder).groupBy(shard.alias("shard")).agg(F.count("*").alias("n_files"), (F.min("size") > 0).alias("filled"))
+
+
 def _vocabulary(spark: SparkSession, d: str) -> DataFrame:
     return K.train_bpe(read(spark, d, "documents"), "text", LEARNED)
 
@@ -146,7 +156,7 @@ def _settings(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "write_shards": _write_shards, "encode": _encode, "decode_roundtrip": _round_trip, "tokenizer_report": _tokenizer_report,
+    "write_shards": _write_shards, "list_shards": _list_shards, "encode": _encode, "decode_roundtrip": _round_trip, "tokenizer_report": _tokenizer_report,
     "token_bytes_stats": _token_stats, "eta": _eta, "baseline_join": _baselines, "results_csv": _results, "eval_configs": _configs,
     "write_new": _write_twice, "token_sizes": _token_sizes, "vocabulary_store": _stored, "compression_ratio": _compression,
     "config_fallback": _settings, "special_tokens": lambda s, d: K.special_tokens(s),
@@ -157,6 +167,7 @@ _NAMED = "(0, '<|bos|>'), (1, '<|user_start|>'), (2, '<|user_end|>'), (3, '<|ass
 
 ORACLES: dict[str, str] = {
     "write_shards": f"SELECT shard, count(*) AS n_rows, coalesce(sum(length(text)), 0)::BIGINT AS n_chars FROM ({_SQL_SHARDS}) JOIN documents USING (doc_id) GROUP BY shard",
+    "list_shards": f"SELECT shard, 1::BIGINT AS n_files, true AS filled FROM ({_SQL_SHARDS}) GROUP BY shard",
     "decode_roundtrip": "SELECT count(*) AS n_docs, count(*) AS n_equal FROM documents WHERE text IS NOT NULL",
     "eta": _SQL_ETA,
     "baseline_join": _SQL_BASE,

@@ -74,12 +74,14 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    r"""The manifest of a CSV file; ``\N`` is null, and an empty field an empty text or no number."""
+    r"""The manifest of a CSV file; ``\N`` and a bare empty field are null, a quoted empty one is an empty text."""
     return spark.read.csv(path, schema=CATALOG, header=True, escape='"', multiLine=True, nullValue=r"\N", emptyValue="")
 
 
 def write_catalog(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"', nullValue=r"\N", emptyValue="")
+    df.write.mode("overwrite").csv(
+        path, header=True, escape='"', nullValue=r"\N", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -111,6 +113,13 @@ def write_shards(df: DataFrame, path: str, rows_per_group: int = 1024) -> None:
     )
 
 
+def list_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """(path, size) of the Parquet files below a folder, for reading in the order of their names; only names and sizes
+    are read. A folder that is not there is an error."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", F.col("length").alias("size"))
+
+
 def fenced_json(text: Column) -> Column:
     """What stands in the first JSON fence, else in the first fence, else the whole."""
     named, plain = F.split(text, "```json", 2), F.split(text, "```", 3)
