@@ -225,6 +225,22 @@ def overlap_pairs(shards: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("rec_id_1"), F.greatest("a", "b").alias("rec_id_2")).distinct()
 
 
+def overlap_members(shards: DataFrame) -> DataFrame:
+    """(rec_id, split, class_id, n_links): each record that overlaps with one across the splits, the class of equal
+    texts that it belongs to, and with how many records across the splits it overlaps. Classes stand for their records,
+    so that no pairs of copies are written; records repeated as a whole count once."""
+    rows, classes = overlaps(shards)
+    evaluated = F.col("split").isin(*EVALUATION)
+    told = rows.filter(evaluated | (F.col("split") == "train")).select("rec_id", "split", "key", evaluated.alias("evaluated")).distinct()
+    sizes = told.groupBy("key", "evaluated").agg(F.count_distinct("rec_id").alias("n"))
+    size = lambda flag, key: sizes.filter(F.col("evaluated") == flag).select(F.col("key").alias(key), "n")
+    pairs = classes.select("key_1", "key_2").distinct()
+    of_eval = pairs.join(size(False, "key_2"), "key_2").groupBy(F.col("key_1").alias("key")).agg(F.sum("n").alias("n_links"))
+    of_train = pairs.join(size(True, "key_1"), "key_1").groupBy(F.col("key_2").alias("key")).agg(F.sum("n").alias("n_links"))
+    links = of_eval.withColumn("evaluated", F.lit(True)).unionByName(of_train.withColumn("evaluated", F.lit(False)))
+    return told.join(links, ["key", "evaluated"]).select("rec_id", "split", F.lower(F.hex("key")).alias("class_id"), "n_links")
+
+
 def overlap_report(shards: DataFrame) -> DataFrame:
     """Per evaluation split and source: n_records, n_exact, n_near (nearly the same and not exact), share_overlapping.
 
@@ -258,5 +274,9 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_report(table(spark, sf_dir, "shards"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_report": p6_report}
+def p6_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_members(table(spark, sf_dir, "shards"))
+
+
+QUERIES = {"p6_found": p6_found, "p6_members": p6_members, "p6_report": p6_report}
 ORACLES: dict[str, str] = {}

@@ -86,3 +86,12 @@ def test_some_block_stays_whole_at_any_two_lengths():
             if kept <= min(n, n_2):
                 assert n_2 // k - (n + n_2 - 2 * kept) >= 1
                 assert n <= p6_overlap.PAIR_SHORT if k == p6_overlap.SHORT_BLOCK else n >= p6_overlap.PAIR_OTHER
+
+
+def test_members_have_as_many_links_as_pairs(spark):
+    frame = spark.createDataFrame(make(1), SHARD)
+    links = {}
+    for a, b in p6_overlap.overlap_pairs(frame).collect():
+        links[a], links[b] = links.get(a, 0) + 1, links.get(b, 0) + 1
+    rows = p6_overlap.overlap_members(frame).collect()
+    assert {r.rec_id: r.n_links for r in rows} == links and len(rows) == len(links)
