@@ -146,9 +146,10 @@ class Judge:
             if n[COMMON] <= (0.34 if marked else 0.12) * told and n[FIGURE] <= 0.5 * told:
                 return 1, tokens
             # most words are names or titles, with small words between them
-            cased = [w for w in line.split() if w[:1].isalpha()]
-            if told <= 10 and n[COMMON] <= 0.4 * told and not n[FIGURE] and sum(w[:1].isupper() for w in cased) >= 0.6 * len(cased) > 1:
-                return 1, tokens
+            if told <= 10 and n[COMMON] <= 0.4 * told and not n[FIGURE]:
+                cased = [w[0].isupper() for w in line.split() if w[0].isalpha()]
+                if sum(cased) >= 0.6 * len(cased) > 1:
+                    return 1, tokens
             # a few names with at most one small word between them
             if told <= 5 and n[COMMON] == 1 and not n[FIGURE] and sum(w[:1].isupper() for w in line.split()) == told - 1:
                 return 1, tokens
