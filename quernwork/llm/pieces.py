@@ -64,18 +64,36 @@ def _bucket(key: Column) -> Column:
     return F.crc32(key.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def literal_map(values: dict[str, int | str], kind: str) -> Callable[[Column], Column]:
-    """Lookup in a literal map: an array of small maps, indexed by a hash of the key. Missing keys give null."""
+def literal_table(values: dict[str, int | str], kind: str) -> Column:
+    """A literal map: an array of small maps, indexed by a hash of the key."""
     buckets: list[dict] = [{} for _ in range(BUCKETS)]
     for key, value in values.items():
         buckets[zlib.crc32(key.encode()) & (BUCKETS - 1)][key] = value
-    literal = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{kind}>>")
-    return lambda key: F.get(literal, _bucket(key))[key]
+    return F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{kind}>>")
+
+
+def looked_up(table: Column, key: Column) -> Column:
+    """The value of a key in a literal table; null for missing keys."""
+    return F.get(table, _bucket(key))[key]
+
+
+def literal_map(values: dict[str, int | str], kind: str) -> Callable[[Column], Column]:
+    table = literal_table(values, kind)
+    return lambda key: looked_up(table, key)
 
 
-def fold_merges(piece: Column, path: str) -> Column:
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that stands in the plan once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def rank_table(path: str) -> Column:
+    return literal_table({token.hex(): r for token, r in ranks(path).items()}, "int")
+
+
+def fold_merges(piece: Column, table: Column) -> Column:
     """Token ids of a piece: higher-order functions fold the merges of lowest rank over its bytes (in hex)."""
-    rank = literal_map({token.hex(): r for token, r in ranks(path).items()}, "int")
+    rank = lambda key: looked_up(table, key)
     hexed = F.lower(F.hex(piece.cast("binary")))
     size = F.octet_length(piece)
     symbols = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(hexed, i * 2 + 1, F.lit(2)))
@@ -90,14 +108,10 @@ def fold_merges(piece: Column, path: str) -> Column:
             F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))),
             lambda left, i: rank(F.concat(left, F.get(acc, i + 1))),
         )
-        # a one-element array binds the pair ranks once for the three places that use them
-        return F.get(
-            F.transform(F.array(pairs), lambda p: F.when(F.array_min(p).isNull(), acc).otherwise(merged(p))), F.lit(0)
-        )
+        return bound(pairs, lambda p: F.when(F.array_min(p).isNull(), acc).otherwise(merged(p)))
 
     folded = F.aggregate(F.sequence(F.lit(1), size), symbols, step)
-    whole = rank(hexed)
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(folded, rank))
+    return bound(rank(hexed), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(folded, rank)))
 
 
 def queue_merges(data: bytes, table: dict[bytes, int]) -> list[int]:
@@ -235,12 +249,13 @@ def with_ids(
     ``FOLD_BYTES`` are merged by the queue, which gives the same ids; only they and the ids around them go to Python.
     """
     path = path or vocabulary_path(RANK_FILE)
-    joined = lambda piece: F.array_join(fold_merges(piece, path), ",")
-    lookup = literal_map(hot_values(df, text, joined, hot_pieces), "string")
+    table = rank_table(path)
+    joined = lambda piece, t: F.array_join(fold_merges(piece, t), ",")
+    lookup = literal_map(hot_values(df, text, lambda p: bound(table, lambda t: joined(p, t)), hot_pieces), "string")
     fits = lambda p: F.octet_length(p) <= FOLD_BYTES
-    folded = lambda p: F.coalesce(lookup(p), F.when(fits(p), joined(p)))
+    folded = lambda t: F.transform("_pieces", lambda p: F.coalesce(lookup(p), F.when(fits(p), joined(p, t))))
     rows = df.withColumn("_pieces", pieces(F.col(text)))
-    rows = rows.withColumn("_ids", F.array_join(F.transform("_pieces", folded), ",", LONG))
+    rows = rows.withColumn("_ids", F.array_join(bound(table, folded), ",", LONG))
     lacks = F.contains("_ids", F.lit(LONG))
     rows = rows.withColumn("_long", F.when(lacks, F.filter("_pieces", lambda p: ~fits(p)))).drop("_pieces")
     rows = rows.withColumn("_full", _filled_in(path)(F.when(F.col("_long").isNotNull(), F.col("_ids")), "_long"))

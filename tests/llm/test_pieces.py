@@ -56,7 +56,7 @@ def test_queue_and_fold_agree(spark, truth):
     table = pieces.ranks(vocabulary_path(pieces.RANK_FILE))
     words = [" unfurnished", "Drayminster", "ééé", "zzzzzzzz", " ", "1863", "aaaaaaaaaaaaaaaaaaaaaaaa"]
     rows = spark.createDataFrame([(w,) for w in words], "piece string")
-    fold = pieces.fold_merges(F.col("piece"), vocabulary_path(pieces.RANK_FILE))
+    fold = pieces.bound(pieces.rank_table(vocabulary_path(pieces.RANK_FILE)), lambda t: pieces.fold_merges(F.col("piece"), t))
     got = {r.piece: r.ids for r in rows.select("piece", fold.alias("ids")).collect()}
     for w in words:
         assert got[w] == pieces.queue_merges(w.encode(), table) == truth(w)
