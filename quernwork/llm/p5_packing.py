@@ -239,7 +239,8 @@ def pack(sized: DataFrame, containers: DataFrame) -> DataFrame:
     )
     n_parts = max(RANK_PARTS, items.count() // PART_ROWS)
     ranked = _ranked(items.filter("size > 0"), keys, [F.col("rec_id"), F.col("part")], n_parts)
-    placed = join_equal(ranked, places, [*keys, "rank"]).select(*items.columns, "bin")
+    # the engine takes the spelled out places for no larger than the table of sizes, and would broadcast them
+    placed = join_equal(ranked, places.hint("merge"), [*keys, "rank"]).select(*items.columns, "bin")
     empty = items.filter("size = 0").withColumn("bin", F.lit(None).cast("bigint"))
     return placed.unionByName(empty)
 

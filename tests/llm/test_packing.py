@@ -106,6 +106,16 @@ def test_a_size_that_all_share_is_ranked_once_each(spark):
     assert len(out) == 300 and set(Counter(r.bin for r in out).values()) == {2}
 
 
+def test_places_are_never_broadcast(spark):
+    sized = spark.range(5000).selectExpr("id as rec_id", "'train' as split", "id % 5 + 1 as n_tokens")
+    containers = spark.createDataFrame([("c", 10)], "container string, capacity int")
+    out = p5_packing.pack(sized, containers)
+    assert len(out.collect()) == 5000
+    ran = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    joined = [line for line in ran.splitlines() if "Join" in line and "rank" in line]
+    assert joined and all("SortMergeJoin" in line for line in joined)
+
+
 @pytest.mark.parametrize("column", ["rec_id", "split"])
 def test_empty_table(spark, column):
     sized = spark.createDataFrame([], SIZED)
