@@ -59,6 +59,28 @@ def test_models_take_any_text(text):
     assert p1_pairs.defect_of(text, text, model, ends, p1_pairs.RefusalModel([])) in (None, "empty", "truncated", "copied_question")
 
 
+def test_models_count_every_document_and_answer(spark):
+    texts = [(i, "en", f"{PROSE['en']}It was the {'abcdefghij'[i % 10] * 3}{'klmnopqrst'[i // 10 % 10] * 3} of them") for i in range(400)]
+    texts += [(900, "fr", PROSE["fr"] * 700), (901, "fr", PROSE["fr"]), (902, "FR", "Le blé."), (903, None, PROSE["it"]), (904, "en", None)]
+    said = [PROSE["en"] + f"No {i}." for i in range(50)] + ["I must decline to answer. " * 4, PROSE["de"] * 700, "I cannot help"]
+    rows = [(k, 2, "BOT", answer, None, "1", "z") for k, answer in enumerate(said)]
+    documents = spark.createDataFrame(texts, "doc_id bigint, lang string, text string")
+    language, ends, refusals = p1_pairs.fitted_models(spark.createDataFrame(rows, MESSAGE), documents)
+    all_ends = p1_pairs.EndModel([t for _, _, t in texts if t], said)
+    assert (language.log == p1_pairs.LanguageModel([(c.lower(), t) for _, c, t in texts if c and t]).log).all()
+    assert refusals.weight == p1_pairs.RefusalModel(said).weight and ends.weight == all_ends.weight
+    assert all(ends.probability(a.strip()) == all_ends.probability(a.strip()) for a in said)
+
+
+def test_counts_of_ends_are_those_of_every_place():
+    texts = ["", "Short.", PROSE["en"] + "\n\n" + PROSE["fr"], "日本語と😀" * 300 + "\0 end", "".join(map(chr, range(0x100, 0x400)))]
+    want = {}
+    for words in [" ".join(p.split()) for t in texts for p in t.split("\n\n")]:
+        for at in [*range(4, len(words) - 1), len(words)] if len(words) >= 40 else []:
+            want.setdefault(words[at - 4 : at], [0, 0])[at < len(words)] += 1
+    assert {g: [e, i] for g, e, i in p1_pairs.end_counts(texts)} == want
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], MESSAGE)
     assert p1_pairs.judged_pairs(none, documents(spark).limit(0)).count() == 0
