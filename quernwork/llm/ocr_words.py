@@ -35,8 +35,6 @@ MOST_EDITS = 3
 NEAR_BEST = 0.6
 #: Cost of a misreading that is not among the known ones.
 GENERIC = 3.0
-#: Words of the lexicon that the ranking is fitted on.
-SAMPLE_WORDS = 4000
 #: Part of a word's records that its single misreadings take, and from which a token is a word or name of its own; for
 #: fitting. A token that cannot be a name counts as ``RARE``.
 RARE, MISREAD_PART, OWN_PART = 1e-3, 0.07, 0.1
@@ -125,7 +123,7 @@ def alignment(token: str, word: str) -> tuple[float, int, int]:
 def features(token: str, words: list[str], common: set[str], parts: list[float] | None = None) -> np.ndarray:
     """One row per candidate: cost, edits, generic edits, length, cost per character, common, sign or digit inside,
     capital, how much dearer than the cheapest other candidate, number as cheap, and likeness to a name: how often the
-    token is found for each time that the candidate is (``parts``; none for what cannot be a name)."""
+    token is found for each time that the candidate is (``parts``; none for what cannot be a name), in steps."""
     found = [alignment(token, w) for w in words]
     costs = [c for c, _, _ in found]
     odd = any(not c.isalpha() for c in token)
@@ -135,7 +133,7 @@ def features(token: str, words: list[str], common: set[str], parts: list[float]
         rows.append((
             cost, edits, generic, len(word), cost / len(word), word in common, odd, token[:1].isupper(),
             cost - min(others, default=9.0), sum(c <= cost for c in others),
-            math.log(min(1.0, max(RARE, parts[i] if parts else RARE))),
+            round(math.log(min(1.0, max(RARE, parts[i] if parts else RARE))), 2),
         ))
     return np.array(rows, np.float64)
 
@@ -167,10 +165,6 @@ def grams(word: str) -> set[str]:
     return {p[i : i + 3] for f in forms for p in [f"^^{f}$$"] for i in range(len(p) - 2)}
 
 
-def _known_only(token: str, word: str) -> bool:
-    return alignment(token, word)[2] == 0
-
-
 def corrupt(word: str, rng: random.Random) -> str:
     """The word with one or two characters misread, or a stray mark inside."""
     out = word
@@ -188,49 +182,69 @@ def corrupt(word: str, rng: random.Random) -> str:
     return out
 
 
-def fit_ranking(
-    words: dict[str, bool], names: list[tuple[str, float]], per_word: int = 2, seed: int = 5, shares: dict[str, float] | None = None
-) -> Boosted:
-    """The ranking model: words of the lexicon misread on purpose against their other candidates, and names of the
-    corpus against all of theirs. Both are bounded: ``SAMPLE_WORDS`` of the lexicon, ``names`` (token, share of the
-    records) are the caller's sample, ``shares`` those of the words. A name that is much rarer than a word which may
-    have been misread so is left out, as it may be that word."""
-    rng = random.Random(seed)
-    known, common = sorted(words), {w for w, c in words.items() if c}
-    find = Retrieval(known)
-    x, y = [], []
-    for word in known if len(known) <= SAMPLE_WORDS else sorted(rng.sample(known, SAMPLE_WORDS)):
-        if len(word) < 2:
+def made_tokens(word: str, words: dict[str, bool], per_word: int = 2, seed: int = 5) -> list[tuple[str, float | None, float | None]]:
+    """(token, rare, own) that the ranking is fitted on: the word itself, and the word misread on purpose; in capitals with
+    the parts (see ``features``) that it is a misreading and a name of its own at."""
+    if len(word) < 2:
+        return []
+    rng = random.Random(f"{seed} {word}")
+    out: list[tuple[str, float | None, float | None]] = [(word, None, None)]
+    for _ in range(per_word):
+        token = corrupt(word, rng)
+        if token in words:
             continue
+        if rng.random() < 0.3:
+            rare = math.exp(rng.uniform(math.log(RARE), math.log(MISREAD_PART)))
+            out.append((token.capitalize(), rare, math.exp(rng.uniform(math.log(OWN_PART), 0.0))))
+        else:
+            out.append((token, None, None))
+    return out
+
+
+def made_rows(
+    word: str, token: str, rare: float | None, own: float | None, candidates: list[str], common: set[str]
+) -> tuple[list[np.ndarray], list[float]]:
+    """Features and labels of a made token's candidates."""
+    if token == word:
         # a word of which the lexicon might not know: none of the others that are like it is meant
-        if others := [c for c in find(word) if c != word]:
-            x.append(features(word, others, common))
-            y += [0.0] * len(others)
-        for _ in range(per_word):
-            token = corrupt(word, rng)
-            if token in words:
-                continue
-            candidates = find(token)
-            if word in candidates:
-                capital = rng.random() < 0.3
-                right = [float(c == word) for c in candidates]
-                if not capital:
-                    x.append(features(token, candidates, common))
-                    y += right
-                    continue
-                # the same token is a misreading where it is rare beside the word, and a name where it is not
-                token = token.capitalize()
-                rare = math.exp(rng.uniform(math.log(RARE), math.log(MISREAD_PART)))
-                x.append(features(token, candidates, common, [rare] * len(candidates)))
-                own = math.exp(rng.uniform(math.log(OWN_PART), 0.0))
-                x.append(features(token, candidates, common, [own] * len(candidates)))
-                y += right + [0.0] * len(candidates)
+        others = [c for c in candidates if c != word]
+        return ([features(token, others, common)], [0.0] * len(others)) if others else ([], [])
+    if word not in candidates:
+        return [], []
+    right = [float(c == word) for c in candidates]
+    if rare is None or own is None:
+        return [features(token, candidates, common)], right
+    # the same token is a misreading where it is rare beside the word, and a name where it is not
+    x = [features(token, candidates, common, [part] * len(candidates)) for part in (rare, own)]
+    return x, right + [0.0] * len(candidates)
+
+
+def name_rows(name: str, parts: list[float], candidates: list[str], common: set[str]) -> tuple[list[np.ndarray], list[float]]:
+    """Features and labels of the candidates of a name of the corpus, of which none is meant. A name that is much rarer
+    than a word which may have been misread so is left out, as it may be that word."""
+    row = features(name, candidates, common, parts)
+    if all(part >= OWN_PART or generic for part, generic in zip(parts, row[:, 2])):
+        return [row], [0.0] * len(candidates)
+    return [], []
+
+
+def fit_ranking(words: dict[str, bool], names: list[tuple[str, float]], per_word: int = 2, seed: int = 5, shares: dict[str, float] | None = None) -> Boosted:
+    """The ranking model, in one process: words of the lexicon misread on purpose against their other candidates, and
+    names of the corpus (token, share of the records) against all of theirs; ``shares`` are those of the words."""
+    common = {w for w, c in words.items() if c}
+    find = Retrieval(sorted(words))
+    x: list[np.ndarray] = []
+    y: list[float] = []
+    for word in sorted(words):
+        for token, rare, own in made_tokens(word, words, per_word, seed):
+            rows, labels = made_rows(word, token, rare, own, find(token), common)
+            x += rows
+            y += labels
     for name, own in names:
         if candidates := find(name):
-            parts = [own / shares[c] for c in candidates] if shares else [1.0] * len(candidates)
-            if all(part >= OWN_PART or not _known_only(name, c) for part, c in zip(parts, candidates)):
-                x.append(features(name, candidates, common, parts))
-                y += [0.0] * len(candidates)
+            rows, labels = name_rows(name, [own / shares[c] for c in candidates] if shares else [1.0] * len(candidates), candidates, common)
+            x += rows
+            y += labels
     return Boosted(np.concatenate(x), np.array(y)) if x else Boosted(np.zeros((0, 11)), np.zeros(0))
 
 

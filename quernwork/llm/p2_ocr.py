@@ -2,8 +2,9 @@
 
 1. Every newspaper title has a running name: the line, without date, numbers and blanks, that its records repeat most.
 2. Lines are judged with their neighbours: boosted trees tell running headers and page numbers from the body, and
-   whether a word is divided between a line and the next line of the body. They are fitted on a bounded sample of
-   records that is labelled by repetition and by spelling, and on copies of it with characters misread on purpose.
+   whether a word is divided between a line and the next line of the body. They are fitted on the lines of all records,
+   labelled by repetition and by spelling and counted by what is told of them, and on copies of the headers with
+   characters misread on purpose.
 3. Words that are not in the lexicon, but whose folded spelling comes near a word of it, are looked up once each: an
    inverted join of character 3-grams finds candidates, boosted trees rank them, and the best is taken if its
    probability passes ``LEAST_PROBABILITY``.
@@ -25,18 +26,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .boost import Boosted
+from .boost import BINS, Boosted, cuts_of
 from .common import cut, table
-from .ocr_words import MOST_EDITS, NEAR_BEST, SPECKS, TOKEN, Plausible, bare, corrupt, features, fit_ranking, grams
-
-#: Records that the line models are fitted on: those of the smallest seeded hash.
-SAMPLE_RECORDS = 1500
-#: Frequent capitalised words that the ranking learns as names.
-SAMPLE_NAMES = 1500
-#: Records that are added to those of a word in the sample, as it may stand on some that the sample lacks.
-UNSEEN_RECORDS = 15
-#: Longest text of the sample; others of it are longer than a page.
-SAMPLE_CHARS = 1 << 16
+from .ocr_words import (
+    MOST_EDITS, NEAR_BEST, SPECKS, TOKEN, Plausible, bare, corrupt, features, grams, made_rows, made_tokens, name_rows,
+)
+
+#: Records that are added to those of each word of the lexicon, so that a token of few records is no name yet.
+MORE_RECORDS = 15
+#: Different header lines are misread on purpose so many times at most; the copies weigh as two for each line.
+MOST_COPIES = 16
+#: Different rows that a model is fitted on; where there are more, values fall into fewer bins, and all still count.
+MOST_ROWS = 1 << 20
 MOST_WORDS = 1 << 18
 #: A last word of running names is a kind of newspaper if so many titles in all and so large a part of them have it,
 #: which bounds the number of kinds at any size.
@@ -59,6 +60,9 @@ _EDGE = re.compile(r"^\W*(?:page\s+)?\d{1,3}\W+(?=\D)|(?<=\D)\s+\W*(?:page\s+)?\
 _LOOKS = str.maketrans({"0": "O", "1": "I", "5": "S", "!": "I", "|": "I", "9": "G", "É": "E", "Ä": "A"})
 _NUMBER = re.compile(r"\W*(?:page|p\.|no\.)?\W*(\d{1,4}|[ivxlc]{1,7})\W*", re.I)
 _DIVIDED = re.compile(rf"(?:^|[\s“”\"(\[—])([^\W\d_][\w'’{re.escape(SPECKS)}!-]*?)\s?([{HYPHENS}])\s*$")
+_YEAR = re.compile(r"(?<!\S)\d{4}[.,;]?(?!\S)")
+_LAST = re.compile(r"([^\W\d_]\w*)\W*$")
+_DIGIT = re.compile(r"\d")
 _BEGINS = re.compile(rf"\s*([^\W\d_][\w'’{re.escape(SPECKS)}!]*(?:-[^\W\d_]\w*)?)")
 
 
@@ -340,24 +344,130 @@ class Lines:
         return "\n\n".join(p.strip() for p in paragraphs)
 
 
-def _name_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        seen: Counter = Counter()
-        for title, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            cores = {core_of(x) for x in map(str.strip, _BREAK.split(text)) if may_be_header(x)}
-            seen.update((title, core, last) for core, last in cores if len(core) >= 3)
-        rows = list(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], pa.string()) for i in range(3)] + [pa.array([seen[r] for r in rows], pa.int64())],
-            names=["lccn", "core", "last", "n"],
-        )
+#: What one scan of the texts counts. ``name``: records of a title that have the line's core, with its last word;
+#: ``header``: lines of a title by form; ``number`` and ``join``: rows of these models; ``word``: records that have a word;
+#: ``record``: all records.
+COUNTED = "kind string, lccn string, item string, last string, row array<double>, label double, n bigint"
+ROWS = "model string, row array<double>, label double, n double"
 
 
-def running_names(pages: DataFrame) -> DataFrame:
+def header_form(line: str) -> str:
+    """The line with another date and other figures at its ends, which the model of headers does not look at."""
+    line = _DATE.sub(lambda m: "Tuesday, April 3, 1908" if _SMALL.search(m[0]) else "TUESDAY, APRIL 3, 1908", line)
+    return _EDGE.sub(lambda m: _DIGIT.sub("1", m[0]), line)
+
+
+class _Words(dict):
+    """Words of the lexicon in a token, kept by token as most come again."""
+
+    def __init__(self, known: set[str]) -> None:
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, token: str) -> tuple[str, ...]:
+        if len(self) > 1 << 18:
+            self.clear()
+        found = self[token] = tuple({w for x in TOKEN.findall(token) if (w := bare(x).lower()) in self.known})
+        return found
+
+
+class LineCounts:
+    """What ``COUNTED`` says of some records."""
+
+    def __init__(self, known: set[str], words: _Words | None = None) -> None:
+        self.known, self.words = known, _Words(known) if words is None else words
+        self.names, self.headers, self.numbers, self.joins, self.on = (Counter() for _ in range(5))
+        self.records = 0
+
+    def add(self, title: str | None, text: str) -> None:
+        lines = _BREAK.split(text)
+        split = [line.split() for line in lines]
+        years = set(_YEAR.findall(text))
+        cores, tokens, joins = set(), set(), []
+        for i, parts in enumerate(split):
+            if not parts:
+                continue
+            tokens.update(parts)
+            line = lines[i]
+            flat = line.strip()
+            if found := _NUMBER.fullmatch(flat):
+                row = number_features(line, lines[i - 1] if i else None, lines[i + 1] if i + 1 < len(lines) else None)
+                label = row[2] <= MOST_SIGNS and (len(found[1]) <= 3 or (found[1].isalpha() and found[1].islower()))
+                self.numbers[tuple(row), float(label)] += 1
+            elif years and not years.isdisjoint(parts):
+                # years as they would stand if a line of the body broke around them
+                before, after = (lines[i - 1] if i else None), (lines[i + 1] if i + 1 < len(lines) else None)
+                self.numbers.update((tuple(number_features(t, before, after)), 0.0) for t in parts if t in years)
+            if title is not None and may_be_header(flat):
+                cores.add(core_of(flat))
+                if not found:
+                    self.headers[title, header_form(flat)] += 1
+            if i + 1 == len(lines) or not split[i + 1]:
+                continue
+            second = split[i + 1][0]
+            if not second.isalpha():
+                if not (goes_on := _BEGINS.match(lines[i + 1])):
+                    continue
+                second = goes_on[1]
+            if flat[-1] in HYPHENS and (divided := _DIVIDED.search(line)):
+                joins.append((divided[1], divided[2], second))
+                continue
+            last = parts[-1].rstrip(".,;:!?”")
+            if not last.isalpha():
+                if not (ends := _LAST.search(parts[-1]) or _LAST.search(flat)):
+                    continue
+                last = ends[1]
+            joins.append((last, "", second))
+        self.joins.update(joins)
+        self.names.update((title, core, last) for core, last in cores if len(core) >= 3)
+        on: set[str] = set()
+        on.update(*map(self.words.__getitem__, tokens))
+        self.on.update(on)
+        self.records += 1
+
+    def _join_label(self, first: str, sign: str, second: str) -> float:
+        name_like = first[:1].isupper() and second.isalpha()
+        good = (first + second).lower() in self.known or f"{first}-{second}".lower() in self.known or name_like or second.islower()
+        return float(bool(sign) and good and first.isalpha() and len(second) > 1 and second[:1].islower())
+
+    def rows(self) -> list[tuple]:
+        """Rows of ``COUNTED``."""
+        joins: Counter = Counter()
+        for (first, sign, second), n in self.joins.items():
+            joins[tuple(join_features(first, sign, second, 0, self.known)), self._join_label(first, sign, second)] += n
+        out: list[tuple] = [("record", None, None, None, None, None, self.records)]
+        out += [("name", *name, None, None, n) for name, n in self.names.items()]
+        out += [("header", *form, None, None, None, n) for form, n in self.headers.items()]
+        out += [("word", None, word, None, None, None, n) for word, n in self.on.items()]
+        return out + [(kind, None, None, None, *row, n) for kind, of in (("number", self.numbers), ("join", joins)) for row, n in of.items()]
+
+
+def _count_batches(known: set[str]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words(known)
+        kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.float64()), pa.float64(), pa.int64())
+        for batch in batches:
+            counts = LineCounts(known, words)
+            for title, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts.add(title, text)
+            rows = counts.rows()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["kind", "lccn", "item", "last", "row", "label", "n"]
+            )
+
+    return run
+
+
+def counted(pages: DataFrame, words: dict[str, bool]) -> DataFrame:
+    """``COUNTED`` of all texts, from one scan."""
+    texts = pages.filter(F.col("text").isNotNull()).select("lccn", "text")
+    found = texts.mapInArrow(_count_batches(set(words)), COUNTED)
+    return cut(found.groupBy("kind", "lccn", "item", "last", "row", "label").agg(F.sum("n").alias("n")))
+
+
+def running_names(counts: DataFrame) -> DataFrame:
     """(lccn, name, last, n): the core that most records of a title repeat, and on how many."""
-    seen = pages.filter(F.col("lccn").isNotNull() & F.col("text").isNotNull()).select("lccn", "text").mapInArrow(
-        _name_batches, "lccn string, core string, last string, n bigint"
-    )
+    seen = counts.filter("kind = 'name'").select("lccn", F.col("item").alias("core"), "last", "n")
     cores = seen.groupBy("lccn", "core").agg(F.sum("n").alias("n"), F.max_by("last", F.length("last")).alias("last"))
     best = F.max_by(F.struct("core", "last", "n"), F.struct("n", "core"))
     return (
@@ -367,50 +477,62 @@ def running_names(pages: DataFrame) -> DataFrame:
     )
 
 
-def _fit(sample: list[tuple[str, str | None]], words: dict[str, bool], types: tuple[str, ...], seed: int = 3) -> Lines:
-    """Line models from records that are labelled by repetition (headers), form (numbers) and spelling (divisions)."""
-    rng = random.Random(seed)
-    known = set(words)
-    hx, hy, nx, ny, jx, jy = [], [], [], [], [], []
+def header_rows(form: str, n: int, name: str, types: tuple[str, ...], seed: int = 3) -> list[tuple[list[float], float, float]]:
+    """(row, label, weight) of ``n`` header lines of one form and of copies with characters misread on purpose."""
+    row = header_features(form, name, types)
+    if row[0] != 1.0:
+        return [(r, 0.0, float(n)) for r in (row, header_features(form, None, types))] if row[0] < 0.6 else []
+    rng = random.Random(f"{seed} {form}")
     misread = lambda s: "".join(corrupt(c.lower(), rng).upper() if c.isalpha() and rng.random() < 0.08 else c for c in s)
-    for text, name in sample:
-        lines = _BREAK.split(text)
-        for i, line in enumerate(lines):
-            flat = line.strip()
-            if not flat:
-                continue
-            if may_be_header(flat) and not _NUMBER.fullmatch(flat):
-                row = header_features(flat, name, types)
-                if name and row[0] == 1.0:
-                    for form in (flat, misread(flat), misread(flat)):
-                        hx += [header_features(form, name, types), header_features(form, None, types)]
-                        hy += [1.0, 1.0]
-                elif name and row[0] < 0.6:
-                    hx += [row, header_features(flat, None, types)]
-                    hy += [0.0, 0.0]
-            found = _NUMBER.fullmatch(flat)
-            before, after = (lines[i - 1] if i else None), (lines[i + 1] if i + 1 < len(lines) else None)
-            if found:
-                nx.append(number_features(line, before, after))
-                plain = nx[-1][2] <= MOST_SIGNS
-                ny.append(float(plain and (len(found[1]) <= 3 or (found[1].isalpha() and found[1].islower()))))
-            elif _figures(line) and rng.random() < 0.2:
-                # years as they would stand if a line of the body broke around them
-                nx += [number_features(t, before, after) for t in flat.split() if re.fullmatch(r"\d{4}[.,;]?", t)]
-                ny += [0.0] * (len(nx) - len(ny))
-            if i + 1 < len(lines) and (goes_on := _BEGINS.match(lines[i + 1])):
-                second = goes_on[1]
-                if divided := _DIVIDED.search(line):
-                    whole = (divided[1] + second).lower()
-                    jx.append(join_features(divided[1], divided[2], second, 0, known))
-                    name_like = divided[1][:1].isupper() and second.isalpha()
-                    good = whole in known or f"{divided[1]}-{second}".lower() in known or name_like or second.islower()
-                    jy.append(float(good and divided[1].isalpha() and len(second) > 1 and second[:1].islower()))
-                elif rng.random() < 0.2 and (last := re.search(r"([^\W\d_]\w*)\W*$", line)):
-                    jx.append(join_features(last[1], "", second, 0, known))
-                    jy.append(0.0)
-    fit = lambda x, y, width: Boosted(np.array(x, np.float64).reshape(-1, width), np.array(y))
-    return Lines(words, types, fit(hx, hy, 7), fit(nx, ny, 10), fit(jx, jy, 11))
+    copies = min(2 * n, MOST_COPIES)
+    forms = [(form, float(n)), *((misread(form), 2 * n / copies) for _ in range(copies))]
+    return [(header_features(f, known, types), 1.0, weight) for f, weight in forms for known in (name, None)]
+
+
+def _row_batch(rows: list[tuple[str, list[float], float, float]]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.list_(pa.float64()), pa.float64(), pa.float64())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["model", "row", "label", "n"])
+
+
+def _header_batches(types: tuple[str, ...]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms, counts, names = (batch.column(i).to_pylist() for i in range(3))
+            seen: Counter = Counter()
+            for form, n, name in zip(forms, counts, names):
+                for row, label, weight in header_rows(form, n, name, types):
+                    seen[tuple(row), label] += weight
+            yield _row_batch([("header", row, label, weight) for (row, label), weight in seen.items()])
+
+    return run
+
+
+def fit_counted(rows: DataFrame, widths: dict[str, int], most_rows: int = MOST_ROWS) -> dict[str, Boosted]:
+    """The models, by name and number of features, of all ``ROWS``. Only the different values of each feature and the
+    different rows of bins, with their counts, come to the driver."""
+    rows = cut(rows.groupBy("model", "row", "label").agg(F.sum("n").alias("n")))
+    values = rows.select("model", "n", F.posexplode("row").alias("place", "value")).groupBy("model", "place", "value").agg(F.sum("n").alias("n"))
+    held: dict[tuple[str, int], list[tuple[float, float]]] = {}
+    for r in values.collect():
+        held.setdefault((r.model, r.place), []).append((r.value, r.n))
+    out = {}
+    for model, width in widths.items():
+        columns = [np.array(sorted(held.get((model, j), [])), np.float64).reshape(-1, 2) for j in range(width)]
+        bins = BINS
+        while True:
+            cuts = [cuts_of(c[:, 0], c[:, 1], bins) for c in columns]
+            below = lambda j: F.size(F.filter(F.lit(cuts[j].tolist()).cast("array<double>"), lambda c: c < F.col("row")[j]))  # noqa: B023, E731
+            binned = (
+                rows.filter(F.col("model") == model).select(F.array(*[below(j) for j in range(width)]).alias("bins"), "label", "n")
+                .groupBy("bins").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n")).limit(most_rows + 1)
+            )
+            found = sorted(zip(*(c.to_pylist() for c in binned.toArrow().columns)))
+            if len(found) <= most_rows or bins <= 2:
+                break
+            bins //= 2
+        x, right, weight = (np.array([f[i] for f in found], kind) for i, kind in enumerate((np.int64, np.float64, np.float64)))
+        out[model] = Boosted.of_counts(cuts, x.reshape(-1, width), right, weight)
+    return out
 
 
 def _word_table(lexicon: DataFrame) -> dict[str, bool]:
@@ -424,30 +546,25 @@ def _word_table(lexicon: DataFrame) -> dict[str, bool]:
 
 
 def line_models(pages: DataFrame, lexicon: DataFrame) -> tuple[Lines, DataFrame]:
-    """Models fitted on the bounded sample, and the titles' names (lccn, name)."""
-    names = cut(running_names(pages))
+    """Models fitted on the lines of all records, and the titles' names (lccn, name)."""
+    words = _word_table(lexicon)
+    counts = counted(pages, words)
+    names = cut(running_names(counts))
     kinds = names.filter("n >= 3 and length(last) >= 4").groupBy("last").agg(F.count("*").alias("titles"))
     least = max(TYPE_TITLES, TYPE_PART * names.count())
     types = tuple(r.last for r in kinds.filter(F.col("titles") >= least).orderBy(F.desc("titles"), "last").collect())
     sure = names.filter(F.col("n") >= 2).select("lccn", "name")
-    hashed = F.xxhash64(F.lit(1), "page_id", "text")
-    rows = (
-        pages.filter(F.length("text").between(41, SAMPLE_CHARS)).select("lccn", "text", hashed.alias("h"))
-        .orderBy("h", "text").limit(SAMPLE_RECORDS).join(sure, "lccn", "left").select("text", "name").collect()
-    )
-    words = _word_table(lexicon)
-    models = _fit(sorted((r.text, r.name or "") for r in rows), words, types)
-    models.shares = _word_shares([r.text for r in rows], words)
+    forms = _with_name(counts.filter("kind = 'header'"), sure).filter("name is not null").select("item", "n", "name")
+    parts = forms.sparkSession.sparkContext.defaultParallelism
+    headers = forms.repartition(parts, "item").mapInArrow(_header_batches(types), ROWS)
+    others = counts.filter("kind in ('number', 'join')").select(F.col("kind").alias("model"), "row", "label", F.col("n").cast("double"))
+    fitted = fit_counted(headers.unionByName(others), {"header": 7, "number": 10, "join": 11})
+    models = Lines(words, types, fitted["header"], fitted["number"], fitted["join"])
+    on = {r.item: r.n for r in counts.filter("kind in ('word', 'record')").select("item", "n").collect()}
+    models.shares = {w: (on.get(w, 0) + MORE_RECORDS) / on.get(None, 1) for w in words}
     return models, sure
 
 
-def _word_shares(texts: list[str], words: dict[str, bool]) -> dict[str, float]:
-    """Share of the sample's records on which each word of the lexicon stands, ``UNSEEN_RECORDS`` added to all."""
-    on = Counter(w for t in texts for w in {bare(x).lower() for x in TOKEN.findall(t)} if w in words)
-    n = max(1, len(texts))
-    return {w: (on[w] + UNSEEN_RECORDS) / n for w in words}
-
-
 def _with_name(rows: DataFrame, names: DataFrame) -> DataFrame:
     """Texts stay where they are while the names are few enough to send."""
     letters = names.agg(F.sum(F.length("name") + F.length("lccn"))).first()[0] or 0
@@ -505,30 +622,60 @@ def _rank_udf(model: Boosted, words: list[str], common: set[str], shares: dict[s
     return run
 
 
+def _made_batches(words: dict[str, bool]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(w, *made) for w in batch.column(0).to_pylist() for made in made_tokens(w, words)]
+            kinds = (pa.string(), pa.string(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["made", "token", "rare", "own"])
+
+    return run
+
+
+def _ranking_batches(words: list[str], common: set[str], shares: dict[str, float]) -> Callable:
+    """Rows that the ranking is fitted on: of made tokens, and of those that may be names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: Counter = Counter()
+            for made, token, rare, own, numbers in zip(*(c.to_pylist() for c in batch.columns)):
+                candidates = [words[i] for i in numbers]
+                if made is None:
+                    x, y = name_rows(token, [own / shares[c] for c in candidates], candidates, common)
+                else:
+                    x, y = made_rows(made, token, rare, own, candidates, common)
+                if x:
+                    seen.update(zip(map(tuple, np.concatenate(x).tolist()), y))
+            yield _row_batch([("ranking", row, label, float(n)) for (row, label), n in seen.items()])
+
+    return run
+
+
 def meant_words(odd: DataFrame, lexicon: DataFrame, shares: dict[str, float], records: int) -> DataFrame:
     """(token, word, probability) of the tokens that are likelier than not a misread word. ``odd`` is (page_id, item),
     ``shares`` the words' shares of the ``records``.
 
     A name is as frequent as the words it is like, a misreading much rarer than the word. So the ranking is given how
     often a token of letters that never stands in lower case is found (``own``, share of the records, in any case of
-    its letters) beside how often each candidate is. The lexicon's 3-grams are sent to the tokens, which stay where
-    they are, each in one task, until they are ranked.
+    its letters) beside how often each candidate is. It is fitted on all words of the lexicon and all such tokens. The
+    lexicon's 3-grams are sent to the tokens, which stay where they are, each in one task, until they are ranked.
     """
     words = _word_table(lexicon)
+    spelled, common = sorted(words), {w for w, c in words.items() if c}
     tokens = odd.groupBy(F.col("item").alias("token")).agg(F.count("*").alias("n"))
     small = F.lower("token") == F.col("token")
     cased = tokens.groupBy(F.lower("token").alias("low")).agg(F.bool_or(small).alias("small"), F.sum("n").alias("all"))
     own = F.when(~F.col("small") & F.col("token").rlike(r"^\p{L}+$"), F.col("all") / F.lit(max(1, records)))
+    spark = odd.sparkSession
+    numbered = spark.createDataFrame([(i, len(w), w) for i, w in enumerate(spelled)], "word int, size int, spelled string")
+    made = numbered.select("spelled").mapInArrow(_made_batches(words), "made string, token string, rare double, own double")
+    tokens = tokens.withColumn("low", F.lower("token")).join(cased, "low").select("token", own.cast("double").alias("own"))
     tokens = cut(
-        tokens.withColumn("low", F.lower("token")).join(cased, "low")
-        .select(F.monotonically_increasing_id().alias("number"), "token", own.cast("double").alias("own"))
+        tokens.unionByName(made, allowMissingColumns=True)
+        .select(F.monotonically_increasing_id().alias("number"), "made", "token", "rare", "own")
     )
-    names = tokens.filter("own is not null").orderBy(F.desc("own"), "token").limit(SAMPLE_NAMES).collect()
-    model = fit_ranking(words, [(r.token, r.own) for r in names], shares=shares)
     spread = _grams_udf()
-    spark = odd.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    numbered = spark.createDataFrame([(i, len(w), w) for i, w in enumerate(sorted(words))], "word int, size int, spelled string")
     theirs = numbered.select("word", "size", F.explode(spread("spelled")).alias("gram"))
     # tokens and words go by numbers until they are ranked
     hashed = tokens.withColumn("grams", spread("token")).repartition(parts, "number")
@@ -542,8 +689,11 @@ def meant_words(odd: DataFrame, lexicon: DataFrame, shares: dict[str, float], re
         .groupBy("number").agg(F.collect_list(F.struct("word", share.alias("share"))).alias("c"), F.max(share).alias("best"))
         .select("number", F.transform(F.sort_array(near), lambda x: x["word"]).alias("c"))
     )
-    rank = _rank_udf(model, sorted(words), {w for w, c in words.items() if c}, shares)
-    ranked = candidates.join(tokens, "number").select("token", rank("token", "c", "own").alias("r"))
+    looked = cut(candidates.join(tokens, "number").select("made", "token", "rare", "own", "c"))
+    fitting = looked.filter("made is not null or own is not null").mapInArrow(_ranking_batches(spelled, common, shares), ROWS)
+    model = fit_counted(fitting, {"ranking": 11})["ranking"]
+    rank = _rank_udf(model, spelled, common, shares)
+    ranked = looked.filter("made is null").select("token", rank("token", "c", "own").alias("r"))
     return ranked.select("token", "r.word", "r.probability").filter(F.col("probability") > LEAST_PROBABILITY)
 
 
@@ -558,7 +708,7 @@ def _found(pages: DataFrame, lexicon: DataFrame) -> tuple[DataFrame, DataFrame,
         _named(pages, names)
         .mapInArrow(_item_batches(models), "page_id bigint, kind string, item string, known float").distinct()
     )
-    records = pages.filter(F.length("text") > 40).select("page_id").distinct().count()
+    records = pages.filter(F.col("text").isNotNull()).select("page_id").distinct().count()
     meant = cut(meant_words(items.filter("kind = 'odd'").select("page_id", "item"), lexicon, models.shares, records))
     return items, meant, models, names
 

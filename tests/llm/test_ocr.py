@@ -104,3 +104,70 @@ def test_names_are_told_by_their_share_of_the_records(tables):
     extra = spark.createDataFrame(rows, "page_id bigint, member_path string, lccn string, batch_name string, text string")
     found = p2_ocr.page_items(pages.drop("loaded_at").unionByName(extra), lexicon).filter("page_id >= 950000 and kind = 'misread'")
     assert sorted((r.page_id, r.item) for r in found.collect()) == [(950_200 + i, "market") for i in range(8)]
+
+
+def test_models_are_fitted_on_every_record_and_token(tables):
+    pages, lexicon = tables
+    spark = pages.sparkSession
+    words = {r.word.lower(): r.is_common for r in lexicon.collect()}
+    said = sorted(w for w in words if len(w) > 6)[:40]
+    rows = [(i, f"zz{i % 3}", f"THE OAKHAM HERALD\nno {said[i % 40]} in 1886 was har-\nvest\n- {i % 90} -\n") for i in range(1700)]
+    rows += [(2000, "zz1", f"{said[0]} was\n" * 9000), (2001, None, said[0]), (2002, "zz2", ""), (2003, "zz2", None)]
+    models, _ = p2_ocr.line_models(spark.createDataFrame(rows, "page_id bigint, lccn string, text string").repartition(7), lexicon)
+    on = {w: sum(w in {p2_ocr.bare(t).lower() for t in (text or "").split()} for _, _, text in rows) for w in words}
+    n = sum(text is not None for _, _, text in rows)
+    assert models.shares == {w: pytest.approx((on[w] + p2_ocr.MORE_RECORDS) / n) for w in words} and on[said[0]] == 45
+    # the lines' rows and their weights are those of all texts
+    counts = p2_ocr.LineCounts(set(words))
+    for _, title, text in rows:
+        if text is not None:
+            counts.add(title, text)
+    for model, kind in ((models.number, "number"), (models.join, "join")):
+        mine = [r for r in counts.rows() if r[0] == kind]
+        x, y, weight = (np.array([r[i] for r in mine], np.float64) for i in (4, 5, 6))
+        whole = Boosted(x, y, weight=weight)
+        assert model.probability(x) == pytest.approx(whole.probability(x), abs=1e-9) and len(model.trees) == len(whole.trees)
+    assert sum(r[6] for r in counts.rows() if r[0] == "number") == 3400 and sum(r[6] for r in counts.rows() if r[0] == "header") == 1700
+
+
+def test_ranking_is_fitted_on_all_words_and_all_names(tables, monkeypatch):
+    lexicon = tables[1]
+    spark = lexicon.sparkSession
+    words = {r.word.lower(): r.is_common for r in lexicon.collect()}
+    shares = dict.fromkeys(words, 0.5)
+    capitals = sorted({w[:-1].capitalize() + e for w in words if len(w) > 3 and w.isalpha() for e in "kyz"} - {w.capitalize() for w in words})
+    assert len(capitals) > 2000
+    fitted = {}
+    fit = p2_ocr.fit_counted
+    monkeypatch.setattr(p2_ocr, "fit_counted", lambda rows, widths: fitted.update(rows=rows.collect()) or fit(rows, widths))
+    odd = spark.createDataFrame([(i, t) for t in capitals for i in range(2)], "page_id bigint, item string")
+    p2_ocr.meant_words(odd, lexicon, shares, 2).count()
+    find, common, want = ocr_words.Retrieval(sorted(words)), {w for w, c in words.items() if c}, {}
+    pairs = [ocr_words.name_rows(t, [2.0] * len(c), c, common) for t in capitals if (c := find(t))]
+    for w in sorted(words):
+        pairs += [ocr_words.made_rows(w, *made, find(made[0]), common) for made in ocr_words.made_tokens(w, words)]
+    for x, y in pairs:
+        for row, label in zip(map(tuple, np.concatenate(x).tolist()) if x else (), y):
+            want[row, label] = want.get((row, label), 0) + 1
+    got = {}
+    for r in fitted["rows"]:
+        got[tuple(r.row), r.label] = got.get((tuple(r.row), r.label), 0) + r.n
+    assert got == want
+
+
+def test_counted_rows_fit_as_repeated_ones(tables):
+    rng = np.random.default_rng(1)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    y = (x[:, 0] * x[:, 1] > 0).astype(float)
+    weight = rng.integers(1, 9, 300)
+    whole = Boosted(np.repeat(x, weight, axis=0), np.repeat(y, weight))
+    assert Boosted(x, y, weight=weight).probability(x) == pytest.approx(whole.probability(x))
+    rows = tables[0].sparkSession.createDataFrame(
+        [("m", list(map(float, r)), float(label), float(n)) for r, label, n in zip(x, y, weight)], p2_ocr.ROWS
+    )
+    assert p2_ocr.fit_counted(rows, {"m": 3})["m"].probability(x) == pytest.approx(whole.probability(x))
+    # too many different rows: wider bins, and all still count
+    coarse = p2_ocr.fit_counted(rows, {"m": 3}, most_rows=60)["m"]
+    assert len(coarse.cuts[0]) < len(whole.cuts[0]) and ((coarse.probability(x) > 0.5) == (y > 0.5)).mean() > 0.7
+    assert coarse.base == pytest.approx(whole.base)
+    assert len(p2_ocr.fit_counted(rows.limit(0), {"m": 3})["m"].trees) == 0
