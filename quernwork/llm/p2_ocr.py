@@ -52,15 +52,18 @@ LEAST_PROBABILITY, FULL_KNOWN = 0.5, 0.5
 MOST_SIGNS = 3
 
 HYPHENS = "-‐‑­¬="
+_ENDS = tuple(HYPHENS)
 _BREAK = re.compile(r"\r\n|\r|\n")
 _DATE = re.compile(r"(?:[^\W\d_][\w!|]{4,10}[,.]?\s+)?(?:[^\W\d_]|0)[\w!|]{2,9}\.?\s+[\dlOo]{1,2},\s+[\dlOo]{4}")
 _SMALL_WORD = re.compile(r"(?:^|\s)[^\W\dA-Z_l]")
 _SMALL = re.compile(r"[a-z]{2}")
+#: A word that neither lines that may be headers nor those that are numbers have; most lines are passed over by it.
+_BODY = re.compile(r"(?:^|\s)(?=[a-km-z][a-z])[a-z]*[bdfhjkmqrstuwyz]")
 _EDGE = re.compile(r"^\W*(?:page\s+)?\d{1,3}\W+(?=\D)|(?<=\D)\s+\W*(?:page\s+)?\d{1,3}\W*$", re.I)
 _LOOKS = str.maketrans({"0": "O", "1": "I", "5": "S", "!": "I", "|": "I", "9": "G", "É": "E", "Ä": "A"})
 _NUMBER = re.compile(r"\W*(?:page|p\.|no\.)?\W*(\d{1,4}|[ivxlc]{1,7})\W*", re.I)
 _DIVIDED = re.compile(rf"(?:^|[\s“”\"(\[—])([^\W\d_][\w'’{re.escape(SPECKS)}!-]*?)\s?([{HYPHENS}])\s*$")
-_YEAR = re.compile(r"(?<!\S)\d{4}[.,;]?(?!\S)")
+_YEAR = re.compile(r"\d{4}[.,;]?(?!\S)")
 _LAST = re.compile(r"([^\W\d_]\w*)\W*$")
 _DIGIT = re.compile(r"\d")
 _BEGINS = re.compile(rf"\s*([^\W\d_][\w'’{re.escape(SPECKS)}!]*(?:-[^\W\d_]\w*)?)")
@@ -116,22 +119,31 @@ def _unfinished(line: str | None) -> bool:
 
 
 def _figures(line: str | None) -> int:
-    if not line or not any(map(str.isdigit, line)):
+    if not line or (not _DIGIT.search(line) if line.isascii() else not any(map(str.isdigit, line))):
         return 0
     return sum(any(map(str.isdigit, t)) for t in line.split())
 
 
-def number_features(line: str, before: str | None, after: str | None) -> list[float]:
+@lru_cache(maxsize=1 << 16)
+def _own_number_features(line: str) -> tuple[float, ...]:
+    """What the line itself tells of a number; most come again."""
     found = _NUMBER.fullmatch(line.strip())
     digits = found[1] if found else ""
     roman = digits.isalpha()
     digits = "1" * min(2, len(digits)) if roman else digits
     signs = set(re.sub(r"[\w\s.]", "", line))
-    return [
+    return (
         float(len(digits)), float(int(digits or 0)), float(len(signs)), float("." in line),
-        float(len(line) - len(line.lstrip()) > 2), float(_unfinished(before)),
-        float((after or "").lstrip()[:1].islower()), float(min(4, max(_figures(before), _figures(after)))),
-        float(len(digits) == 4 and 1000 < int(digits) < 2100), float(roman and not line.strip().isupper()),
+        float(len(line) - len(line.lstrip()) > 2), float(len(digits) == 4 and 1000 < int(digits) < 2100),
+        float(roman and not line.strip().isupper()),
+    )
+
+
+def number_features(line: str, before: str | None, after: str | None) -> list[float]:
+    own = (_own_number_features if len(line) <= 64 else _own_number_features.__wrapped__)(line)
+    return [
+        *own[:5], float(_unfinished(before)), float((after or "").lstrip()[:1].islower()),
+        float(min(4, max(_figures(before), _figures(after)))), *own[5:],
     ]
 
 
@@ -177,6 +189,8 @@ class Lines:
         """``header``, ``page_number`` or None of each line."""
         out: list[str | None] = [None] * len(lines)
         for i, line in enumerate(lines):
+            if _BODY.search(line):
+                continue
             bare_line = line.strip()
             if not bare_line:
                 continue
@@ -192,7 +206,7 @@ class Lines:
         """Line -> (line that goes on, the two parts, whether the hyphen is the word's own)."""
         out = {}
         for i, line in enumerate(lines):
-            if kinds[i] is not None or not line.rstrip().endswith(tuple(HYPHENS)):
+            if kinds[i] is not None or not line.rstrip().endswith(_ENDS):
                 continue
             found = _DIVIDED.search(line)
             if not found:
@@ -357,18 +371,36 @@ def header_form(line: str) -> str:
     return _EDGE.sub(lambda m: _DIGIT.sub("1", m[0]), line)
 
 
-class _Words(dict):
-    """Words of the lexicon in a token, kept by token as most come again."""
+class _Words:
+    """Words of the lexicon in tokens, kept by token as most come again."""
 
     def __init__(self, known: set[str]) -> None:
-        super().__init__()
         self.known = known
-
-    def __missing__(self, token: str) -> tuple[str, ...]:
-        if len(self) > 1 << 18:
-            self.clear()
-        found = self[token] = tuple({w for x in TOKEN.findall(token) if (w := bare(x).lower()) in self.known})
-        return found
+        #: The word in a token, "" if there is none, a tuple if there are several.
+        self.kept: dict[str, str | tuple[str, ...]] = {}
+        self.several: set[tuple[str, ...]] = set()
+
+    def _keep(self, token: str) -> None:
+        words = sorted({w for x in TOKEN.findall(token) if (w := bare(x).lower()) in self.known})
+        self.kept[token] = words[0] if len(words) == 1 else tuple(words) or ""
+        if len(words) > 1:
+            self.several.add(tuple(words))
+
+    def of(self, tokens: set[str]) -> set[str]:
+        on = set(map(self.kept.get, tokens))
+        if None in on:
+            if len(self.kept) > 1 << 18:
+                self.kept.clear()
+                self.several.clear()
+            for token in tokens:
+                if token not in self.kept:
+                    self._keep(token)
+            on = set(map(self.kept.get, tokens))
+        on.discard("")
+        for several in on & self.several if self.several else ():
+            on.discard(several)
+            on.update(several)
+        return on
 
 
 class LineCounts:
@@ -383,14 +415,15 @@ class LineCounts:
         lines = _BREAK.split(text)
         split = [line.split() for line in lines]
         years = set(_YEAR.findall(text))
-        cores, tokens, joins = set(), set(), []
+        cores, joins = set(), []
+        tokens = set().union(*split)
         for i, parts in enumerate(split):
             if not parts:
                 continue
-            tokens.update(parts)
             line = lines[i]
             flat = line.strip()
-            if found := _NUMBER.fullmatch(flat):
+            in_body = _BODY.search(line)
+            if found := None if in_body else _NUMBER.fullmatch(flat):
                 row = number_features(line, lines[i - 1] if i else None, lines[i + 1] if i + 1 < len(lines) else None)
                 label = row[2] <= MOST_SIGNS and (len(found[1]) <= 3 or (found[1].isalpha() and found[1].islower()))
                 self.numbers[tuple(row), float(label)] += 1
@@ -398,7 +431,7 @@ class LineCounts:
                 # years as they would stand if a line of the body broke around them
                 before, after = (lines[i - 1] if i else None), (lines[i + 1] if i + 1 < len(lines) else None)
                 self.numbers.update((tuple(number_features(t, before, after)), 0.0) for t in parts if t in years)
-            if title is not None and may_be_header(flat):
+            if not in_body and title is not None and may_be_header(flat):
                 cores.add(core_of(flat))
                 if not found:
                     self.headers[title, header_form(flat)] += 1
@@ -409,7 +442,7 @@ class LineCounts:
                 if not (goes_on := _BEGINS.match(lines[i + 1])):
                     continue
                 second = goes_on[1]
-            if flat[-1] in HYPHENS and (divided := _DIVIDED.search(line)):
+            if flat.endswith(_ENDS) and (divided := _DIVIDED.search(line)):
                 joins.append((divided[1], divided[2], second))
                 continue
             last = parts[-1].rstrip(".,;:!?”")
@@ -420,21 +453,20 @@ class LineCounts:
             joins.append((last, "", second))
         self.joins.update(joins)
         self.names.update((title, core, last) for core, last in cores if len(core) >= 3)
-        on: set[str] = set()
-        on.update(*map(self.words.__getitem__, tokens))
-        self.on.update(on)
+        self.on.update(self.words.of(tokens))
         self.records += 1
 
-    def _join_label(self, first: str, sign: str, second: str) -> float:
+    def _join_label(self, first: str, second: str) -> float:
         name_like = first[:1].isupper() and second.isalpha()
         good = (first + second).lower() in self.known or f"{first}-{second}".lower() in self.known or name_like or second.islower()
-        return float(bool(sign) and good and first.isalpha() and len(second) > 1 and second[:1].islower())
+        return float(good and first.isalpha() and len(second) > 1 and second[:1].islower())
 
     def rows(self) -> list[tuple]:
         """Rows of ``COUNTED``."""
         joins: Counter = Counter()
         for (first, sign, second), n in self.joins.items():
-            joins[tuple(join_features(first, sign, second, 0, self.known)), self._join_label(first, sign, second)] += n
+            label = self._join_label(first, second) if sign else 0.0
+            joins[tuple(join_features(first, sign, second, 0, self.known)), label] += n
         out: list[tuple] = [("record", None, None, None, None, None, self.records)]
         out += [("name", *name, None, None, n) for name, n in self.names.items()]
         out += [("header", *form, None, None, None, n) for form, n in self.headers.items()]
