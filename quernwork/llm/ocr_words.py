@@ -29,6 +29,7 @@ _PAIRS = {
 #: Single characters that are taken for one another fall together when words are looked up.
 _CLASSES = ("ecéèêëç", "lit1!|íìIj;", "sf5ſ$S", "nuüùñ", "hb6", "o0óòö", "aäàáâ", "g9q", "vy", "z2")
 _FOLD = str.maketrans({c: group[0] for group in _CLASSES for c in group} | {c: None for c in SPECKS if c != "|"})
+_NO_SPECKS = dict.fromkeys(map(ord, SPECKS))
 _MANY = (("vv", "w"), ("rn", "m"), ("cl", "d"), ("li", "h"), ("ri", "n"), ("iii", "m"))
 MOST_EDITS = 3
 #: Candidates are ranked if they share 3-grams to at least this part of what the best of them shares, however many.
@@ -66,9 +67,9 @@ class Plausible:
             if len(self.kept) > 1 << 18:
                 self.kept.clear()
             low = token.lower()
-            bare = low.translate(dict.fromkeys(map(ord, SPECKS)))
-            forms = {*folds(low), *folds(bare)}
-            found = self.kept[token] = any(x in self.near for f in forms for x in _without_one(f))
+            plain = low.translate(_NO_SPECKS)
+            forms = {*folds(low), *folds(plain)} if plain != low else {*folds(low)}
+            found = self.kept[token] = not self.near.isdisjoint(forms) or any(not self.near.isdisjoint(_without_one(f)) for f in forms)
         return found
 
 
@@ -139,23 +140,29 @@ def features(token: str, words: list[str], common: set[str], parts: list[float]
 
 
 class Retrieval:
-    """Candidates by shared 3-grams of folded forms, as the join finds them; for fitting the ranking."""
+    """Words that share 3-grams of folded forms with a token, and enough of them beside the best."""
 
     def __init__(self, words: list[str]) -> None:
-        self.index: dict[str, list[str]] = {}
-        for w in words:
+        self.words = words
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        index: dict[str, list[int]] = {}
+        for i, w in enumerate(words):
             for g in grams(w):
-                self.index.setdefault(g, []).append(w)
+                index.setdefault(g, []).append(i)
+        self.index = {g: np.array(ids, np.int64) for g, ids in index.items()}
+
+    def near(self, token: str) -> tuple[np.ndarray, np.ndarray]:
+        """The words' numbers, ascending, and the shares of 3-grams."""
+        ids = [found for g in grams(token) if (found := self.index.get(g)) is not None]
+        met, shared = np.unique(np.concatenate(ids or [np.empty(0, np.int64)]), return_counts=True)
+        size = self.sizes[met]
+        share = np.where(abs(size - len(token)) <= MOST_EDITS - 1, shared / (size + len(token)), 0.0)
+        enough = (share > 0) & (share >= NEAR_BEST * share.max(initial=0.0))
+        return met[enough], share[enough]
 
     def __call__(self, token: str) -> list[str]:
-        shared: dict[str, int] = {}
-        for g in grams(token):
-            for w in self.index.get(g, ()):
-                if abs(len(w) - len(token)) <= MOST_EDITS - 1:
-                    shared[w] = shared.get(w, 0) + 1
-        share = {w: n / (len(w) + len(token)) for w, n in shared.items()}
-        least = NEAR_BEST * max(share.values(), default=0.0)
-        return sorted((w for w in share if share[w] >= least), key=lambda w: (-share[w], w))
+        numbers, shares = self.near(token)
+        return [w for _, w in sorted((-s, self.words[i]) for i, s in zip(numbers.tolist(), shares.tolist()))]
 
 
 def grams(word: str) -> set[str]:

@@ -4,21 +4,24 @@
 2. Lines are judged with their neighbours: boosted trees tell running headers and page numbers from the body, and
    whether a word is divided between a line and the next line of the body. They are fitted on the lines of all records,
    labelled by repetition and by spelling and counted by what is told of them, and on copies of the headers with
-   characters misread on purpose.
+   characters misread on purpose. One scan of the texts counts the lines and keeps of each record what judging it takes (``Page``);
+   the texts themselves are not looked at again, unless they are repaired.
 3. Words that are not in the lexicon, but whose folded spelling comes near a word of it, are looked up once each: an
-   inverted join of character 3-grams finds candidates, boosted trees rank them, and the best is taken if its
+   inverted index of character 3-grams, sent with the tasks, finds candidates, boosted trees rank them, and the best is taken if its
    probability passes ``LEAST_PROBABILITY``.
 """
 
 from __future__ import annotations
 
+import pickle
 import random
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from .boost import BINS, Boosted, cuts_of
 from .common import cut, table
 from .ocr_words import (
-    MOST_EDITS, NEAR_BEST, SPECKS, TOKEN, Plausible, bare, corrupt, features, grams, made_rows, made_tokens, name_rows,
+    SPECKS, TOKEN, Plausible, Retrieval, bare, corrupt, features, made_rows, made_tokens, name_rows,
 )
 
 #: Records that are added to those of each word of the lexicon, so that a token of few records is no name yet.
@@ -57,23 +60,40 @@ _BREAK = re.compile(r"\r\n|\r|\n")
 _DATE = re.compile(r"(?:[^\W\d_][\w!|]{4,10}[,.]?\s+)?(?:[^\W\d_]|0)[\w!|]{2,9}\.?\s+[\dlOo]{1,2},\s+[\dlOo]{4}")
 _SMALL_WORD = re.compile(r"(?:^|\s)[^\W\dA-Z_l]")
 _SMALL = re.compile(r"[a-z]{2}")
-#: A word that neither lines that may be headers nor those that are numbers have; most lines are passed over by it.
+#: A word that neither lines that may be headers nor those that are numbers have; most lines are passed over by it. In a
+#: line, and in a token.
 _BODY = re.compile(r"(?:^|\s)(?=[a-km-z][a-z])[a-z]*[bdfhjkmqrstuwyz]")
+_BODY_TOKEN = re.compile(r"(?=[a-km-z][a-z])[a-z]*[bdfhjkmqrstuwyz]")
 _EDGE = re.compile(r"^\W*(?:page\s+)?\d{1,3}\W+(?=\D)|(?<=\D)\s+\W*(?:page\s+)?\d{1,3}\W*$", re.I)
 _LOOKS = str.maketrans({"0": "O", "1": "I", "5": "S", "!": "I", "|": "I", "9": "G", "É": "E", "Ä": "A"})
 _NUMBER = re.compile(r"\W*(?:page|p\.|no\.)?\W*(\d{1,4}|[ivxlc]{1,7})\W*", re.I)
 _DIVIDED = re.compile(rf"(?:^|[\s“”\"(\[—])([^\W\d_][\w'’{re.escape(SPECKS)}!-]*?)\s?([{HYPHENS}])\s*$")
-_YEAR = re.compile(r"\d{4}[.,;]?(?!\S)")
+_YEAR = re.compile(r"\d{4}[.,;]?")
 _LAST = re.compile(r"([^\W\d_]\w*)\W*$")
 _DIGIT = re.compile(r"\d")
+_FIGURE = re.compile(r"\d\S*")
+_NO_CAPITAL = re.compile(r"[^A-Z]+")
+_CAPITALS = re.compile(r"[A-Z]{2,}")
+_AT_OF = re.compile(r"\bAT\b|\bOF\b")
 _BEGINS = re.compile(rf"\s*([^\W\d_][\w'’{re.escape(SPECKS)}!]*(?:-[^\W\d_]\w*)?)")
 
 
-def core_of(line: str) -> tuple[str, str]:
+def _dates(line: str) -> list[re.Match]:
+    return list(_DATE.finditer(line)) if "," in line else []
+
+
+def _redated(line: str, dates: list[re.Match], by: Callable[[re.Match], str]) -> str:
+    for m in reversed(dates):
+        line = f"{line[: m.start()]}{by(m)}{line[m.end() :]}"
+    return line
+
+
+def core_of(line: str, dates: list[re.Match]) -> tuple[str, str]:
     """The letters of a possible header without date, numbers and blanks, and its last word."""
-    rest = _EDGE.sub(" ", _DATE.sub(" ", line)).strip().upper().translate(_LOOKS)
-    letters = re.sub(r"[^A-Z]", "", rest)
-    words = re.findall(r"[A-Z]{2,}", rest)
+    rest = _redated(line, dates, lambda m: " ")
+    rest = (_EDGE.sub(" ", rest) if _DIGIT.search(rest) else rest).strip().upper().translate(_LOOKS)
+    letters = _NO_CAPITAL.sub("", rest)
+    words = _CAPITALS.findall(rest)
     return letters[3:] if letters.startswith("THE") and len(letters) > 7 else letters, words[-1] if words else ""
 
 
@@ -105,13 +125,19 @@ def _core_features(core: str, name: str | None, types: tuple[str, ...]) -> tuple
     return likeness(core, name) if name else -1.0, kind
 
 
+def header_marks(line: str, dates: list[re.Match], core: str) -> tuple[float, ...]:
+    """What is told of a possible header besides its core."""
+    upper = line.upper()
+    return (
+        float(bool(dates)), float(len(core)), float(not _SMALL.search(line)),
+        float(_AT_OF.search(upper) is not None), float(upper.lstrip(" \t0123456789").startswith(("THE", "T H E"))),
+    )
+
+
 def header_features(line: str, name: str | None, types: tuple[str, ...]) -> list[float]:
-    core, _ = core_of(line)
-    return [
-        *_core_features(core, name, types), float(_DATE.search(line) is not None), float(len(core)),
-        float(not _SMALL.search(line)), float(re.search(r"\bAT\b|\bOF\b", line.upper()) is not None),
-        float(line.upper().lstrip(" \t0123456789").startswith(("THE", "T H E"))),
-    ]
+    dates = _dates(line)
+    core, _ = core_of(line, dates)
+    return [*_core_features(core, name, types), *header_marks(line, dates, core)]
 
 
 def _unfinished(line: str | None) -> bool:
@@ -119,9 +145,9 @@ def _unfinished(line: str | None) -> bool:
 
 
 def _figures(line: str | None) -> int:
-    if not line or (not _DIGIT.search(line) if line.isascii() else not any(map(str.isdigit, line))):
+    if not line:
         return 0
-    return sum(any(map(str.isdigit, t)) for t in line.split())
+    return len(_FIGURE.findall(line)) if line.isascii() else sum(any(map(str.isdigit, t)) for t in line.split())
 
 
 @lru_cache(maxsize=1 << 16)
@@ -139,12 +165,17 @@ def _own_number_features(line: str) -> tuple[float, ...]:
     )
 
 
-def number_features(line: str, before: str | None, after: str | None) -> list[float]:
+def _around(before: str | None, after: str | None) -> tuple[float, float, float]:
+    """What the lines around tell of a number."""
+    return (
+        float(_unfinished(before)), float((after or "").lstrip()[:1].islower()),
+        float(min(4, max(_figures(before), _figures(after)))),
+    )
+
+
+def number_features(line: str, around: tuple[float, float, float]) -> tuple[float, ...]:
     own = (_own_number_features if len(line) <= 64 else _own_number_features.__wrapped__)(line)
-    return [
-        *own[:5], float(_unfinished(before)), float((after or "").lstrip()[:1].islower()),
-        float(min(4, max(_figures(before), _figures(after)))), *own[5:],
-    ]
+    return (*own[:5], *around, *own[5:])
 
 
 def join_features(first: str, sign: str, second: str, gap: int, known: set[str]) -> list[float]:
@@ -166,18 +197,17 @@ class Lines:
     number: Boosted
     join: Boosted
     known: set[str] = field(default_factory=set)
-    plausible: Plausible | None = None
     kept: dict = field(default_factory=dict)
-    tokens: dict = field(default_factory=dict)
+    tokens: Tokens | None = None
     shares: dict[str, float] = field(default_factory=dict)
 
     def ready(self) -> Lines:
-        if self.plausible is None:
+        if self.tokens is None:
             self.known = set(self.words)
-            self.plausible = Plausible(sorted(self.words))
+            self.tokens = tokens_of(frozenset(self.known))
         return self
 
-    def _sure(self, model: str, row: list[float]) -> bool:
+    def _sure(self, model: str, row: Iterable[float]) -> bool:
         key = (model, *row)
         if (found := self.kept.get(key)) is None:
             if len(self.kept) > 1 << 17:
@@ -196,7 +226,7 @@ class Lines:
                 continue
             if _NUMBER.fullmatch(bare_line):
                 before, after = (lines[i - 1] if i else None), (lines[i + 1] if i + 1 < len(lines) else None)
-                if self._sure("number", number_features(line, before, after)):
+                if self._sure("number", number_features(line, _around(before, after))):
                     out[i] = "page_number"
             elif may_be_header(bare_line) and self._sure("header", header_features(bare_line, name, self.types)):
                 out[i] = "header"
@@ -221,45 +251,30 @@ class Lines:
             if not goes_on:
                 continue
             first, second = found[1], goes_on[1].rstrip("'’!")
-            if self._sure("join", join_features(first, found[2], second, j - i - 1, self.known)):
-                own = f"{first}-{second}".lower() in self.known and (first + second).lower() not in self.known
-                if not own and (first + second).lower() not in self.known and not self.plausible(first + second):
-                    own = "-" in first or self.plausible(f"{first}-{second}")
+            own = self._own_hyphen(first, found[2], second, j - i - 1)
+            if own is not None:
                 out[i] = (j, first, second, own)
         return out
 
-    def _token(self, token: str) -> tuple[int, int, tuple[str, ...]]:
-        """(1 if a word, 1 if a known one, parts that are no words of the lexicon and come near one), kept by token."""
-        words, sure, odd = 0, 0, []
-        for piece in TOKEN.findall(token):
-            word = bare(piece)
-            if len(word) < 2:
-                continue
-            low = word.lower()
-            if low in self.known:
-                words, sure = 1, 1
-                continue
-            words = max(words, int(word.isalpha()))
-            parts = [word]
-            if "-" in word and not self.plausible(word):
-                parts = [bare(p) for p in word.split("-")]
-            for part in parts:
-                letters = sum(map(str.isalpha, part))
-                if letters and letters >= len(part) / 2 and part.lower() not in self.known and len(part) > 1:
-                    if self.plausible(part):
-                        odd.append(part)
-        if len(self.tokens) > 1 << 18:
-            self.tokens.clear()
-        found = self.tokens[token] = (words, sure, tuple(odd))
-        return found
+    def _own_hyphen(self, first: str, sign: str, second: str, gap: int) -> bool | None:
+        """Whether the hyphen is the word's own; None where no word is divided."""
+        if not self._sure("join", join_features(first, sign, second, gap, self.known)):
+            return None
+        if (first + second).lower() in self.known:
+            return False
+        plausible = self.tokens.plausible
+        if f"{first}-{second}".lower() in self.known:
+            return True
+        return not plausible(first + second) and ("-" in first or plausible(f"{first}-{second}"))
 
     def odd_words(self, bodies: list[str]) -> tuple[set[str], float]:
         """Words of the lines that may be misread, and the share of known words."""
         words = sure = 0
         odd: set[str] = set()
-        kept = self.tokens
+        self.tokens.bound()
+        told = self.tokens.told
         for token, n in Counter(" ".join(bodies).split()).items():
-            is_word, is_known, parts = kept.get(token) or self._token(token)
+            is_word, is_known, parts = told(token)
             if is_word:
                 words += n
                 sure += n * is_known
@@ -267,25 +282,64 @@ class Lines:
                 odd.update(parts)
         return odd, sure / words if words else 0.0
 
-    def items(self, text: str, name: str | None) -> tuple[set[tuple[str, str]], float]:
+    def items(self, page: Page, name: str | None) -> tuple[set[tuple[str, str]], float]:
         """(kind, item) of a record, and its share of known words; kinds ``divided`` and ``odd`` still await the word
         that was meant."""
-        lines = _BREAK.split(text)
-        kinds = self.furniture(lines, name)
-        out = {(kind, line.strip()) for kind, line in zip(kinds, lines) if kind}
-        joined = self.divided(lines, kinds)
-        bodies = ["" if kind else line for kind, line in zip(kinds, lines)]
-        wholes = []
-        for i, (j, first, second, own) in joined.items():
+        words, sure, odd, marks = *page[:3], pickle.loads(page[3])
+        out: set[tuple[str, str]] = set()
+        less: list[str] = []
+        more: list[str] = []
+        furniture: set[int] = set()
+        for i, mark, *_ in marks:
+            if mark is None:
+                continue
+            kind, flat, row = mark
+            if kind == "header":
+                row = (*_core_features(row[0], name, self.types), *row[1])
+            if self._sure("header" if kind == "header" else "number", row):
+                out.add((kind, flat))
+                furniture.add(i)
+                less.append(flat)
+        left = [m for m in marks if m[0] not in furniture] if furniture else marks
+        ended, begun = set(), set()
+        for (i, _, ends, *_), (j, _, _, begins, _) in zip(left, left[1:]):
+            if ends is None or begins is None or (j > i + 1 and furniture.isdisjoint(range(i + 1, j))):
+                continue
+            first, sign = ends[:2]
+            second = begins[0].rstrip("'’!")
+            own = self._own_hyphen(first, sign, second, j - i - 1)
+            if own is None:
+                continue
             whole = bare(f"{first}-{second}" if own else first + second)
             out.add(("divided", whole))
-            wholes.append(whole)
+            more.append(whole)
+            ended.add(i)
+            begun.add(j)
+        if ended:
             # the parts alone are no words of the text
-            bodies[i] = _DIVIDED.sub(" ", bodies[i])
-            bodies[j] = _BEGINS.sub(" ", bodies[j], count=1)
-        odd, known = self.odd_words(bodies + wholes)
-        out.update(("odd", word) for word in odd)
-        return out, known
+            for i, _, ends, begins, short in left:
+                if short is not None and i in ended and i in begun:
+                    less.append(short)
+                    more.append(_DIVIDED.sub(" ", _BEGINS.sub(" ", short, count=1)))
+                    continue
+                for part in ends[2:] if i in ended else (), begins[1:] if i in begun else ():
+                    if part:
+                        less.append(part[0])
+                        more.append(part[1])
+        told, gone = self.tokens.told, []
+        for token in " ".join(less).split():
+            is_word, is_known, parts = told(token)
+            words -= is_word
+            sure -= is_known
+            gone += parts
+        found = list(odd)
+        for token in " ".join(more).split():
+            is_word, is_known, parts = told(token)
+            words += is_word
+            sure += is_known
+            found += parts
+        out.update(("odd", word) for word in (Counter(found) - Counter(gone) if gone else found))
+        return out, sure / words if words else 0.0
 
     def repaired(self, text: str, name: str | None, meant: dict[str, tuple[str, float]], plain: set[str] | None = None) -> str:
         """The text without furniture, with divided and misread words put right and lines of a paragraph joined.
@@ -365,136 +419,278 @@ COUNTED = "kind string, lccn string, item string, last string, row array<double>
 ROWS = "model string, row array<double>, label double, n double"
 
 
-def header_form(line: str) -> str:
+def header_form(line: str, dates: list[re.Match]) -> str:
     """The line with another date and other figures at its ends, which the model of headers does not look at."""
-    line = _DATE.sub(lambda m: "Tuesday, April 3, 1908" if _SMALL.search(m[0]) else "TUESDAY, APRIL 3, 1908", line)
-    return _EDGE.sub(lambda m: _DIGIT.sub("1", m[0]), line)
+    line = _redated(line, dates, lambda m: "Tuesday, April 3, 1908" if _SMALL.search(m[0]) else "TUESDAY, APRIL 3, 1908")
+    return _EDGE.sub(lambda m: _DIGIT.sub("1", m[0]), line) if _DIGIT.search(line) else line
 
 
-class _Words:
-    """Words of the lexicon in tokens, kept by token as most come again."""
+class _Kept(dict):
+    """What ``make`` gives for a key, made once."""
 
-    def __init__(self, known: set[str]) -> None:
-        self.known = known
-        #: The word in a token, "" if there is none, a tuple if there are several.
-        self.kept: dict[str, str | tuple[str, ...]] = {}
-        self.several: set[tuple[str, ...]] = set()
+    def __init__(self, make: Callable) -> None:
+        self.make = make
 
-    def _keep(self, token: str) -> None:
-        words = sorted({w for x in TOKEN.findall(token) if (w := bare(x).lower()) in self.known})
-        self.kept[token] = words[0] if len(words) == 1 else tuple(words) or ""
-        if len(words) > 1:
-            self.several.add(tuple(words))
+    def __missing__(self, key: str) -> object:
+        found = self[key] = self.make(key)
+        return found
 
-    def of(self, tokens: set[str]) -> set[str]:
-        on = set(map(self.kept.get, tokens))
-        if None in on:
-            if len(self.kept) > 1 << 18:
-                self.kept.clear()
-                self.several.clear()
-            for token in tokens:
-                if token not in self.kept:
-                    self._keep(token)
-            on = set(map(self.kept.get, tokens))
-        on.discard("")
-        for several in on & self.several if self.several else ():
-            on.discard(several)
-            on.update(several)
-        return on
+
+class Tokens:
+    """What is told of tokens, which are numbered as they come; most come again."""
+
+    def __init__(self, known: frozenset[str]) -> None:
+        self.known, self.spelled = known, sorted(known)
+        self.places = {w: i for i, w in enumerate(self.spelled)}
+        self.plausible = Plausible(self.spelled)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.numbers = _Kept(self._number)
+        #: (1 if a word, 1 if a known one, parts that are no words of the lexicon and come near one), by number.
+        self.rows: list[tuple[int, int, tuple[str, ...]]] = []
+        #: Places of words of the lexicon in the token: -1 if there is none, the first otherwise; the others by number.
+        self.first: list[int] = []
+        self.others: dict[int, tuple[int, ...]] = {}
+        self.lasts, self.seconds = _Kept(self._last), _Kept(self._second)
+        #: Those that ``_BODY`` finds a line of the body by, and years.
+        self.body: set[str] = set()
+        self.years: set[str] = set()
+
+    def bound(self) -> None:
+        """Forgets the tokens if there are many; numbers do not hold beyond it."""
+        if max(len(self.numbers), len(self.lasts), len(self.seconds)) > 1 << 18:
+            self._clear()
+
+    def told(self, token: str) -> tuple[int, int, tuple[str, ...]]:
+        return self.rows[self.numbers[token]]
+
+    def _number(self, token: str) -> int:
+        words, sure, odd, on = 0, 0, [], set()
+        if _BODY_TOKEN.match(token):
+            self.body.add(token)
+        elif _YEAR.fullmatch(token):
+            self.years.add(token)
+        for piece in (token,) if (whole := token.isalpha()) else TOKEN.findall(token):
+            word = piece if whole else bare(piece)
+            low = word.lower()
+            if low in self.known:
+                on.add(self.places[low])
+            if len(word) < 2:
+                continue
+            if low in self.known:
+                words, sure = 1, 1
+                continue
+            words = max(words, int(word.isalpha()))
+            parts = [word]
+            if "-" in word and not self.plausible(word):
+                parts = [bare(p) for p in word.split("-")]
+            for part in parts:
+                letters = sum(map(str.isalpha, part))
+                if letters and letters >= len(part) / 2 and part.lower() not in self.known and len(part) > 1:
+                    if self.plausible(part):
+                        odd.append(part)
+        number = len(self.rows)
+        self.rows.append((words, sure, tuple(odd)))
+        first, *others = sorted(on) or [-1]
+        self.first.append(first)
+        if others:
+            self.others[number] = tuple(others)
+        return number
+
+    def _last(self, token: str) -> str:
+        """The last word of a line that ends with the token; "" if the whole line must be looked at."""
+        if token.endswith(_ENDS):
+            return ""
+        last = token.rstrip(".,;:!?”")
+        if last.isalpha():
+            return last
+        found = _LAST.search(token)
+        return found[1] if found else ""
+
+    def _second(self, token: str) -> tuple[str, str, float, float, float, float] | None:
+        """The word that a line which begins with the token goes on with, and what ``join_features`` has of it."""
+        found = None if token.isalpha() else _BEGINS.match(token)
+        if found is None and not token.isalpha():
+            return None
+        second = found[1] if found else token
+        b = second.lower()
+        return second, b, float(b in self.known), float(second[:1].islower()), float(len(b)), float(b.isalpha())
+
+
+@lru_cache(maxsize=1)
+def tokens_of(known: frozenset[str]) -> Tokens:
+    """One for all tasks of a Python worker."""
+    return Tokens(known)
+
+
+#: What is needed of a record to judge its lines without its text: words, known words, parts of its tokens that may be
+#: misread (as often as they stand there), and the lines that may be furniture, divide a word or go on with one, in order:
+#: (number, furniture, end, begin, line). Furniture: kind, line and what the model is told, for headers core and marks.
+#: End: first part of a word, sign, what goes if the word is divided, and what stays of it. Begin: second part, and the
+#: same. The line is given where end and begin may meet.
+#: These lines are pickled, as many are kept for long.
+Page = tuple[int, int, tuple[str, ...], bytes]
 
 
 class LineCounts:
-    """What ``COUNTED`` says of some records."""
+    """What ``COUNTED`` says of some records, and their ``Page``s."""
 
-    def __init__(self, known: set[str], words: _Words | None = None) -> None:
-        self.known, self.words = known, _Words(known) if words is None else words
-        self.names, self.headers, self.numbers, self.joins, self.on = (Counter() for _ in range(5))
-        self.records = 0
+    def __init__(self, known: set[str], tokens: Tokens | None = None) -> None:
+        self.known, self.tokens = known, tokens or Tokens(frozenset(known))
+        self.tokens.bound()
+        self.names, self.headers, self.numbers, self.joins, self.pairs = (Counter() for _ in range(5))
+        self.codes: list[np.ndarray] = []
+        self.marks: list[bytes] = []
 
     def add(self, title: str | None, text: str) -> None:
-        lines = _BREAK.split(text)
-        split = [line.split() for line in lines]
-        years = set(_YEAR.findall(text))
-        cores, joins = set(), []
-        tokens = set().union(*split)
+        lines = _BREAK.split(text) if "\r" in text else text.split("\n")
+        split = list(map(str.split, lines))
+        self.codes.append(np.fromiter(map(self.tokens.numbers.__getitem__, chain.from_iterable(split)), np.int64))
+        body, years, lasts = self.tokens.body, self.tokens.years, self.tokens.lasts
+        pairs, cores, marks = [], set(), []
+        wanted = False
         for i, parts in enumerate(split):
             if not parts:
                 continue
             line = lines[i]
-            flat = line.strip()
-            in_body = _BODY.search(line)
-            if found := None if in_body else _NUMBER.fullmatch(flat):
-                row = number_features(line, lines[i - 1] if i else None, lines[i + 1] if i + 1 < len(lines) else None)
-                label = row[2] <= MOST_SIGNS and (len(found[1]) <= 3 or (found[1].isalpha() and found[1].islower()))
-                self.numbers[tuple(row), float(label)] += 1
-            elif years and not years.isdisjoint(parts):
+            mark = ends = found = None
+            if body.isdisjoint(parts):
+                flat = line.strip()
+                if found := _NUMBER.fullmatch(flat):
+                    row = number_features(line, self._around(lines, i))
+                    label = row[2] <= MOST_SIGNS and (len(found[1]) <= 3 or (found[1].isalpha() and found[1].islower()))
+                    self.numbers[row, float(label)] += 1
+                    mark = ("page_number", flat, row)
+                if may_be_header(flat):
+                    dates = _dates(flat)
+                    core = core_of(flat, dates)
+                    if title is not None:
+                        cores.add(core)
+                    if not found:
+                        mark = ("header", flat, (core[0], header_marks(flat, dates, core[0])))
+                        if title is not None:
+                            self.headers[title, header_form(flat, dates)] += 1
+            if not found and not years.isdisjoint(parts):
                 # years as they would stand if a line of the body broke around them
-                before, after = (lines[i - 1] if i else None), (lines[i + 1] if i + 1 < len(lines) else None)
-                self.numbers.update((tuple(number_features(t, before, after)), 0.0) for t in parts if t in years)
-            if not in_body and title is not None and may_be_header(flat):
-                cores.add(core_of(flat))
-                if not found:
-                    self.headers[title, header_form(flat)] += 1
-            if i + 1 == len(lines) or not split[i + 1]:
-                continue
-            second = split[i + 1][0]
-            if not second.isalpha():
-                if not (goes_on := _BEGINS.match(lines[i + 1])):
-                    continue
-                second = goes_on[1]
-            if flat.endswith(_ENDS) and (divided := _DIVIDED.search(line)):
-                joins.append((divided[1], divided[2], second))
-                continue
-            last = parts[-1].rstrip(".,;:!?”")
-            if not last.isalpha():
-                if not (ends := _LAST.search(parts[-1]) or _LAST.search(flat)):
-                    continue
-                last = ends[1]
-            joins.append((last, "", second))
-        self.joins.update(joins)
+                around = self._around(lines, i)
+                self.numbers.update((number_features(t, around), 0.0) for t in parts if t in years)
+            after = split[i + 1] if i + 1 < len(split) else None
+            if last := lasts[parts[-1]]:
+                if after:
+                    pairs.append((last, after[0]))
+            elif parts[-1].endswith(_ENDS) and (divided := _DIVIDED.search(line)):
+                at = divided.start()
+                stays = "" if not at or line[at].isspace() or line[at - 1].isspace() else line[:at].split()[-1]
+                ends = (divided[1], divided[2], stays + line[at:], stays)
+                if after and (second := self.tokens.seconds[after[0]]):
+                    self.joins[divided[1], divided[2], second[0]] += 1
+            elif after and (last := _LAST.search(parts[-1]) or _LAST.search(line.strip())):
+                pairs.append((last[1], after[0]))
+            if wanted or mark or ends:
+                begins = short = None
+                if wanted and (goes_on := _BEGINS.match(line)):
+                    rest = line[goes_on.end() :]
+                    stays = "" if not rest or rest[0].isspace() else rest.split(None, 1)[0]
+                    begins = (goes_on[1], goes_on[0] + stays, stays)
+                    short = line if ends and len(parts) <= 3 else None
+                marks.append((i, mark, ends, begins, short))
+                # lines that may be furniture are passed over, if they are, up to the line that goes on
+                wanted = ends is not None or (wanted and mark is not None)
+        self.pairs.update(pairs)
         self.names.update((title, core, last) for core, last in cores if len(core) >= 3)
-        self.on.update(self.words.of(tokens))
-        self.records += 1
+        self.marks.append(pickle.dumps(marks, 5))
+
+    @staticmethod
+    def _around(lines: list[str], i: int) -> tuple[float, float, float]:
+        return _around(lines[i - 1] if i else None, lines[i + 1] if i + 1 < len(lines) else None)
 
     def _join_label(self, first: str, second: str) -> float:
         name_like = first[:1].isupper() and second.isalpha()
         good = (first + second).lower() in self.known or f"{first}-{second}".lower() in self.known or name_like or second.islower()
         return float(good and first.isalpha() and len(second) > 1 and second[:1].islower())
 
-    def rows(self) -> list[tuple]:
-        """Rows of ``COUNTED``."""
+    def _join_rows(self) -> Counter:
         joins: Counter = Counter()
         for (first, sign, second), n in self.joins.items():
-            label = self._join_label(first, second) if sign else 0.0
-            joins[tuple(join_features(first, sign, second, 0, self.known)), label] += n
-        out: list[tuple] = [("record", None, None, None, None, None, self.records)]
+            joins[tuple(join_features(first, sign, second, 0, self.known)), self._join_label(first, second)] += n
+        # as ``join_features`` without a sign, which are many
+        known, seconds = self.known, self.tokens.seconds
+        firsts: dict[str, tuple[str, float, float, float]] = {}
+        for (last, token), n in self.pairs.items():
+            if (second := seconds[token]) is None:
+                continue
+            if (first := firsts.get(last)) is None:
+                a = last.lower()
+                first = firsts[last] = (a, float(a in known), float(len(a)), float(a.isalpha()))
+            a, in_a, size_a, letters_a = first
+            _, b, in_b, small, size_b, letters_b = second
+            joins[(0.0, float(a + b in known), in_a, in_b, float(f"{a}-{b}" in known), small, size_a, size_b, 0.0, letters_a, letters_b), 0.0] += n
+        return joins
+
+    def _all_codes(self) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens' numbers and those of their records."""
+        codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.int64)
+        return codes, np.repeat(np.arange(len(self.codes)), np.array(list(map(len, self.codes)), np.int64))
+
+    def _words(self) -> dict[str, int]:
+        """Records that have each word of the lexicon."""
+        codes, records = self._all_codes()
+        words, n = self.tokens.spelled, max(1, len(self.tokens.spelled))
+        first = np.array(self.tokens.first, np.int64)[codes]
+        pairs = [(records * n + first)[first >= 0]]
+        if others := self.tokens.others:
+            more = np.zeros(len(self.tokens.rows), bool)
+            more[list(others)] = True
+            pairs += [r * n + np.array(others[c]) for c, r in zip(codes[more[codes]].tolist(), records[more[codes]].tolist())]
+        met = np.sort(np.concatenate(pairs))
+        met = met[np.diff(met, prepend=-1) > 0]
+        on = np.bincount(met % n, minlength=n)
+        return {words[i]: int(on[i]) for i in np.flatnonzero(on)}
+
+    def pages(self) -> list[Page]:
+        codes, records = self._all_codes()
+        rows = self.tokens.rows
+        words, sure = (np.bincount(records, np.array([r[k] for r in rows], np.float64)[codes], len(self.codes)).astype(int).tolist() for k in (0, 1))
+        may_be = np.array([bool(r[2]) for r in rows], bool)[codes]
+        odd: list[list[str]] = [[] for _ in self.codes]
+        for record, code in zip(records[may_be].tolist(), codes[may_be].tolist()):
+            odd[record] += rows[code][2]
+        return list(zip(words, sure, map(tuple, odd), self.marks))
+
+    def rows(self) -> list[tuple]:
+        """Rows of ``COUNTED``."""
+        out: list[tuple] = [("record", None, None, None, None, None, len(self.codes))]
         out += [("name", *name, None, None, n) for name, n in self.names.items()]
         out += [("header", *form, None, None, None, n) for form, n in self.headers.items()]
-        out += [("word", None, word, None, None, None, n) for word, n in self.on.items()]
-        return out + [(kind, None, None, None, *row, n) for kind, of in (("number", self.numbers), ("join", joins)) for row, n in of.items()]
+        out += [("word", None, word, None, None, None, n) for word, n in self._words().items()]
+        return out + [(kind, None, None, None, *row, n) for kind, of in (("number", self.numbers), ("join", self._join_rows())) for row, n in of.items()]
 
 
 def _count_batches(known: set[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(known)
-        kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.float64()), pa.float64(), pa.int64())
+        tokens = tokens_of(frozenset(known))
+        names = ("kind", "lccn", "item", "last", "row", "label", "n", "page_id", "page")
+        kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.float64()), pa.float64(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
-            counts = LineCounts(known, words)
-            for title, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts = LineCounts(known, tokens)
+            ids, titles, texts = (batch.column(i).to_pylist() for i in range(3))
+            for title, text in zip(titles, texts):
                 counts.add(title, text)
-            rows = counts.rows()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["kind", "lccn", "item", "last", "row", "label", "n"]
-            )
+            rows, none = counts.rows(), [None] * len(ids)
+            pages = [["page"] * len(ids), titles, none, none, none, none, none, ids, [pickle.dumps(p, 5) for p in counts.pages()]]
+            columns = [*zip(*rows), *[[None] * len(rows)] * 2]
+            yield pa.RecordBatch.from_arrays([pa.array([*c, *p], kind) for c, p, kind in zip(columns, pages, kinds)], names=names)
 
     return run
 
 
-def counted(pages: DataFrame, words: dict[str, bool]) -> DataFrame:
-    """``COUNTED`` of all texts, from one scan."""
-    texts = pages.filter(F.col("text").isNotNull()).select("lccn", "text")
-    found = texts.mapInArrow(_count_batches(set(words)), COUNTED)
-    return cut(found.groupBy("kind", "lccn", "item", "last", "row", "label").agg(F.sum("n").alias("n")))
+def counted(pages: DataFrame, words: dict[str, bool]) -> tuple[DataFrame, DataFrame]:
+    """``COUNTED`` of all texts, and (page_id, lccn, page) of each, from one scan."""
+    texts = pages.filter(F.col("text").isNotNull()).select("page_id", "lccn", "text")
+    found = cut(texts.mapInArrow(_count_batches(set(words)), f"{COUNTED}, page_id bigint, page binary"))
+    counts = found.filter("kind != 'page'").groupBy("kind", "lccn", "item", "last", "row", "label").agg(F.sum("n").alias("n"))
+    return cut(counts), found.filter("kind = 'page'").select("page_id", "lccn", "page")
 
 
 def running_names(counts: DataFrame) -> DataFrame:
@@ -579,8 +775,14 @@ def _word_table(lexicon: DataFrame) -> dict[str, bool]:
 
 def line_models(pages: DataFrame, lexicon: DataFrame) -> tuple[Lines, DataFrame]:
     """Models fitted on the lines of all records, and the titles' names (lccn, name)."""
+    models, names, _ = _read(pages, lexicon)
+    return models, names
+
+
+def _read(pages: DataFrame, lexicon: DataFrame) -> tuple[Lines, DataFrame, DataFrame]:
+    """The same, and the ``Page``s of the records."""
     words = _word_table(lexicon)
-    counts = counted(pages, words)
+    counts, read = counted(pages, words)
     names = cut(running_names(counts))
     kinds = names.filter("n >= 3 and length(last) >= 4").groupBy("last").agg(F.count("*").alias("titles"))
     least = max(TYPE_TITLES, TYPE_PART * names.count())
@@ -594,7 +796,7 @@ def line_models(pages: DataFrame, lexicon: DataFrame) -> tuple[Lines, DataFrame]
     models = Lines(words, types, fitted["header"], fitted["number"], fitted["join"])
     on = {r.item: r.n for r in counts.filter("kind in ('word', 'record')").select("item", "n").collect()}
     models.shares = {w: (on.get(w, 0) + MORE_RECORDS) / on.get(None, 1) for w in words}
-    return models, sure
+    return models, sure, read
 
 
 def _with_name(rows: DataFrame, names: DataFrame) -> DataFrame:
@@ -603,33 +805,49 @@ def _with_name(rows: DataFrame, names: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(names) if letters <= MOST_LETTERS else names, "lccn", "left")
 
 
-def _named(pages: DataFrame, names: DataFrame) -> DataFrame:
-    """(page_id, text, name); titles without a sure name have null."""
-    rows = pages.filter(F.col("text").isNotNull()).select("page_id", "lccn", "text")
-    return _with_name(rows, names).select("page_id", "text", "name")
-
+def _item_batches(models: Lines, read: bool) -> Callable:
+    """Items of (page_id, page, name), or of (page_id, text, name) where the texts are not ``read`` yet."""
 
-def _item_batches(models: Lines) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models.ready()
         for batch in batches:
-            ids, texts, names = (batch.column(i).to_pylist() for i in range(3))
+            ids, pages, names = (batch.column(i).to_pylist() for i in range(3))
+            if read:
+                models.tokens.bound()
+                pages = map(pickle.loads, pages)
+            else:
+                counts = LineCounts(models.known, models.tokens)
+                for text in pages:
+                    counts.add(None, text)
+                pages = counts.pages()
             rows = []
-            for page, text, name in zip(ids, texts, names):
-                found, known = models.items(text, name)
-                rows += [(page, kind, item, known) for kind, item in found]
+            for page_id, page, name in zip(ids, pages, names):
+                found, known = models.items(page, name)
+                rows += [(page_id, kind, item, known) for kind, item in found]
+            columns = zip(*rows) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.string(), pa.float32()))],
+                [pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.float32()))],
                 names=["page_id", "kind", "item", "known"],
             )
 
     return run
 
 
-def _grams_udf() -> Callable:
-    @F.pandas_udf("array<string>")
-    def run(tokens: pd.Series) -> pd.Series:
-        return tokens.map(lambda t: sorted(grams(t)))
+@lru_cache(maxsize=1)
+def _retrieval_of(words: tuple[str, ...]) -> Retrieval:
+    """One for all tasks of a Python worker."""
+    return Retrieval(list(words))
+
+
+def _candidate_batches(words: list[str]) -> Callable:
+    """The tokens' candidates (``c``) by number; tokens without any are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = _retrieval_of(tuple(words))
+        for batch in batches:
+            near = [find.near(t)[0].tolist() for t in batch.column(1).to_pylist()]
+            found = pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.list_(pa.int32()))], names=["made", "token", "rare", "own", "c"])
+            yield found.filter(pa.array([bool(c) for c in near], pa.bool_()))
 
     return run
 
@@ -690,7 +908,7 @@ def meant_words(odd: DataFrame, lexicon: DataFrame, shares: dict[str, float], re
     A name is as frequent as the words it is like, a misreading much rarer than the word. So the ranking is given how
     often a token of letters that never stands in lower case is found (``own``, share of the records, in any case of
     its letters) beside how often each candidate is. It is fitted on all words of the lexicon and all such tokens. The
-    lexicon's 3-grams are sent to the tokens, which stay where they are, each in one task, until they are ranked.
+    lexicon's 3-grams are sent to the tokens, which stay where they are until they are ranked.
     """
     words = _word_table(lexicon)
     spelled, common = sorted(words), {w for w, c in words.items() if c}
@@ -699,29 +917,11 @@ def meant_words(odd: DataFrame, lexicon: DataFrame, shares: dict[str, float], re
     cased = tokens.groupBy(F.lower("token").alias("low")).agg(F.bool_or(small).alias("small"), F.sum("n").alias("all"))
     own = F.when(~F.col("small") & F.col("token").rlike(r"^\p{L}+$"), F.col("all") / F.lit(max(1, records)))
     spark = odd.sparkSession
-    numbered = spark.createDataFrame([(i, len(w), w) for i, w in enumerate(spelled)], "word int, size int, spelled string")
-    made = numbered.select("spelled").mapInArrow(_made_batches(words), "made string, token string, rare double, own double")
+    made = spark.createDataFrame([(w,) for w in spelled], "spelled string").mapInArrow(_made_batches(words), "made string, token string, rare double, own double")
     tokens = tokens.withColumn("low", F.lower("token")).join(cased, "low").select("token", own.cast("double").alias("own"))
-    tokens = cut(
-        tokens.unionByName(made, allowMissingColumns=True)
-        .select(F.monotonically_increasing_id().alias("number"), "made", "token", "rare", "own")
-    )
-    spread = _grams_udf()
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    theirs = numbered.select("word", "size", F.explode(spread("spelled")).alias("gram"))
-    # tokens and words go by numbers until they are ranked
-    hashed = tokens.withColumn("grams", spread("token")).repartition(parts, "number")
-    mine = hashed.select("number", F.length("token").alias("length"), F.explode("grams").alias("gram"))
-    share = F.col("shared") / (F.col("length") + F.col("size"))
-    near = F.filter("c", lambda x: x["share"] >= F.col("best") * NEAR_BEST)
-    candidates = (
-        mine.join(F.broadcast(theirs), "gram")
-        .filter(F.abs(F.col("length") - F.col("size")) <= MOST_EDITS - 1)
-        .groupBy("number", "word").agg(F.count("*").alias("shared"), F.max("length").alias("length"), F.max("size").alias("size"))
-        .groupBy("number").agg(F.collect_list(F.struct("word", share.alias("share"))).alias("c"), F.max(share).alias("best"))
-        .select("number", F.transform(F.sort_array(near), lambda x: x["word"]).alias("c"))
-    )
-    looked = cut(candidates.join(tokens, "number").select("made", "token", "rare", "own", "c"))
+    tokens = tokens.unionByName(made, allowMissingColumns=True).select("made", "token", "rare", "own").repartition(parts, "token")
+    looked = cut(tokens.mapInArrow(_candidate_batches(spelled), "made string, token string, rare double, own double, c array<int>"))
     fitting = looked.filter("made is not null or own is not null").mapInArrow(_ranking_batches(spelled, common, shares), ROWS)
     model = fit_counted(fitting, {"ranking": 11})["ranking"]
     rank = _rank_udf(model, spelled, common, shares)
@@ -735,12 +935,12 @@ def _sure(probability: Column, known: Column) -> Column:
 
 
 def _found(pages: DataFrame, lexicon: DataFrame) -> tuple[DataFrame, DataFrame, Lines, DataFrame]:
-    models, names = line_models(pages, lexicon)
+    models, names, read = _read(pages, lexicon)
     items = cut(
-        _named(pages, names)
-        .mapInArrow(_item_batches(models), "page_id bigint, kind string, item string, known float").distinct()
+        _with_name(read, names).select("page_id", "page", "name")
+        .mapInArrow(_item_batches(models, read=True), "page_id bigint, kind string, item string, known float").distinct()
     )
-    records = pages.filter(F.col("text").isNotNull()).select("page_id").distinct().count()
+    records = read.select("page_id").distinct().count()
     meant = cut(meant_words(items.filter("kind = 'odd'").select("page_id", "item"), lexicon, models.shares, records))
     return items, meant, models, names
 
@@ -796,7 +996,7 @@ def repair(pages: DataFrame, lexicon: DataFrame, most_fixes: int = MOST_FIXES) -
     # texts go by a hash; where two share one, each is given the other's words too, which it does not hold
     key = F.coalesce(F.when(F.col("text").isNotNull(), F.xxhash64("text")), F.xxhash64("page_id", "lccn"))
     texts = rows.filter("text is not null").select(key.alias("page_id"), "text", "name")
-    odd = texts.mapInArrow(_item_batches(models), "page_id bigint, kind string, item string, known float").filter("kind = 'odd'")
+    odd = texts.mapInArrow(_item_batches(models, read=False), "page_id bigint, kind string, item string, known float").filter("kind = 'odd'")
     fixes = (
         odd.select("page_id", "item").distinct()
         .join(meant, F.col("item") == F.col("token")).groupBy(F.col("page_id").alias("key"))

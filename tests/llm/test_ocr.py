@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quernwork.llm import ocr_words, p2_ocr
 from quernwork.llm.boost import Boosted
@@ -171,3 +172,56 @@ def test_counted_rows_fit_as_repeated_ones(tables):
     assert len(coarse.cuts[0]) < len(whole.cuts[0]) and ((coarse.probability(x) > 0.5) == (y > 0.5)).mean() > 0.7
     assert coarse.base == pytest.approx(whole.base)
     assert len(p2_ocr.fit_counted(rows.limit(0), {"m": 3})["m"].trees) == 0
+
+
+def test_texts_are_read_once(made):
+    pages, lexicon = made
+    reads = pages.sparkSession.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        reads.add(1)
+        return text
+
+    pages = pages.withColumn("text", seen("text"))
+    pages.filter("text is not null").select("page_id", "lccn", "text").collect()
+    once = reads.value
+    assert p2_ocr.page_items(pages, lexicon).count() > 0 and reads.value == 2 * once >= 2 * pages.count()
+
+
+def _items_of_text(models, text, name):
+    lines = p2_ocr._BREAK.split(text)
+    kinds = models.furniture(lines, name)
+    out = {(kind, line.strip()) for kind, line in zip(kinds, lines) if kind}
+    bodies, wholes = ["" if kind else line for kind, line in zip(kinds, lines)], []
+    for i, (j, first, second, own) in models.divided(lines, kinds).items():
+        wholes.append(p2_ocr.bare(f"{first}-{second}" if own else first + second))
+        bodies[i] = p2_ocr._DIVIDED.sub(" ", bodies[i])
+        bodies[j] = p2_ocr._BEGINS.sub(" ", bodies[j], count=1)
+    odd, known = models.odd_words(bodies + wholes)
+    return out | {("divided", w) for w in wholes} | {("odd", w) for w in odd}, known
+
+
+def test_items_are_those_of_the_whole_text(tables):
+    words = {r.word.lower(): r.is_common for r in tables[1].collect()}
+    none = Boosted(np.zeros((0, 1)), np.zeros(0))
+    models = p2_ocr.Lines(words, ("HERALD",), none, none, none).ready()
+    # whatever the models say
+    models._sure = lambda model, row: sum(map(ord, repr((model, *map(float, row))))) % 3 > 0
+    rng = random.Random(4)
+    said = [w for w in sorted(words) if len(w) > 4][:40]
+    parts = [*said, *(ocr_words.corrupt(w, rng) for w in said), *(w[:3] + s for w in said[:9] for s in ("-", "¬", " -", "—", "  =")), *(w[3:] for w in said[:9])]
+    parts += ["THE OAKHAM HERALD", "TUESDAY, APRIL 3, 1908.", "PAGE 7", "12", "vii", "XIV", "1886.", "1886", "١٩٠٨", "- 3 -", "“", "(", "-", "-\x0b", "\u00a0", "a", "A", "won't-", "“har-", "x—har-", "vest.”", "'", "—"]
+    texts = []
+    for _ in range(4000):
+        lines = ["".join(f"{rng.choice(parts)}{rng.choice([' ', '  ', ''])}" for _ in range(rng.choice([0, 1, 1, 1, 2, 3, 6]))) for _ in range(rng.randint(1, 7))]
+        texts.append("".join(f"{line}{rng.choice(['\n', '\n', '\r\n', '\r'])}" for line in lines))
+    counts = p2_ocr.LineCounts(set(words), models.tokens)
+    for text in texts:
+        counts.add(None, text)
+    kinds = set()
+    for text, page in zip(texts, counts.pages()):
+        want = _items_of_text(models, text, "OAKHAMHERALD")
+        assert models.items(page, "OAKHAMHERALD") == want, text
+        kinds |= {kind for kind, _ in want[0]}
+    assert kinds == {"header", "page_number", "divided", "odd"}
