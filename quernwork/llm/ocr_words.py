@@ -26,6 +26,7 @@ _PAIRS = {
     for right, all_ in CONFUSIONS.items()
     for wrong in (all_.split(",") if "," in all_ else list(all_))
 }
+_WRONGS = {right: sorted(w for r, w in _PAIRS if r == right) for right, _ in _PAIRS}
 #: Single characters that are taken for one another fall together when words are looked up.
 _CLASSES = ("ecéèêëç", "lit1!|íìIj;", "sf5ſ$S", "nuüùñ", "hb6", "o0óòö", "aäàáâ", "g9q", "vy", "z2")
 _FOLD = str.maketrans({c: group[0] for group in _CLASSES for c in group} | {c: None for c in SPECKS if c != "|"})
@@ -177,7 +178,7 @@ def corrupt(word: str, rng: random.Random) -> str:
     out = word
     for _ in range(1 if rng.random() < 0.8 else 2):
         at = rng.randrange(len(out))
-        wrongs = [w for r, w in _PAIRS if r == out[at]]
+        wrongs = _WRONGS.get(out[at])
         closed = sorted((right, wrong) for right, wrong in CLOSED if right in out)
         if closed and rng.random() < 0.1:
             out = out.replace(*rng.choice(closed), 1)
@@ -185,7 +186,7 @@ def corrupt(word: str, rng: random.Random) -> str:
             at = max(1, at)
             out = out[:at] + rng.choice(SPECKS) + out[at:]
         elif wrongs:
-            out = out[:at] + rng.choice(sorted(wrongs)) + out[at + 1 :]
+            out = out[:at] + rng.choice(wrongs) + out[at + 1 :]
     return out
 
 

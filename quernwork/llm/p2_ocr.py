@@ -135,9 +135,15 @@ def header_marks(line: str, dates: list[re.Match], core: str) -> tuple[float, ..
 
 
 def header_features(line: str, name: str | None, types: tuple[str, ...]) -> list[float]:
+    return _header_features(line, (name,), types)[0]
+
+
+def _header_features(line: str, names: tuple[str | None, ...], types: tuple[str, ...]) -> list[list[float]]:
+    """Those with each of the names."""
     dates = _dates(line)
     core, _ = core_of(line, dates)
-    return [*_core_features(core, name, types), *header_marks(line, dates, core)]
+    marks = header_marks(line, dates, core)
+    return [[*_core_features(core, name, types), *marks] for name in names]
 
 
 def _unfinished(line: str | None) -> bool:
@@ -539,7 +545,7 @@ class LineCounts:
     def __init__(self, known: set[str], tokens: Tokens | None = None) -> None:
         self.known, self.tokens = known, tokens or Tokens(frozenset(known))
         self.tokens.bound()
-        self.names, self.headers, self.numbers, self.joins, self.pairs = (Counter() for _ in range(5))
+        self.names, self.headers, self.numbers, self.broken, self.joins, self.pairs = (Counter() for _ in range(6))
         self.codes: list[np.ndarray] = []
         self.marks: list[bytes] = []
 
@@ -574,7 +580,9 @@ class LineCounts:
             if not found and not years.isdisjoint(parts):
                 # years as they would stand if a line of the body broke around them
                 around = self._around(lines, i)
-                self.numbers.update((number_features(t, around), 0.0) for t in parts if t in years)
+                for t in parts:
+                    if t in years:
+                        self.broken[t, around] += 1
             after = split[i + 1] if i + 1 < len(split) else None
             if last := lasts[parts[-1]]:
                 if after:
@@ -660,11 +668,14 @@ class LineCounts:
 
     def rows(self) -> list[tuple]:
         """Rows of ``COUNTED``."""
+        numbers = self.numbers.copy()
+        for (year, around), n in self.broken.items():
+            numbers[number_features(year, around), 0.0] += n
         out: list[tuple] = [("record", None, None, None, None, None, len(self.codes))]
         out += [("name", *name, None, None, n) for name, n in self.names.items()]
         out += [("header", *form, None, None, None, n) for form, n in self.headers.items()]
         out += [("word", None, word, None, None, None, n) for word, n in self._words().items()]
-        return out + [(kind, None, None, None, *row, n) for kind, of in (("number", self.numbers), ("join", self._join_rows())) for row, n in of.items()]
+        return out + [(kind, None, None, None, *row, n) for kind, of in (("number", numbers), ("join", self._join_rows())) for row, n in of.items()]
 
 
 def _count_batches(known: set[str]) -> Callable:
@@ -707,14 +718,14 @@ def running_names(counts: DataFrame) -> DataFrame:
 
 def header_rows(form: str, n: int, name: str, types: tuple[str, ...], seed: int = 3) -> list[tuple[list[float], float, float]]:
     """(row, label, weight) of ``n`` header lines of one form and of copies with characters misread on purpose."""
-    row = header_features(form, name, types)
-    if row[0] != 1.0:
-        return [(r, 0.0, float(n)) for r in (row, header_features(form, None, types))] if row[0] < 0.6 else []
+    rows = _header_features(form, (name, None), types)
+    if rows[0][0] != 1.0:
+        return [(r, 0.0, float(n)) for r in rows] if rows[0][0] < 0.6 else []
     rng = random.Random(f"{seed} {form}")
     misread = lambda s: "".join(corrupt(c.lower(), rng).upper() if c.isalpha() and rng.random() < 0.08 else c for c in s)
     copies = min(2 * n, MOST_COPIES)
     forms = [(form, float(n)), *((misread(form), 2 * n / copies) for _ in range(copies))]
-    return [(header_features(f, known, types), 1.0, weight) for f, weight in forms for known in (name, None)]
+    return [(row, 1.0, weight) for f, weight in forms for row in _header_features(f, (name, None), types)]
 
 
 def _row_batch(rows: list[tuple[str, list[float], float, float]]) -> pa.RecordBatch:
